@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewatch.config import DriftConfig
 from tidewatch.operators.chi2 import chi2_from_counts
 from tidewatch.operators.ks import ks_from_counts
+from tidewatch.operators.prefix import auto_buckets
 from tidewatch.session import stage_table
 from tidewatch.operators.longform import (
     CATEGORICAL,
@@ -77,9 +78,7 @@ def choose_buckets(counts: DataFrame, config: DriftConfig) -> int:
     """
     if config.ks_buckets is not None:
         return int(config.ks_buckets)
-    row = counts.filter(F.col("num").isNotNull()).groupBy("fid").count().agg(F.max("count")).first()
-    widest = int(row[0] or 0)
-    return int(min(config.max_buckets, max(1, -(-widest // config.rows_per_bucket))))
+    return min(config.max_buckets, auto_buckets(counts.filter(F.col("num").isNotNull()), ["fid"], config.rows_per_bucket))
 
 
 def drift_details(counts: DataFrame, features: list[Feature], config: DriftConfig = DriftConfig()) -> DataFrame:

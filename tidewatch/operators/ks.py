@@ -23,7 +23,7 @@ def side_totals(num: DataFrame) -> DataFrame:
     )
 
 
-def ks_from_counts(counts: DataFrame, buckets: int = 128, accuracy: int = 1000) -> DataFrame:
+def ks_from_counts(counts: DataFrame, buckets: int | None = None, accuracy: int = 1000) -> DataFrame:
     """``fid, n_ref, n_cur, statistic, p_value, mean_ref, mean_cur, mean_shift``.
 
     D = max |F_ref - F_cur| evaluated at every distinct value; both ECDFs are

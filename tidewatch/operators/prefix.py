@@ -16,21 +16,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 4096
+
+
+def auto_buckets(df: DataFrame, keys: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets so that one running-sum task holds about ``rows_per_bucket`` rows.
+
+    One small aggregate (one row per group) decides the plan.
+    """
+    widest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return int(min(MAX_BUCKETS, max(1, -(-int(widest) // rows_per_bucket))))
+
+
 def running_sums(
     df: DataFrame,
     keys: list[str],
     order_col: str,
     weights: list[str],
-    buckets: int = 128,
+    buckets: int | None = None,
     accuracy: int = 1000,
+    with_next: bool = False,
 ) -> DataFrame:
     """Add ``cum_<w>`` = sum of ``w`` over rows of the group with ``order_col`` <= this row's.
 
-    ``df`` must hold one row per (keys, order_col) value.
+    ``df`` must hold one row per (keys, order_col) value.  ``with_next``
+    also adds ``next_<order_col>``, the next larger value in the group.
+    ``buckets=None`` sizes the buckets from the data (see :func:`auto_buckets`).
     """
+    if buckets is None:
+        buckets = auto_buckets(df, keys)
     if buckets <= 1:
         w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in weights])
+        extra = [F.lead(order_col).over(Window.partitionBy(*keys).orderBy(order_col)).alias(f"next_{order_col}")] if with_next else []
+        return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in weights], *extra)
 
     fractions = [i / buckets for i in range(1, buckets)]
     splits = df.groupBy(*keys).agg(
@@ -40,15 +59,22 @@ def running_sums(
         *df.columns,
         F.size(F.filter("_splits", lambda s: s < F.col(order_col))).alias("_bk"),
     )
-    totals = bucketed.groupBy(*keys, "_bk").agg(*[F.sum(c).alias(c) for c in weights])
+    totals = bucketed.groupBy(*keys, "_bk").agg(
+        *[F.sum(c).alias(c) for c in weights], F.min(order_col).alias("_bmin")
+    )
     wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "_bk", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_off_{c}") for c in weights]
+        *keys, "_bk", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_off_{c}") for c in weights],
+        F.lead("_bmin").over(Window.partitionBy(*keys).orderBy("_bk")).alias("_next_bmin"),
     )
     wv = Window.partitionBy(*keys, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     joined = bucketed.join(F.broadcast(offsets), keys + ["_bk"])
+    extra = []
+    if with_next:
+        nxt = F.lead(order_col).over(Window.partitionBy(*keys, "_bk").orderBy(order_col))
+        extra = [F.coalesce(nxt, F.col("_next_bmin")).alias(f"next_{order_col}")]
     return joined.select(
-        *df.columns, *[(F.col(f"_off_{c}") + F.sum(c).over(wv)).alias(f"cum_{c}") for c in weights]
+        *df.columns, *[(F.col(f"_off_{c}") + F.sum(c).over(wv)).alias(f"cum_{c}") for c in weights], *extra
     )
 
 
@@ -71,23 +97,25 @@ def exact_quantiles(
     """
     spark = cum.sparkSession
     pr = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "pi int, prob double")
+    rk = [f"_rk{i}" for i in range(len(keys))]
     ranks = (
         totals.filter(F.col(total_col) > 0)
+        .select(*[F.col(k).alias(r) for k, r in zip(keys, rk)], F.col(total_col).alias("_tot"))
         .crossJoin(F.broadcast(pr))  # groups x |probs|: both sides bounded
-        .select(*keys, "pi", "prob", (F.col("prob") * (F.col(total_col) - 1)).alias("_pos"))
+        .select(*rk, "pi", "prob", (F.col("prob") * (F.col("_tot") - 1)).alias("_pos"))
         .select(
-            *keys, "pi", "prob", "_pos",
+            *rk, "pi", "prob", "_pos",
             F.explode(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_rank"),
         )
-        .dropDuplicates(keys + ["pi", "_rank"])
+        .dropDuplicates(rk + ["pi", "_rank"])
     )
     cw = f"cum_{weight}"
-    c = cum.filter(F.col(weight) > 0).select(*keys, value, weight, cw)
-    cond = [c[k] == ranks[k] for k in keys] + [
-        (c[cw] - c[weight]) <= ranks["_rank"],
-        ranks["_rank"] < c[cw],
+    c = cum.filter(F.col(weight) > 0).select(*keys, F.col(value).alias("_v"), F.col(weight).alias("_w"), F.col(cw).alias("_cw"))
+    cond = [F.col(k) == F.col(r) for k, r in zip(keys, rk)] + [
+        (F.col("_cw") - F.col("_w")) <= F.col("_rank"),
+        F.col("_rank") < F.col("_cw"),
     ]
-    hit = c.join(F.broadcast(ranks), cond).select(*[ranks[k] for k in keys], "pi", "prob", "_pos", "_rank", c[value].alias("_v"))
+    hit = c.join(F.broadcast(ranks), cond).select(*keys, "pi", "prob", "_pos", "_rank", "_v")
     agg = hit.groupBy(*keys, "pi", "prob", "_pos").agg(
         F.min_by("_v", "_rank").alias("_lo"), F.max_by("_v", "_rank").alias("_hi")
     )
