@@ -567,6 +567,114 @@ def side_by_side_scores(spark, sf):
         r6(F.avg(F.abs(F.col("l_quantity") - F.col("l_extendedprice") / 1500.0))).alias("mae_b"))
 
 
+# ---- streaming ----------------------------------------------------------------
+
+def _events_stream(spark, sf):
+    from tidewatch.streaming.monitor import file_stream
+
+    schema = T(spark, sf, "events").schema
+    return file_stream(spark, sf, schema, "parquet", glob="events.parquet")
+
+
+def stream_ingest(spark, sf):
+    """ST1: events arrive as files; stamped and appended to a Parquet log."""
+    from tidewatch.session import shared_dir
+    from tidewatch.streaming.monitor import ingest
+
+    out, ck = shared_dir(spark, "ingest"), shared_dir(spark, "ingest-ck")
+    ingest(_events_stream(spark, sf), out, ck, "incoming_unlabeled").awaitTermination()
+    return spark.read.parquet(out).drop("ingested_at")
+
+
+def stream_windowed_profile(spark, sf):
+    """ST3: daily windows per event type with mergeable count / sum state."""
+    from tidewatch.session import shared_dir
+    from tidewatch.streaming.monitor import run_complete, windowed_profile
+
+    out, ck = shared_dir(spark, "windows"), shared_dir(spark, "windows-ck")
+    agg = windowed_profile(_events_stream(spark, sf), "ts", "event_type", "value", "1 day", watermark="1 day")
+    run_complete(agg, out, ck).awaitTermination()
+    w = spark.read.parquet(out)
+    return w.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window_end").cast("timestamp_ntz").alias("window_end"), "category", "n",
+                    r6("sum_value").alias("sum_value"), r6("sum_sq").alias("sum_sq"))
+
+
+def stream_drift_gate(spark, sf):
+    """ST2: every micro-batch of arriving events tested against the stored
+    reference profile (events before the cut), idempotent per batch id."""
+    from tidewatch.operators.longform import common_features as cf
+    from tidewatch.operators.longform import single_counts
+    from tidewatch.session import shared_dir
+    from tidewatch.streaming.monitor import drift_gate
+
+    ev = T(spark, sf, "events")
+    ref, _ = halves(ev, "ts", EVENTS_CUT)
+    feats = cf(ev, ev)
+    profile = stage_table(single_counts(ref, feats), "ref-profile")
+    out, ck = shared_dir(spark, "gate"), shared_dir(spark, "gate-ck")
+    q = (_events_stream(spark, sf).writeStream.option("checkpointLocation", ck)
+         .foreachBatch(drift_gate(profile, feats, out)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    d = spark.read.parquet(out)
+    return d.select("batch_id", "feature", "type", "drift_detected", r6("statistic").alias("statistic"),
+                    r6("p_value").alias("p_value"), "reasons")
+
+
+def _lineitem_model_data(spark, sf):
+    li = T(spark, sf, "lineitem")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate"]
+    parts = random_split(li, keys, 0.2, 42).withColumn("label", F.col("l_quantity").cast("double"))
+    parts = stage_table(parts, "model-rows")  # the fit scans its input many times: cut the lineage once
+    enc = FeatureEncoder(ordinal={}, nominal=["l_returnflag", "l_linestatus"], numerical=["l_extendedprice"],
+                         exclude=["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "label"])
+    return parts, enc
+
+
+def rf_train_score(spark, sf):
+    """Baseline forest fitted on the train split (encoder fitted there
+    too), scored on both splits; metrics per split."""
+    from tidewatch.operators.models import fit_pipeline, forest
+
+    parts, enc = _lineitem_model_data(spark, sf)
+    model = fit_pipeline(parts.filter("split = 'train'"), enc, forest())
+    scored = model.transform(parts)
+    m = regression_metrics(scored, "label", "prediction", group=["split"], with_median=False)
+    return m.select("split", "n", *[r6(c).alias(c) for c in ["mae", "rmse", "r2", "within_1", "within_2"]])
+
+
+def feature_importance_rf(spark, sf):
+    """Forest importances with encoded feature names, top 15."""
+    from tidewatch.operators.models import feature_importance, fit_pipeline, forest
+
+    parts, enc = _lineitem_model_data(spark, sf)
+    model = fit_pipeline(parts.filter("split = 'train'"), enc, forest(maxDepth=6, numTrees=20))
+    return feature_importance(model.stages[-1], model.stages[0].feature_names, 15, spark)
+
+
+def stream_scoring(spark, sf):
+    """ST4: arriving lineitem files scored by a ridge pipeline into the prediction log."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import LinearRegression
+
+    from tidewatch.operators.models import ridge_reg_param
+    from tidewatch.session import shared_dir
+    from tidewatch.streaming.monitor import file_stream, score_stream
+
+    parts, enc = _lineitem_model_data(spark, sf)
+    train = parts.filter("split = 'train'")
+    lr = LinearRegression(labelCol="label", elasticNetParam=0.0, regParam=ridge_reg_param(train, "label"),
+                          standardization=False, solver="normal")
+    model = Pipeline(stages=[enc, lr]).fit(train)
+    stream = file_stream(spark, sf, T(spark, sf, "lineitem").schema, "parquet", glob="lineitem.parquet")
+    out, ck = shared_dir(spark, "preds"), shared_dir(spark, "preds-ck")
+    score_stream(model, stream, ["l_orderkey", "l_linenumber", "l_extendedprice"], "v1", out, ck, "api").awaitTermination()
+    p = spark.read.parquet(out)
+    return p.select("type", "features.l_orderkey", "features.l_linenumber", r6("prediction_g3").alias("prediction_g3"),
+                    "g3_score", "model_version", "source")
+
+
 QUERIES = {
     name: fn for name, fn in list(globals().items())
     if callable(fn) and getattr(fn, "__module__", None) == __name__ and not name.startswith("_")

@@ -382,4 +382,10 @@ SELECT round(sxy / (sxx + 1.0), 4) AS coefficient, round(my - sxy / (sxx + 1.0)
     q["nation_region"] = "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"
     q["side_by_side_scores"] = ("SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n, round(avg(abs(l_quantity - l_extendedprice / 2000.0)), 6) AS mae_a, "
                                 "round(avg(abs(l_quantity - l_extendedprice / 1500.0)), 6) AS mae_b FROM lineitem GROUP BY 1")
+    q["stream_ingest"] = "SELECT *, 'incoming_unlabeled' AS dataset_type FROM events"
+    q["stream_windowed_profile"] = ("SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end, "
+                                    "event_type AS category, CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS sum_value, round(sum(value * value), 6) AS sum_sq "
+                                    "FROM events GROUP BY ALL")
+    q["stream_drift_gate"] = drift_with("events", EV_REF, "TRUE", EV_NUM, EV_CAT,
+        "SELECT CAST(0 AS BIGINT) AS batch_id, feature, type, drift AS drift_detected, round(stat, 6) AS statistic, round(p, 6) AS p_value, reasons FROM det")
     return q

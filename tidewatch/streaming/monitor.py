@@ -53,6 +53,19 @@ def windowed_profile(stream: DataFrame, ts_col: str, category: str, value: str,
              "category", "n", "sum_value", "sum_sq")
 
 
+def run_complete(agg: DataFrame, sink_path: str, checkpoint: str):
+    """Run a streaming aggregate to the end of the available input in complete
+    mode, replacing the Parquet snapshot at ``sink_path`` each micro-batch.
+
+    State is the aggregate's keys (windows x categories), not rows.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(sink_path)
+
+    return (agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+            .foreachBatch(write).trigger(availableNow=True).start())
+
+
 def drift_gate(reference_counts: DataFrame, features: list[Feature], sink_path: str,
                config: DriftConfig = DriftConfig()):
     """ST2: ``foreachBatch`` function testing each micro-batch against a stored
