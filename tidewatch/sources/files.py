@@ -40,6 +40,9 @@ def read_batches(spark: SparkSession, directory: str, schema: T.StructType, sep:
     Adds ``_file`` and ``_mtime`` from the file metadata.
     """
     s = _with_corrupt(schema)
+    # A file is judged on whole rows: the CSV parser must parse every column,
+    # or malformed values in columns a query does not read go unnoticed.
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     try:
         raw = (
             spark.read.schema(s).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
@@ -55,7 +58,8 @@ def read_batches(spark: SparkSession, directory: str, schema: T.StructType, sep:
                      F.col("_metadata.file_block_start").alias("_blk"),
                      F.monotonically_increasing_id().alias("_mono"))
     # bad-file list: bounded by the number of files (the file index already lives on the driver)
-    bad = raw.filter(F.col("_corrupt_record").isNotNull()).select("_file").distinct()
+    first = F.col(f"`{schema.fieldNames()[0]}`").cast("string")
+    bad = raw.filter(F.col("_corrupt_record").isNotNull() & (F.coalesce(first, F.lit("")) != F.lit("\u0000"))).select("_file").distinct()
     good = raw.join(F.broadcast(bad), "_file", "left_anti")
     return good.select(*[F.col(f"`{c}`") for c in schema.fieldNames()], "_file", "_mtime", "_blk", "_mono")
 
