@@ -25,6 +25,7 @@ from tidewatch.operators.longform import (
     common_features,
     feature_frame,
     long_counts,
+    long_counts_split,
 )
 
 # The reasons the reference attaches to a drifted feature.
@@ -149,3 +150,21 @@ def detect_drift(
         counts = stage_table(counts, "drift-counts")
     details = drift_details(counts, features, config)
     return DriftReport(details=details, summary=drift_summary(details), features=features)
+
+
+def detect_drift_split(
+    df: DataFrame,
+    current: Column,
+    config: DriftConfig = DriftConfig(),
+    exclude=(),
+    columns=None,
+) -> DriftReport:
+    """Drift between the rows of one table where ``current`` is false
+    (reference) and true (current); one scan of ``df``.  Columns used only to
+    define the split can be passed in ``exclude``."""
+    features = common_features(df, df, exclude=exclude, columns=columns)
+    counts = long_counts_split(df, current, features)
+    if config.stage:
+        counts = stage_table(counts, "drift-counts")
+    details = drift_details(counts, features, config)
+    return DriftReport(details=details, summary=drift_summary(details), features=features)

@@ -57,15 +57,16 @@ def as_double(df: DataFrame, name: str) -> Column:
     return F.expr(f"try_cast(`{name}` AS DOUBLE)")
 
 
-def _side_rows(df: DataFrame, side: int, features: list[Feature]) -> DataFrame:
+def _side_rows(df: DataFrame, side, features: list[Feature]) -> DataFrame:
     args: list[Column] = []
     for f in features:
         if f.kind == NUMERICAL:
             args += [F.lit(f.fid), as_double(df, f.name), F.lit(None).cast("string")]
         else:
             args += [F.lit(f.fid), F.lit(None).cast("double"), F.col(f"`{f.name}`").cast("string")]
-    rows = df.select(F.lit(side).alias("side"), F.stack(F.lit(len(features)), *args).alias("fid", "num", "cat"))
-    return rows.filter((F.col("num").isNotNull() & ~F.isnan("num")) | F.col("cat").isNotNull())
+    side_col = side if isinstance(side, Column) else F.lit(side)
+    rows = df.select(side_col.alias("side"), F.stack(F.lit(len(features)), *args).alias("fid", "num", "cat"))
+    return rows.filter(F.col("side").isNotNull() & ((F.col("num").isNotNull() & ~F.isnan("num")) | F.col("cat").isNotNull()))
 
 
 def long_counts(ref: DataFrame, cur: DataFrame, features: list[Feature]) -> DataFrame:
@@ -76,6 +77,16 @@ def long_counts(ref: DataFrame, cur: DataFrame, features: list[Feature]) -> Data
     )
 
 
+def long_counts_split(df: DataFrame, current: Column, features: list[Feature]) -> DataFrame:
+    """Like :func:`long_counts` when both sides live in one table: the side is
+    a per-row expression (``current`` true -> current, false -> reference,
+    NULL -> neither), so the table is scanned once instead of twice."""
+    side = F.when(current, F.lit(1)).when(~current, F.lit(0))
+    return _side_rows(df, side, features).groupBy("fid", "num", "cat").agg(
+        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c")
+    )
+
+
 def single_counts(df: DataFrame, features: list[Feature]) -> DataFrame:
     """``(fid, num, cat, n)`` for one table (profiles, stored reference profiles)."""
     return _side_rows(df, 0, features).groupBy("fid", "num", "cat").agg(F.count("*").alias("n"))

@@ -46,10 +46,14 @@ def running_sums(
     """
     if buckets is None:
         buckets = auto_buckets(df, keys)
+    # An explicit partition count: the window stage is CPU-bound (a sort per
+    # bucket), so AQE must not coalesce it down to a couple of tasks.
+    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets <= 1:
         w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
         extra = [F.lead(order_col).over(Window.partitionBy(*keys).orderBy(order_col)).alias(f"next_{order_col}")] if with_next else []
-        return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in weights], *extra)
+        src = df.repartition(nparts, *keys)
+        return src.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in weights], *extra)
 
     fractions = [i / buckets for i in range(1, buckets)]
     splits = df.groupBy(*keys).agg(
@@ -68,7 +72,7 @@ def running_sums(
         F.lead("_bmin").over(Window.partitionBy(*keys).orderBy("_bk")).alias("_next_bmin"),
     )
     wv = Window.partitionBy(*keys, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    joined = bucketed.join(F.broadcast(offsets), keys + ["_bk"])
+    joined = bucketed.join(F.broadcast(offsets), keys + ["_bk"]).repartition(nparts, *keys, "_bk")
     extra = []
     if with_next:
         nxt = F.lead(order_col).over(Window.partitionBy(*keys, "_bk").orderBy(order_col))

@@ -16,10 +16,9 @@ from tidewatch.operators import profile as P
 from tidewatch.operators.chi2 import category_frequencies, chi2_from_counts
 from tidewatch.operators.clean import clean_binary, fill_defaults, quality_gates, validate_rows
 from tidewatch.operators.distance import drift_share, drift_trend, psi_and_js, std_median_shift, wasserstein
-from tidewatch.operators.drift import detect_drift, drift_details, drift_summary
 from tidewatch.operators.features import FeatureEncoder
 from tidewatch.operators.ks import ks_from_counts
-from tidewatch.operators.longform import common_features, long_counts
+from tidewatch.operators.longform import common_features
 from tidewatch.operators.metrics import compare_models, overfit_gap, promote, regression_metrics
 from tidewatch.operators.registry import flatten_history, metadata, next_version
 from tidewatch.operators.split import random_split, stratified_split, with_quantile_bin
@@ -50,23 +49,48 @@ def halves(df: DataFrame, ts: str, cut: str):
     return df.filter(F.col(ts) < F.lit(cut).cast("timestamp_ntz")), df.filter(F.col(ts) >= F.lit(cut).cast("timestamp_ntz"))
 
 
+def _is_current(ts: str, cut: str):
+    """Side of each row for the single-scan drift plans (NULL ts -> neither side)."""
+    return F.col(ts) >= F.lit(cut).cast("timestamp_ntz")
+
+
+SPLITS = {"events": ("ts", EVENTS_CUT), "lineitem": ("l_shipdate", LINEITEM_CUT), "orders": ("o_orderdate", ORDERS_CUT)}
+
+
+def _counts(spark, sf, table: str, cols=None, df: DataFrame | None = None, current=None):
+    """Long-form counts of ``table`` split at its cut, in one scan."""
+    from tidewatch.operators.longform import long_counts_split
+
+    df = df if df is not None else T(spark, sf, table)
+    if current is None:
+        ts, cut = SPLITS[table]
+        current = _is_current(ts, cut)
+    feats = common_features(df, df, columns=cols)
+    return long_counts_split(df, current, feats), feats
+
+
 def _named(df: DataFrame, feats) -> DataFrame:
     names = df.sparkSession.createDataFrame([(f.fid, f.name) for f in feats], "fid int, feature string")
     return df.join(F.broadcast(names), "fid")
 
 
-def _ks(ref, cur, cols) -> DataFrame:
-    feats = common_features(ref.select(*cols), cur.select(*cols))
-    ks = _named(ks_from_counts(long_counts(ref, cur, feats)), feats)
+def _ks(counts, feats) -> DataFrame:
+    ks = _named(ks_from_counts(counts), feats)
     return ks.select("feature", "n_ref", "n_cur", r6("statistic").alias("statistic"), r6("p_value").alias("p_value"))
 
 
-def _chi2(ref, cur, cols) -> DataFrame:
-    feats = common_features(ref.select(*cols), cur.select(*cols))
-    ch = _named(chi2_from_counts(long_counts(ref, cur, feats)), feats)
+def _chi2(counts, feats) -> DataFrame:
+    ch = _named(chi2_from_counts(counts), feats)
     return ch.select("feature", "n_ref", "n_cur", "dof", r6("statistic").alias("statistic"), r6("p_value").alias("p_value"))
 
 
+def _drift(spark, sf, table: str, config: DriftConfig = DriftConfig()):
+    from tidewatch.operators.drift import detect_drift_split
+
+    ts, cut = SPLITS[table]
+    return detect_drift_split(T(spark, sf, table), _is_current(ts, cut), config)
+
+
 def _report_rows(details: DataFrame) -> DataFrame:
     return details.select(
         "feature", "type", "drift_detected", r6("statistic").alias("statistic"), r6("p_value").alias("p_value"),
@@ -77,57 +101,47 @@ def _report_rows(details: DataFrame) -> DataFrame:
 # ---- drift ------------------------------------------------------------------
 
 def drift_ks_events(spark, sf):
-    ref, cur = halves(T(spark, sf, "events"), "ts", EVENTS_CUT)
-    return _ks(ref, cur, ["value"])
+    return _ks(*_counts(spark, sf, "events", ["value"]))
 
 
 def drift_ks_lineitem(spark, sf):
-    ref, cur = halves(T(spark, sf, "lineitem"), "l_shipdate", LINEITEM_CUT)
-    return _ks(ref, cur, LI_NUMERIC)
+    return _ks(*_counts(spark, sf, "lineitem", LI_NUMERIC))
 
 
 def drift_chi2_events(spark, sf):
-    ref, cur = halves(T(spark, sf, "events"), "ts", EVENTS_CUT)
-    return _chi2(ref, cur, ["event_type"])
+    return _chi2(*_counts(spark, sf, "events", ["event_type"]))
 
 
 def drift_chi2_orders(spark, sf):
-    ref, cur = halves(T(spark, sf, "orders"), "o_orderdate", ORDERS_CUT)
-    return _chi2(ref, cur, ["o_orderpriority", "o_orderstatus"])
+    return _chi2(*_counts(spark, sf, "orders", ["o_orderpriority", "o_orderstatus"]))
 
 
 def drift_chi2_yates(spark, sf):
-    ref, cur = halves(T(spark, sf, "lineitem"), "l_shipdate", LINEITEM_CUT)
-    return _chi2(ref, cur, ["l_linestatus", "l_returnflag"])
+    return _chi2(*_counts(spark, sf, "lineitem", ["l_linestatus", "l_returnflag"]))
 
 
 def drift_mean_shift(spark, sf):
-    ref, cur = halves(T(spark, sf, "lineitem"), "l_shipdate", LINEITEM_CUT)
-    feats = common_features(ref.select(*LI_ALL_NUMERIC), cur.select(*LI_ALL_NUMERIC))
-    ks = _named(ks_from_counts(long_counts(ref, cur, feats)), feats)
+    counts, feats = _counts(spark, sf, "lineitem", LI_ALL_NUMERIC)
+    ks = _named(ks_from_counts(counts), feats)
     return ks.select("feature", r6("mean_ref").alias("mean_ref"), r6("mean_cur").alias("mean_cur"),
                      r6("mean_shift").alias("mean_shift"), (F.col("mean_shift") > 0.10).alias("shift_drift"))
 
 
 def drift_report_events(spark, sf):
-    ref, cur = halves(T(spark, sf, "events"), "ts", EVENTS_CUT)
-    return _report_rows(detect_drift(ref, cur).details)
+    return _report_rows(_drift(spark, sf, "events").details)
 
 
 def drift_report_lineitem(spark, sf):
-    ref, cur = halves(T(spark, sf, "lineitem"), "l_shipdate", LINEITEM_CUT)
-    return _report_rows(detect_drift(ref, cur).details)
+    return _report_rows(_drift(spark, sf, "lineitem").details)
 
 
 def drift_summary_orders(spark, sf):
-    ref, cur = halves(T(spark, sf, "orders"), "o_orderdate", ORDERS_CUT)
-    return detect_drift(ref, cur).summary.drop("timestamp")
+    return _drift(spark, sf, "orders").summary.drop("timestamp")
 
 
 def status_view(spark, sf):
     """Status view of the latest report with the reference's defaults."""
-    ref, cur = halves(T(spark, sf, "orders"), "o_orderdate", ORDERS_CUT)
-    s = detect_drift(ref, cur).summary
+    s = _drift(spark, sf, "orders").summary
     return s.select(
         F.coalesce("drift_detected_overall", F.lit(False)).alias("drift_detected"),
         F.coalesce("drifted_features_count", F.lit(0)).cast("long").alias("drifted_features_count"),
@@ -137,8 +151,7 @@ def status_view(spark, sf):
 
 def report_flatten(spark, sf):
     """P20: report details -> (feature, drift_score, p_value, is_drifted) by score desc."""
-    ref, cur = halves(T(spark, sf, "events"), "ts", EVENTS_CUT)
-    doc = detect_drift(ref, cur).as_json()
+    doc = _drift(spark, sf, "events").as_json()
     from tidewatch.schema import DRIFT_REPORT_SCHEMA
 
     parsed = doc.select(F.from_json("report", DRIFT_REPORT_SCHEMA).alias("r"))
@@ -151,45 +164,37 @@ def report_flatten(spark, sf):
 
 
 def category_freq(spark, sf):
-    ref, cur = halves(T(spark, sf, "orders"), "o_orderdate", ORDERS_CUT)
-    cols = ["o_orderpriority", "o_orderstatus"]
-    feats = common_features(ref.select(*cols), cur.select(*cols))
-    f = _named(category_frequencies(long_counts(ref, cur, feats)), feats)
+    counts, feats = _counts(spark, sf, "orders", ["o_orderpriority", "o_orderstatus"])
+    f = _named(category_frequencies(counts), feats)
     return f.select("feature", "category", "n_ref", "n_cur", r6("freq_ref").alias("freq_ref"), r6("freq_cur").alias("freq_cur"))
 
 
 def drift_share_lineitem(spark, sf):
-    ref, cur = halves(T(spark, sf, "lineitem"), "l_shipdate", LINEITEM_CUT)
-    d = detect_drift(ref, cur).details
+    d = _drift(spark, sf, "lineitem").details
     return drift_share(d).select("n_features", "n_drifted", r6("drift_share").alias("drift_share"), "dataset_drift")
 
 
 def drift_bonferroni(spark, sf):
     """D9 option: Bonferroni-adjusted decisions over all lineitem columns."""
-    ref, cur = halves(T(spark, sf, "lineitem"), "l_shipdate", LINEITEM_CUT)
-    d = detect_drift(ref, cur, DriftConfig(correction="bonferroni")).details
+    d = _drift(spark, sf, "lineitem", DriftConfig(correction="bonferroni")).details
     return d.select("feature", r6("p_value").alias("p_value"), "drift_detected")
 
 
 def psi_events(spark, sf):
-    ref, cur = halves(T(spark, sf, "events"), "ts", EVENTS_CUT)
-    cols = ["value", "event_type"]
-    feats = common_features(ref.select(*cols), cur.select(*cols))
-    p = _named(psi_and_js(long_counts(ref, cur, feats)), feats)
+    counts, feats = _counts(spark, sf, "events", ["value", "event_type"])
+    p = _named(psi_and_js(counts), feats)
     return p.select("feature", r6("psi").alias("psi"), "psi_band", r6("js_divergence").alias("js_divergence"))
 
 
 def wasserstein_lineitem(spark, sf):
-    ref, cur = halves(T(spark, sf, "lineitem"), "l_shipdate", LINEITEM_CUT)
-    feats = common_features(ref.select(*LI_NUMERIC), cur.select(*LI_NUMERIC))
-    w = _named(wasserstein(long_counts(ref, cur, feats)), feats)
+    counts, feats = _counts(spark, sf, "lineitem", LI_NUMERIC)
+    w = _named(wasserstein(counts), feats)
     return w.select("feature", r6("wasserstein").alias("wasserstein"))
 
 
 def std_median_shift_lineitem(spark, sf):
-    ref, cur = halves(T(spark, sf, "lineitem"), "l_shipdate", LINEITEM_CUT)
-    feats = common_features(ref.select(*LI_NUMERIC), cur.select(*LI_NUMERIC))
-    s = _named(std_median_shift(long_counts(ref, cur, feats)), feats)
+    counts, feats = _counts(spark, sf, "lineitem", LI_NUMERIC)
+    s = _named(std_median_shift(counts), feats)
     return s.select("feature", *[r6(c).alias(c) for c in ["std_ref", "std_cur", "std_shift", "median_ref", "median_cur", "median_shift"]])
 
 
@@ -209,7 +214,7 @@ def drift_trend_events(spark, sf):
 def text_length_drift(spark, sf):
     """KS on document length, English vs other languages."""
     d = T(spark, sf, "documents").withColumn("text_length", F.length("text"))
-    return _ks(d.filter(F.col("lang") == "en"), d.filter(F.col("lang") != "en"), ["text_length"])
+    return _ks(*_counts(spark, sf, "documents", ["text_length"], df=d, current=F.col("lang") != "en"))
 
 
 # ---- sources / sets ---------------------------------------------------------
