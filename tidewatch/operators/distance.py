@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.prefix import exact_quantiles, running_sums
+from tidewatch.operators.prefix import running_sums, weighted_quantiles
 
 # Decision (documented, not coded in the reference): empty-bin floor for PSI
 # and JS, and the PSI bands <0.1 stable, 0.1-0.2 moderate, >0.2 significant.
@@ -21,9 +21,7 @@ PSI_BAND_ELSE = "significant"
 def reference_bin_edges(counts: DataFrame, n_bins: int = 10) -> DataFrame:
     """Per numeric feature: distinct reference quantiles at 0, 1/n, ..., 1 (``fid, edges``)."""
     num = counts.filter(F.col("num").isNotNull() & (F.col("r") > 0)).select("fid", F.col("num").alias("value"), "r")
-    cum = running_sums(num, ["fid"], "value", ["r"])
-    tot = num.groupBy("fid").agg(F.sum("r").alias("n"))
-    q = exact_quantiles(cum, ["fid"], "value", "r", tot, "n", [i / n_bins for i in range(n_bins + 1)])
+    q = weighted_quantiles(num, ["fid"], "value", "r", [i / n_bins for i in range(n_bins + 1)])
     return q.groupBy("fid").agg(
         F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("prob", "q"))), lambda s: s["q"])).alias("edges")
     )
@@ -88,11 +86,8 @@ def std_median_shift(counts: DataFrame) -> DataFrame:
         F.try_divide(F.sum(F.col("r") * (F.col("v") - F.col("mr")) ** 2), F.first("nr") - 1).alias("var_r"),
         F.try_divide(F.sum(F.col("c") * (F.col("v") - F.col("mc")) ** 2), F.first("nc") - 1).alias("var_c"),
     )
-    med = []
-    for w, n in (("r", "nr"), ("c", "nc")):
-        side = num.filter(F.col(w) > 0).select("fid", "v", w)
-        cum = running_sums(side, ["fid"], "v", [w])
-        med.append(exact_quantiles(cum, ["fid"], "v", w, m.select("fid", n), n, [0.5], out=f"median_{w}").drop("prob"))
+    med = [weighted_quantiles(num.select("fid", "v", w), ["fid"], "v", w, [0.5], out=f"median_{w}").drop("prob")
+           for w in ("r", "c")]
     out = m.join(var, "fid").join(med[0], "fid", "left").join(med[1], "fid", "left")
     sr, sc = F.sqrt("var_r"), F.sqrt("var_c")
     return out.select(

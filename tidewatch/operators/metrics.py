@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.prefix import exact_quantiles, running_sums
+from tidewatch.operators.prefix import weighted_quantiles
 
 WITHIN_K = (1, 2, 3)
 
@@ -36,9 +36,7 @@ def regression_metrics(
     keys = group or ["_g"]
     src = base if group else base.withColumn("_g", F.lit(0))
     cnt = src.groupBy(*keys, F.abs("_e").alias("_ae")).agg(F.count("*").alias("_w"))
-    cum = running_sums(cnt, keys, "_ae", ["_w"])
-    tot = cnt.groupBy(*keys).agg(F.sum("_w").alias("_t"))
-    med = exact_quantiles(cum, keys, "_ae", "_w", tot, "_t", [0.5], out="median_ae").drop("prob")
+    med = weighted_quantiles(cnt, keys, "_ae", "_w", [0.5], out="median_ae").drop("prob")
     if group:
         return out.join(med, group, "left")
     return out.crossJoin(med.drop("_g"))  # one row x one row

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
+# Above this many distinct values in one group, quantiles switch from the
+# single-task ``percentile`` map to the bucketed running sums.
+EXACT_MAP_LIMIT = 2_000_000
 
 
 def auto_buckets(df: DataFrame, keys: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
@@ -128,3 +131,33 @@ def exact_quantiles(
         "prob",
         (F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))).alias(out),
     )
+
+
+def weighted_quantiles(
+    cnt: DataFrame,
+    keys: list[str],
+    value: str,
+    weight: str,
+    probs: list[float],
+    out: str = "q",
+    map_limit: int = EXACT_MAP_LIMIT,
+) -> DataFrame:
+    """Exact linear-interpolated quantiles per group of a (value, weight) table.
+
+    One small aggregate (one row per group) measures the widest group.  If it
+    has at most ``map_limit`` distinct values, Spark's exact ``percentile``
+    with a frequency column does the work (its per-group map is then
+    bounded); otherwise the bucketed running sums do, with no group in one
+    task.  Returns ``keys + [prob, out]``.
+    """
+    c = cnt.filter(F.col(weight) > 0)
+    stats = c.groupBy(*keys).agg(F.count("*").alias("_d"), F.sum(weight).alias("_t"))
+    widest = stats.agg(F.max("_d")).first()[0] or 0
+    if widest <= map_limit:
+        q = c.groupBy(*keys).agg(F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]), F.col(weight)).alias("_qs"))
+        pr = cnt.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "_pi int, prob double")
+        e = q.select(*keys, F.posexplode("_qs").alias("_pi", out))
+        return e.join(F.broadcast(pr), "_pi").select(*keys, "prob", out)
+    buckets = int(min(MAX_BUCKETS, max(1, -(-int(widest) // ROWS_PER_BUCKET))))
+    cum = running_sums(c, keys, value, [weight], buckets=buckets)
+    return exact_quantiles(cum, keys, value, weight, stats, "_t", probs, out=out)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.stats import adjusted_kurtosis, adjusted_skewness
 from tidewatch.operators.longform import Feature, is_numeric_type, single_counts
-from tidewatch.operators.prefix import auto_buckets, exact_quantiles, running_sums
+from tidewatch.operators.prefix import EXACT_MAP_LIMIT, weighted_quantiles
 
 
 def _q(name: str):
@@ -93,20 +93,47 @@ def zero_counts(df: DataFrame, columns) -> DataFrame:
     )
 
 
-def quantiles_by_column(df: DataFrame, columns, probs, rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Exact linear-interpolated quantiles of many columns in one plan.
+def quantiles_by_column(df: DataFrame, columns, probs, map_limit: int = EXACT_MAP_LIMIT,
+                        known_small: bool = False) -> DataFrame:
+    """Exact linear-interpolated quantiles of many columns: ``feature, prob, q``.
+    ``known_small`` skips the sizing pass when the caller knows the bound holds.
 
-    Long form -> ``groupBy(feature, value)`` (map-side combined) -> bucketed
-    running sums -> the rows owning the needed ranks.  Returns
-    ``feature, prob, q``.
+    One HyperLogLog pass sizes every column.  Columns with at most
+    ``map_limit`` distinct values (with a margin for the sketch error) are
+    done by Spark's exact ``percentile`` in one aggregate over the raw rows
+    (its per-column map is then bounded); wider columns go through the long
+    form and the bucketed running sums, so no column sits in one task.
     """
-    feats = [Feature(i, c, "numerical") for i, c in enumerate(columns)]
-    cnt = single_counts(df, feats).select("fid", F.col("num").alias("value"), "n")
-    cum = running_sums(cnt, ["fid"], "value", ["n"], buckets=auto_buckets(cnt, ["fid"], rows_per_bucket))
-    totals = cnt.groupBy("fid").agg(F.sum("n").alias("total"))
-    q = exact_quantiles(cum, ["fid"], "value", "n", totals, "total", probs)
-    names = df.sparkSession.createDataFrame([(f.fid, f.name) for f in feats], "fid int, feature string")
-    return q.join(F.broadcast(names), "fid").select("feature", "prob", "q")
+    spark = df.sparkSession
+    cols = list(columns)
+    vals = {c: F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")) for c in cols}
+    if known_small:  # the caller has a bound (e.g. a subset of a table already sized)
+        small = cols
+    else:
+        hll = df.agg(*[F.approx_count_distinct(vals[c], 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+        small = [c for i, c in enumerate(cols) if (hll[f"d{i}"] or 0) <= map_limit * 0.9]
+    wide = [c for c in cols if c not in small]
+    parts = []
+    pr = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "_pi int, prob double")
+    if small:
+        arr = F.array(*[F.lit(float(p)) for p in probs])
+        row = df.agg(*[F.percentile(vals[c], arr).alias(f"q{i}") for i, c in enumerate(small)])
+        args = []
+        for i, c in enumerate(small):
+            args += [F.lit(c), F.col(f"q{i}")]
+        long = row.select(F.stack(F.lit(len(small)), *args).alias("feature", "_qs"))
+        e = long.select("feature", F.posexplode("_qs").alias("_pi", "q"))
+        parts.append(e.join(F.broadcast(pr), "_pi").select("feature", "prob", "q"))
+    if wide:
+        feats = [Feature(i, c, "numerical") for i, c in enumerate(wide)]
+        cnt = single_counts(df, feats).select("fid", F.col("num").alias("value"), "n")
+        q = weighted_quantiles(cnt, ["fid"], "value", "n", probs, map_limit=0)
+        names = spark.createDataFrame([(f.fid, f.name) for f in feats], "fid int, feature string")
+        parts.append(q.join(F.broadcast(names), "fid").select("feature", "prob", "q"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def describe(df: DataFrame, columns=None) -> DataFrame:

@@ -6,6 +6,10 @@ per bin are met without a per-bin window over all rows: rows are counted
 per (bin, 16-bit hash prefix); the prefix bucket where each bin's quota is
 crossed is the only place rows need ranking, and those rows (~1/65536 of a
 bin) are ranked on their own and unioned back.
+
+Small fitted values come back to the driver as literals — the bin edges
+(n_bins + 1 numbers) and one boundary row per bin — so the row-level work
+is plain codegen'd predicates over the source, with no joins.
 """
 
 from __future__ import annotations
@@ -15,7 +19,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import SplitConfig
 from tidewatch.operators.profile import quantiles_by_column
-from tidewatch.session import stage_table
 
 
 def order_hash(seed: int, key_cols: list[str]) -> Column:
@@ -23,93 +26,104 @@ def order_hash(seed: int, key_cols: list[str]) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def quantile_edges(df: DataFrame, column: str, n_bins: int) -> DataFrame:
-    """One row: ``edges`` = distinct quantiles at 0, 1/n, ..., 1 (duplicates dropped)."""
+def quantile_edges(df: DataFrame, column: str, n_bins: int, known_small: bool = False) -> list[float]:
+    """Distinct quantiles at 0, 1/n, ..., 1 (duplicates dropped), ascending."""
     probs = [i / n_bins for i in range(n_bins + 1)]
-    q = quantiles_by_column(df, [column], probs)
-    return q.agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("prob", "q"))), lambda s: s["q"])).alias("edges"))
+    rows = quantiles_by_column(df, [column], probs, known_small=known_small).collect()  # n_bins + 1 values
+    edges = []
+    for r in sorted(rows, key=lambda r: r["prob"]):
+        if r["q"] is not None and (not edges or r["q"] != edges[-1]):
+            edges.append(float(r["q"]))
+    return edges
 
 
-def with_quantile_bin(df: DataFrame, column: str, n_bins: int = 5, out: str = "bin") -> DataFrame:
-    """Bin index in right-closed quantile intervals (lowest edge included)."""
-    edges = quantile_edges(df, column, n_bins)
-    inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    y = F.col(f"`{column}`").cast("double")
-    j = df.crossJoin(F.broadcast(edges))  # one-row side
-    return j.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.when(y.isNull(), F.lit(None)).otherwise(F.size(F.filter(inner, lambda e: e < y))).alias(out),
-    )
-
-
-def _quotas(counts: DataFrame, group: str, take_frac: float) -> DataFrame:
-    """Exact per-group quotas: total = ceil(frac * n); floor shares, then the
-    largest remainders (ties by group value) get one more row."""
-    n = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    total = F.ceil(F.lit(float(take_frac)) * n).cast("long")
-    base = counts.select(group, "n", total.alias("_total"), n.alias("_all"))
-    base = base.select(
-        group, "n", "_total",
-        F.floor((F.col("_total") * F.col("n")) / F.col("_all")).cast("long").alias("_floor"),
-        ((F.col("_total") * F.col("n")) % F.col("_all")).alias("_rem"),
-    )
-    left = F.col("_total") - F.sum("_floor").over(Window.partitionBy(F.lit(1)))
-    rank = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(group)))
-    return base.select(group, (F.col("_floor") + F.when(rank <= left, 1).otherwise(0)).alias("quota"))
+def bin_expr(y: Column, edges: list[float]) -> Column:
+    """Number of inner edges strictly below y (right-closed bins, lowest
+    edge included); NULL stays NULL."""
+    inner = edges[1:-1]
+    b = F.lit(0)
+    for e in inner:
+        b = b + F.when(y > F.lit(e), 1).otherwise(0)
+    return F.when(y.isNull(), F.lit(None).cast("int")).otherwise(b.cast("int"))
 
 
-def take_per_group(df: DataFrame, group: str, h: str, tiebreak: list[str], quotas: DataFrame, out: str) -> DataFrame:
-    """Flag the first ``quota`` rows of each group in (h, tiebreak) order."""
+def with_quantile_bin(df: DataFrame, column: str, n_bins: int = 5, out: str = "bin") -> DataFrame:
+    edges = quantile_edges(df, column, n_bins)
+    return df.withColumn(out, bin_expr(F.col(f"`{column}`").cast("double"), edges))
+
+
+def _boundaries(df: DataFrame, group: Column, h: Column, take_frac: float) -> list:
+    """One action over the (group, hash-prefix) count table: per group, the
+    prefix bucket where its exact quota is crossed and how many rows of that
+    bucket are still needed.  Quotas: total = ceil(frac * n); floor shares;
+    the largest remainders (ties by group) get one more row."""
+    bt = df.groupBy(group.alias("_g"), F.substring(h, 1, 4).alias("_hb")).agg(F.count("*").alias("_n"))
+    g = bt.groupBy("_g").agg(F.sum("_n").alias("n"))
+    one = Window.partitionBy(F.lit(1))  # over the groups (<= n_bins rows)
+    q = g.select("_g", "n", F.sum("n").over(one).alias("_all"))
+    q = q.select("_g", "n", "_all", F.ceil(F.lit(float(take_frac)) * F.col("_all")).cast("long").alias("_total"))
+    q = q.select("_g", "n", "_total", F.floor(F.col("_total") * F.col("n") / F.col("_all")).cast("long").alias("_fl"),
+                 ((F.col("_total") * F.col("n")) % F.col("_all")).alias("_rem"))
+    left = F.col("_total") - F.sum("_fl").over(one)
+    rank = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc("_g")))
+    quotas = q.select("_g", (F.col("_fl") + F.when(rank <= left, 1).otherwise(0)).alias("quota"))
+    w = Window.partitionBy("_g").orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)  # <= 65536 rows per group
+    cum = bt.select("_g", "_hb", "_n", F.sum("_n").over(w).alias("_cum")).join(F.broadcast(quotas), "_g")
+    edge = cum.filter((F.col("_cum") - F.col("_n") < F.col("quota")) & (F.col("_cum") >= F.col("quota")))
+    return edge.select("_g", "_hb", (F.col("quota") - (F.col("_cum") - F.col("_n"))).alias("_need")).collect()
+
+
+def take_first(df: DataFrame, group: Column, h: Column, tiebreak: list[str], take_frac: float, out: str) -> DataFrame:
+    """Flag exactly the per-group quota of rows first in (h, tiebreak) order."""
+    bounds = _boundaries(df, group, h, take_frac)  # one row per group
     hb = F.substring(h, 1, 4)
-    bt = df.groupBy(group, hb.alias("_hb")).agg(F.count("*").alias("_n"))
-    # <= 65536 prefix buckets per group: bounded window partitions
-    w = Window.partitionBy(group).orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)
-    cum = bt.select(group, "_hb", "_n", F.sum("_n").over(w).alias("_cum")).join(F.broadcast(quotas), group)
-    boundary = cum.filter((F.col("_cum") - F.col("_n") < F.col("quota")) & (F.col("_cum") >= F.col("quota"))).select(
-        group, F.col("_hb").alias("_bhb"), (F.col("quota") - (F.col("_cum") - F.col("_n"))).alias("_need")
-    )
-    rows = df.withColumn("_hb", hb).join(F.broadcast(boundary), group, "left")  # one row per group
-    decided = rows.filter(F.col("_bhb").isNull() | (F.col("_hb") != F.col("_bhb"))).select(
-        *df.columns, (F.col("_bhb").isNotNull() & (F.col("_hb") < F.col("_bhb"))).alias(out)
-    )
-    we = Window.partitionBy(group).orderBy(F.col(h), *[F.col(f"`{c}`") for c in tiebreak])
-    edge = rows.filter(F.col("_hb") == F.col("_bhb")).select(
-        *df.columns, (F.row_number().over(we) <= F.col("_need")).alias(out)
-    )
+    before = F.lit(False)
+    at = F.lit(False)
+    for r in bounds:
+        g_is = group.eqNullSafe(F.lit(r["_g"]))
+        before = before | (g_is & (hb < F.lit(r["_hb"])))
+        at = at | (g_is & (hb == F.lit(r["_hb"])))
+    decided = df.filter(~at).withColumn(out, before)
+    need = F.lit(0)
+    for r in bounds:
+        need = F.when(group.eqNullSafe(F.lit(r["_g"])), F.lit(r["_need"])).otherwise(need)
+    we = Window.partitionBy(group).orderBy(h, *[F.col(f"`{c}`") for c in tiebreak])
+    edge = df.filter(at).withColumn(out, F.row_number().over(we) <= need)
     return decided.unionByName(edge)
 
 
-def stratified_split(
-    df: DataFrame, target: str, key_cols: list[str], config: SplitConfig = SplitConfig(), stage: bool = True
-) -> DataFrame:
+def stratified_split(df: DataFrame, target: str, key_cols: list[str], config: SplitConfig = SplitConfig(),
+                     stage: bool = True) -> DataFrame:
     """M6: adds ``split`` in {train, val, test}; sizes are exact.
 
     test = ceil(test_size * n) stratified on target quantile bins; val =
     ceil(val_size / (1 - test_size) * rest) stratified on bins recomputed on
     the rest; train = the remainder.
     """
-    cols = df.columns
-    b = with_quantile_bin(df, target, config.n_bins, "_bin1").withColumn("_h", order_hash(config.seed, key_cols))
-    if stage:
-        b = stage_table(b, "split-bins")
-    q1 = _quotas(b.groupBy("_bin1").agg(F.count("*").alias("n")), "_bin1", config.test_size)
-    t = take_per_group(b, "_bin1", "_h", key_cols, q1, "_is_test")
-    if stage:
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    h = order_hash(config.seed, key_cols)
+    y = F.col(f"`{target}`").cast("double")
+    from tidewatch.operators.prefix import EXACT_MAP_LIMIT
+
+    vals = F.when(~F.isnan(y), y)
+    distinct = df.agg(F.approx_count_distinct(vals, 0.02)).first()[0] or 0
+    small = distinct <= EXACT_MAP_LIMIT * 0.9
+    b1 = bin_expr(y, quantile_edges(df, target, config.n_bins, known_small=small))
+    t = take_first(df.withColumn("_h", h), b1, F.col("_h"), key_cols, config.test_size, "_is_test")
+    if stage:  # the remainder is read three times below: write it once
+        from tidewatch.session import stage_table
+
         t = stage_table(t, "split-test")
-    test = t.filter("_is_test")
     rest = t.filter(~F.col("_is_test")).drop("_is_test")
-    rest = with_quantile_bin(rest, target, config.n_bins, "_bin2")
-    q2 = _quotas(rest.groupBy("_bin2").agg(F.count("*").alias("n")), "_bin2", config.val_size / (1 - config.test_size))
-    v = take_per_group(rest, "_bin2", "_h", key_cols, q2, "_is_val")
-    out = test.select(*[F.col(f"`{c}`") for c in cols], F.lit("test").alias("split")).unionByName(
-        v.select(*[F.col(f"`{c}`") for c in cols], F.when(F.col("_is_val"), "val").otherwise("train").alias("split"))
+    # the remainder is a subset: its distinct count is bounded by the table's
+    b2 = bin_expr(y, quantile_edges(rest, target, config.n_bins, known_small=small))
+    v = take_first(rest, b2, F.col("_h"), key_cols, config.val_size / (1 - config.test_size), "_is_val")
+    return t.filter("_is_test").select(*cols, F.lit("test").alias("split")).unionByName(
+        v.select(*cols, F.when(F.col("_is_val"), "val").otherwise("train").alias("split"))
     )
-    return out
 
 
 def random_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """M7: exact ceil(test_size * n) test rows in md5(seed | key) order; adds ``split``."""
-    b = df.withColumn("_g", F.lit(0)).withColumn("_h", order_hash(seed, key_cols))
-    q = _quotas(b.groupBy("_g").agg(F.count("*").alias("n")), "_g", test_size)
-    t = take_per_group(b, "_g", "_h", key_cols, q, "_is_test")
+    t = take_first(df.withColumn("_h", order_hash(seed, key_cols)), F.lit(0), F.col("_h"), key_cols, test_size, "_is_test")
     return t.select(*[F.col(f"`{c}`") for c in df.columns], F.when(F.col("_is_test"), "test").otherwise("train").alias("split"))
