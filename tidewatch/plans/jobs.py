@@ -84,7 +84,8 @@ def retraining(
     keys = key_cols or data.columns
     parts = random_split(data, keys, test_size=0.2, seed=42)
     train, hold = parts.filter("split = 'train'"), parts.filter("split = 'test'")
-    enc = FeatureEncoder()
+    # the label and split bookkeeping must never become features
+    enc = FeatureEncoder(exclude=[TARGET, "label", "split"] + list(key_cols or []))
     chal = fit_pipeline(train.withColumn("label", F.col(TARGET).cast("double")), enc, forest(**FOREST_RETRAIN))
     hold = hold.withColumn("label", F.col(TARGET).cast("double"))
     scored = chal.transform(hold).select("label", F.col("prediction").alias("chal"))
