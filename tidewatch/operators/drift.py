@@ -75,32 +75,92 @@ def _adjust(p: Column, method: str | None, m: Column) -> Column:
 def choose_buckets(counts: DataFrame, config: DriftConfig) -> int:
     """Bucket count so that a running-sum task holds <= rows_per_bucket values.
 
-    One tiny aggregate over the staged counts (one row per feature).
+    One tiny aggregate over the staged counts (one row per feature); the
+    widest feature of either kind decides.
     """
     if config.ks_buckets is not None:
         return int(config.ks_buckets)
-    return min(config.max_buckets, auto_buckets(counts.filter(F.col("num").isNotNull()), ["fid"], config.rows_per_bucket))
+    return min(config.max_buckets, auto_buckets(counts, ["fid"], config.rows_per_bucket))
+
+
+def fused_stats(counts: DataFrame) -> DataFrame:
+    """KS, means and chi-square of every feature in one window pass.
+
+    Used when every feature fits one task (checked by :func:`choose_buckets`):
+    one repartition by feature, one sort serving both the running sums and
+    the whole-feature margins, one aggregate.  Returns one row per feature:
+    ``fid, n_ref, n_cur, statistic, p_value, mean_ref, mean_cur, mean_shift, dof``.
+    """
+    from tidewatch.functions.stats import chi2_sf, ks_pvalue
+    from tidewatch.operators.ks import mean_shift
+
+    nparts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run = Window.partitionBy("fid").orderBy("num").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("fid").orderBy("num").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    x = counts.repartition(nparts, "fid").select(
+        "fid", "num", "cat", "r", "c",
+        F.sum("r").over(run).alias("_cr"), F.sum("c").over(run).alias("_cc"),
+        F.sum("r").over(whole).alias("_nr"), F.sum("c").over(whole).alias("_nc"), F.count("*").over(whole).alias("_k"),
+    )
+    n = (F.col("_nr") + F.col("_nc")).cast("double")
+    col_tot = (F.col("r") + F.col("c")).cast("double")
+    e_r = F.try_divide(F.col("_nr") * col_tot, n)
+    e_c = F.try_divide(F.col("_nc") * col_tot, n)
+
+    def term(o, e):
+        d = F.abs(o.cast("double") - e)
+        d = F.when(F.col("_k") == 2, F.greatest(d - F.lit(0.5), F.lit(0.0))).otherwise(d)
+        return F.try_divide(d * d, e)
+
+    gap = F.abs(F.try_divide(F.col("_cr"), F.col("_nr")) - F.try_divide(F.col("_cc"), F.col("_nc")))
+    a = x.groupBy("fid").agg(
+        F.first("_nr").alias("n_ref"), F.first("_nc").alias("n_cur"), F.first("_k").alias("k"),
+        F.max(F.when(F.col("num").isNotNull(), gap)).alias("_d"),
+        F.try_divide(F.sum(F.col("num") * F.col("r")), F.first("_nr")).alias("mean_ref"),
+        F.try_divide(F.sum(F.col("num") * F.col("c")), F.first("_nc")).alias("mean_cur"),
+        F.sum(F.when(F.col("cat").isNotNull(), term(F.col("r"), e_r) + term(F.col("c"), e_c))).alias("_stat"),
+        F.bool_or(F.col("num").isNotNull()).alias("_is_num"),
+    )
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    valid = both & (F.col("k") > 1)
+    dof = (F.col("k") - 1).cast("long")
+    is_num = F.col("_is_num")
+    # one row per feature for both kinds: no second branch over the window
+    return a.select(
+        "fid", "n_ref", "n_cur",
+        F.when(is_num, F.when(both, F.col("_d"))).otherwise(F.when(valid, F.col("_stat")).otherwise(F.lit(0.0))).alias("statistic"),
+        F.when(is_num, ks_pvalue(F.when(both, F.col("_d")), F.col("n_ref"), F.col("n_cur"))).otherwise(
+            F.when(valid, chi2_sf(F.col("_stat"), dof)).otherwise(F.lit(1.0))).alias("p_value"),
+        F.when(is_num, F.col("mean_ref")).alias("mean_ref"), F.when(is_num, F.col("mean_cur")).alias("mean_cur"),
+        F.when(is_num, mean_shift(F.col("mean_ref"), F.col("mean_cur"))).alias("mean_shift"),
+        F.when(~is_num, dof).alias("dof"),
+    )
 
 
 def drift_details(counts: DataFrame, features: list[Feature], config: DriftConfig = DriftConfig()) -> DataFrame:
     spark = counts.sparkSession
     buckets = choose_buckets(counts, config)
-    ks = ks_from_counts(counts, buckets=buckets, accuracy=config.split_accuracy)
-    ch = chi2_from_counts(counts)
+    if buckets <= 1:
+        stats = fused_stats(counts)
+    else:
+        ks = ks_from_counts(counts, buckets=buckets, accuracy=config.split_accuracy)
+        ch = chi2_from_counts(counts)
+        stats = ks.select("fid", "n_ref", "n_cur", "statistic", "p_value", "mean_ref", "mean_cur", "mean_shift",
+                          F.lit(None).cast("long").alias("dof")).unionByName(
+            ch.select("fid", "n_ref", "n_cur", "statistic", "p_value", F.lit(None).cast("double").alias("mean_ref"),
+                      F.lit(None).cast("double").alias("mean_cur"), F.lit(None).cast("double").alias("mean_shift"), "dof"))
     meta = feature_frame(spark, features)
-    num = meta.filter(F.col("type") == NUMERICAL).join(ks, "fid", "left").select(
-        "fid", "feature", "type", "n_ref", "n_cur", "statistic", "p_value", "mean_ref", "mean_cur", "mean_shift",
-        F.lit(None).cast("long").alias("dof"),
-    )
-    cat = meta.filter(F.col("type") == CATEGORICAL).join(ch, "fid", "left").select(
+    is_cat = F.col("type") == CATEGORICAL
+    d = meta.join(F.broadcast(stats), "fid", "left").select(  # stats: one row per feature
         "fid", "feature", "type",
-        F.coalesce("n_ref", F.lit(0)).alias("n_ref"), F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
-        F.coalesce("statistic", F.lit(0.0)).alias("statistic"), F.coalesce("p_value", F.lit(1.0)).alias("p_value"),
-        F.lit(None).cast("double").alias("mean_ref"), F.lit(None).cast("double").alias("mean_cur"),
-        F.lit(None).cast("double").alias("mean_shift"), "dof",
+        F.when(is_cat, F.coalesce("n_ref", F.lit(0))).otherwise(F.col("n_ref")).alias("n_ref"),
+        F.when(is_cat, F.coalesce("n_cur", F.lit(0))).otherwise(F.col("n_cur")).alias("n_cur"),
+        F.when(is_cat, F.coalesce("statistic", F.lit(0.0))).otherwise(F.col("statistic")).alias("statistic"),
+        F.when(is_cat, F.coalesce("p_value", F.lit(1.0))).otherwise(F.col("p_value")).alias("p_value"),
+        "mean_ref", "mean_cur", "mean_shift", "dof",
     )
     # features x 1 rows: single-partition windows below are over the feature list only
-    d = num.unionByName(cat).coalesce(1)
+    d = d.coalesce(1)
     m = F.lit(len(features)).cast("double")
     d = d.withColumn("p_value", _adjust(F.col("p_value"), config.correction, m))
     alpha, theta = config.p_value_threshold, config.mean_diff_threshold

@@ -57,23 +57,48 @@ def as_double(df: DataFrame, name: str) -> Column:
     return F.expr(f"try_cast(`{name}` AS DOUBLE)")
 
 
-def _side_rows(df: DataFrame, side, features: list[Feature]) -> DataFrame:
+def _side_rows(df: DataFrame, side, features: list[Feature], kind: str) -> DataFrame:
+    """Rows ``(side, fid, v)`` of the features of one kind (``v`` double or string)."""
     args: list[Column] = []
     for f in features:
-        if f.kind == NUMERICAL:
-            args += [F.lit(f.fid), as_double(df, f.name), F.lit(None).cast("string")]
-        else:
-            args += [F.lit(f.fid), F.lit(None).cast("double"), F.col(f"`{f.name}`").cast("string")]
+        if f.kind != kind:
+            continue
+        v = as_double(df, f.name) if kind == NUMERICAL else F.col(f"`{f.name}`").cast("string")
+        args += [F.lit(f.fid), v]
     side_col = side if isinstance(side, Column) else F.lit(side)
-    rows = df.select(side_col.alias("side"), F.stack(F.lit(len(features)), *args).alias("fid", "num", "cat"))
-    return rows.filter(F.col("side").isNotNull() & ((F.col("num").isNotNull() & ~F.isnan("num")) | F.col("cat").isNotNull()))
+    rows = df.select(side_col.alias("side"), F.stack(F.lit(len(args) // 2), *args).alias("fid", "v"))
+    ok = F.col("v").isNotNull() & (~F.isnan("v") if kind == NUMERICAL else F.lit(True))
+    return rows.filter(F.col("side").isNotNull() & ok)
+
+
+def _counts_by_kind(side_rows, features: list[Feature], aggs) -> DataFrame:
+    """Numeric and categorical features are counted in separate aggregates:
+    a (int, double) key keeps Spark's fast primitive-key hash map, and column
+    pruning makes each branch read only its own columns."""
+    parts = []
+    for kind in (NUMERICAL, CATEGORICAL):
+        if not any(f.kind == kind for f in features):
+            continue
+        g = side_rows(kind).groupBy("fid", "v").agg(*aggs)
+        if kind == NUMERICAL:
+            g = g.select("fid", F.col("v").alias("num"), F.lit(None).cast("string").alias("cat"), *[a for a in g.columns[2:]])
+        else:
+            g = g.select("fid", F.lit(None).cast("double").alias("num"), F.col("v").alias("cat"), *[a for a in g.columns[2:]])
+        parts.append(g)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _rc():
+    return [F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c")]
 
 
 def long_counts(ref: DataFrame, cur: DataFrame, features: list[Feature]) -> DataFrame:
     """``(fid, num, cat, r, c)``: per-feature distinct values with counts per side."""
-    both = _side_rows(ref, 0, features).unionByName(_side_rows(cur, 1, features))
-    return both.groupBy("fid", "num", "cat").agg(
-        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c")
+    return _counts_by_kind(
+        lambda kind: _side_rows(ref, 0, features, kind).unionByName(_side_rows(cur, 1, features, kind)), features, _rc()
     )
 
 
@@ -82,11 +107,9 @@ def long_counts_split(df: DataFrame, current: Column, features: list[Feature]) -
     a per-row expression (``current`` true -> current, false -> reference,
     NULL -> neither), so the table is scanned once instead of twice."""
     side = F.when(current, F.lit(1)).when(~current, F.lit(0))
-    return _side_rows(df, side, features).groupBy("fid", "num", "cat").agg(
-        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c")
-    )
+    return _counts_by_kind(lambda kind: _side_rows(df, side, features, kind), features, _rc())
 
 
 def single_counts(df: DataFrame, features: list[Feature]) -> DataFrame:
     """``(fid, num, cat, n)`` for one table (profiles, stored reference profiles)."""
-    return _side_rows(df, 0, features).groupBy("fid", "num", "cat").agg(F.count("*").alias("n"))
+    return _counts_by_kind(lambda kind: _side_rows(df, 0, features, kind), features, [F.count("*").alias("n")])
