@@ -51,11 +51,10 @@ class DriftReport:
             F.col("reasons"),
         )
         det = self.details.agg(
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("feature"), entry)))).alias("details")
-        )
+            F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("feature"), entry))))
+        ).scalar()  # one map with one entry per feature
         summ = self.summary.select(F.struct(*self.summary.columns).alias("summary"))
-        both = summ.crossJoin(det)  # one row x one row
-        return both.select(F.to_json(F.struct("summary", "details")).alias("report"))
+        return summ.select(F.to_json(F.struct(F.col("summary"), det.alias("details"))).alias("report"))
 
 
 def _adjust(p: Column, method: str | None, m: Column) -> Column:

@@ -39,7 +39,7 @@ def regression_metrics(
     med = weighted_quantiles(cnt, keys, "_ae", "_w", [0.5], out="median_ae").drop("prob")
     if group:
         return out.join(med, group, "left")
-    return out.crossJoin(med.drop("_g"))  # one row x one row
+    return out.select("*", med.select("median_ae").scalar().alias("median_ae"))
 
 
 def compare_models(predictions: DataFrame, model_col: str = "model", label: str = "label", prediction: str = "prediction") -> DataFrame:

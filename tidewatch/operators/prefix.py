@@ -102,13 +102,12 @@ def exact_quantiles(
     Returns ``keys + [prob, out]``.  Only the rows that own the needed ranks
     are touched: the rank table (groups x probs x 2) is broadcast.
     """
-    spark = cum.sparkSession
-    pr = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "pi int, prob double")
     rk = [f"_rk{i}" for i in range(len(keys))]
+    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     ranks = (
         totals.filter(F.col(total_col) > 0)
-        .select(*[F.col(k).alias(r) for k, r in zip(keys, rk)], F.col(total_col).alias("_tot"))
-        .crossJoin(F.broadcast(pr))  # groups x |probs|: both sides bounded
+        .select(*[F.col(k).alias(r) for k, r in zip(keys, rk)], F.col(total_col).alias("_tot"),
+                F.posexplode(probs_arr).alias("pi", "prob"))  # groups x |probs| rows
         .select(*rk, "pi", "prob", (F.col("prob") * (F.col("_tot") - 1)).alias("_pos"))
         .select(
             *rk, "pi", "prob", "_pos",

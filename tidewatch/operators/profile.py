@@ -164,9 +164,9 @@ def target_shape(df: DataFrame, column: str) -> DataFrame:
         F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
         F.max(x).alias("max"), F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"),
     )
-    med = quantiles_by_column(df, [column], [0.5]).select(F.col("q").alias("median"))
-    return base.crossJoin(med).select(  # one row x one row
-        F.lit(column).alias("feature"), "n", "mean", "median", "std", "min", "max",
+    med = quantiles_by_column(df, [column], [0.5]).select("q").scalar()
+    return base.select(
+        F.lit(column).alias("feature"), "n", "mean", med.alias("median"), "std", "min", "max",
         adjusted_skewness(F.col("_g1"), F.col("n")).alias("skewness"),
         adjusted_kurtosis(F.col("_g2"), F.col("n")).alias("kurtosis"),
     )
@@ -232,14 +232,13 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Equal-width bins over [min, max]; the max falls in the last bin."""
-    rng = df.agg(F.min(_q(column).cast("double")).alias("_lo"), F.max(_q(column).cast("double")).alias("_hi"))
+    lo = df.agg(F.min(_q(column).cast("double"))).scalar()
+    hi = df.agg(F.max(_q(column).cast("double"))).scalar()
     x = df.select(_q(column).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    j = x.crossJoin(F.broadcast(rng))  # the range side is one row
-    lo, hi = F.col("_lo"), F.col("_hi")
     b = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_x") - lo) / ((hi - lo) / bins)).cast("int"), F.lit(bins - 1))
     )
-    cnt = j.select(b.alias("bin"), "_lo", "_hi").groupBy("bin", "_lo", "_hi").agg(F.count("*").alias("n"))
+    cnt = x.groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
     return cnt.select(
         "bin",
         (lo + F.col("bin") * (hi - lo) / bins).alias("bin_start"),

@@ -201,11 +201,10 @@ def std_median_shift_lineitem(spark, sf):
 def drift_trend_events(spark, sf):
     """Daily mean shift of events.value against the first week, with trend."""
     ev = T(spark, sf, "events")
-    ref = ev.filter(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")).agg(F.avg("value").alias("ref_mean"))
+    ref_mean = ev.filter(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")).agg(F.avg("value")).scalar()
     daily = ev.filter(F.col("ts") >= F.lit("2024-01-08").cast("timestamp_ntz")).groupBy(
         F.to_date("ts").alias("day")).agg(F.avg("value").alias("cur_mean"))
-    j = daily.crossJoin(F.broadcast(ref)).select(  # one-row side
-        F.lit("value").alias("feature"), "day", F.abs((F.col("cur_mean") - F.col("ref_mean")) / F.col("ref_mean")).alias("mean_shift"))
+    j = daily.select(F.lit("value").alias("feature"), "day", F.abs((F.col("cur_mean") - ref_mean) / ref_mean).alias("mean_shift"))
     t = drift_trend(j, "day", "mean_shift")
     return t.select("feature", "day", r6("mean_shift").alias("mean_shift"), r6("mean_shift_delta").alias("mean_shift_delta"),
                     r6("mean_shift_rolling").alias("mean_shift_rolling"))
@@ -506,20 +505,18 @@ def zero_impute(spark, sf):
     """Zero discounts flagged, then imputed with the exact median of the non-zero ones."""
     li = T(spark, sf, "lineitem")
     nz = li.filter(F.col("l_discount") != 0)
-    med = P.quantiles_by_column(nz, ["l_discount"], [0.5]).select(F.col("q").alias("med"))
-    j = li.select("l_discount").crossJoin(F.broadcast(med))  # one-row side
-    filled = F.when(F.col("l_discount") == 0, F.col("med")).otherwise(F.col("l_discount"))
-    return j.agg(F.count_if(F.col("l_discount") == 0).alias("n_zero"), r6(F.first("med")).alias("median_nonzero"),
-                 r6(F.avg(filled)).alias("mean_after_impute"))
+    med = P.quantiles_by_column(nz, ["l_discount"], [0.5]).select("q").scalar()
+    filled = F.when(F.col("l_discount") == 0, med).otherwise(F.col("l_discount"))
+    return li.agg(F.count_if(F.col("l_discount") == 0).alias("n_zero"), r6(F.first(med)).alias("median_nonzero"),
+                  r6(F.avg(filled)).alias("mean_after_impute"))
 
 
 def mode_impute(spark, sf):
     """X15 (strings): NULL return flags filled with the most frequent flag (ties by value)."""
     li = _nullable_lineitem(spark, sf)
     mode = li.filter(F.col("l_returnflag").isNotNull()).groupBy("l_returnflag").count().agg(
-        F.min_by("l_returnflag", F.struct(F.lit(0) - F.col("count"), F.col("l_returnflag"))).alias("mode"))
-    j = li.select("l_returnflag").crossJoin(F.broadcast(mode))  # one-row side
-    return j.select(F.coalesce("l_returnflag", "mode").alias("l_returnflag")).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+        F.min_by("l_returnflag", F.struct(F.lit(0) - F.col("count"), F.col("l_returnflag")))).scalar()
+    return li.select(F.coalesce(F.col("l_returnflag"), mode).alias("l_returnflag")).groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
 
 # ---- registry ---------------------------------------------------------------

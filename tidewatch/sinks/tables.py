@@ -35,11 +35,11 @@ def drift_report_rows(report) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(
             F.col("feature"),
             F.struct("type", "drift_detected", F.struct("statistic", "p_value").alias("statistical_metrics"), "reasons"),
-        )))).alias("details")
-    )
+        ))))
+    ).scalar()  # one map with one entry per feature
     summ = report.summary.select(F.struct(*report.summary.columns).alias("summary"), F.col("timestamp"))
-    return summ.crossJoin(det).select(  # one row x one row
-        "timestamp", "summary", "details", F.lit("drift_report").alias("type"),
+    return summ.select(
+        "timestamp", "summary", det.alias("details"), F.lit("drift_report").alias("type"),
         F.substring("timestamp", 1, 10).alias("run_date"),
     )
 
