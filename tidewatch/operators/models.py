@@ -44,9 +44,16 @@ def ridge(train: DataFrame, label: str = "label", features: str = "features", al
     return lr.fit(train)
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Tree learners run one task per input partition on every pass: spread
+    inputs with fewer partitions than the cluster's parallelism."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def fit_pipeline(train: DataFrame, encoder, estimator) -> PipelineModel:
     """Encoder fitted on the training rows only (M5), then the model."""
-    return Pipeline(stages=[encoder, estimator]).fit(train)
+    return Pipeline(stages=[encoder, estimator]).fit(balanced(train))
 
 
 def feature_importance(model, names: list[str], top: int | None = 15, spark=None) -> DataFrame:

@@ -133,7 +133,9 @@ def profile_run(df: DataFrame, target: str) -> dict[str, DataFrame]:
 def baseline_training(train: DataFrame, val: DataFrame, label: str = "label", features: str = "features",
                       names: list[str] | None = None):
     """Forest + ridge on the same encoded rows; comparison, gates, importances."""
-    rf = forest(label=label, features=features).fit(train)
+    from tidewatch.operators.models import balanced
+
+    rf = forest(label=label, features=features).fit(balanced(train))
     rg = ridge(train, label=label, features=features)
     preds = rf.transform(val).select(F.lit("random_forest").alias("model"), F.col(label).alias("label"), "prediction").unionByName(
         rg.transform(val).select(F.lit("ridge").alias("model"), F.col(label).alias("label"), "prediction"))
