@@ -90,3 +90,14 @@ def test_cross_validation_grid(spark, students):
     enc = FeatureEncoder(exclude=["G3", "label", "student_id"])
     cvm = cross_validate(data, enc, forest(numTrees=5), {"maxDepth": [2, 4]}, ["student_id"], folds=3)
     assert len(cvm.avgMetrics) == 2
+
+
+def test_backfill_and_append_batch(spark, students, tmp_path):
+    from tidewatch.sinks.tables import append_batch
+
+    lab, unl = str(tmp_path / "lab"), str(tmp_path / "unl")
+    _batches(lab, [student_pandas(40, 3)])
+    append_batch(spark.createDataFrame(student_pandas(25, 4).drop(columns=["G3"])), unl)
+    counts = {r[0]: r[1] for r in jobs.backfill(spark, students.drop("student_id"), lab, unl, student_schema(),
+                                                  str(tmp_path / "raw")).collect()}
+    assert counts == {"training_historical": 395, "incoming_labeled": 40, "incoming_unlabeled": 25}

@@ -302,6 +302,29 @@ def distinct_counts_customer(spark, sf):
     return P.distinct_counts(T(spark, sf, "customer"))
 
 
+# Column descriptions of the customer table (feature dictionary, P24).
+CUSTOMER_DICTIONARY = {
+    "c_custkey": ("customer key", "identifier"),
+    "c_name": ("customer name", "identifier"),
+    "c_nationkey": ("nation of the customer", "categorical"),
+    "c_acctbal": ("account balance", "numerical"),
+    "c_mktsegment": ("market segment", "categorical"),
+}
+
+
+def column_dictionary_customer(spark, sf):
+    return P.column_dictionary(T(spark, sf, "customer"), CUSTOMER_DICTIONARY)
+
+
+def drift_score_lineitem(spark, sf):
+    """A 0..1 drift score per feature: KS D for numeric, Cramér's V for categorical."""
+    d = _drift(spark, sf, "lineitem").details
+    n = (F.col("n_ref") + F.col("n_cur")).cast("double")
+    score = F.when(F.col("type") == "numerical", F.col("statistic")).otherwise(
+        F.when((F.col("dof") >= 1) & (n > 0), F.sqrt(F.col("statistic") / n)).otherwise(F.lit(0.0)))
+    return d.select("feature", "type", r6(score).alias("drift_score"))
+
+
 def range_outliers(spark, sf):
     return P.range_outliers(T(spark, sf, "part"), "p_size", 15, 22)
 

@@ -104,6 +104,23 @@ def retraining(
     return RetrainOutcome(PROMOTED, rep, champ_mae, m["chal_mae"], v, {"model": chal})
 
 
+def backfill(spark: SparkSession, history: DataFrame, labeled_dir: str, unlabeled_dir: str, schema,
+             raw_log: str, versions: DataFrame | None = None, versions_log: str | None = None) -> DataFrame:
+    """K8: one batch job loading history and both incoming directories into the
+    raw-data log (stamped per dataset type) and, if given, the version history
+    into the versions log.  Returns the per-type row counts written."""
+    from tidewatch.sinks.tables import append_raw
+
+    lab = read_batches(spark, labeled_dir, schema).drop("_file", "_mtime", "_blk", "_mono")
+    unl_schema = schema.__class__([f for f in schema.fields if f.name != TARGET])
+    unl = read_batches(spark, unlabeled_dir, unl_schema).drop("_file", "_mtime", "_blk", "_mono")
+    for df, kind in ((history, "training_historical"), (lab, "incoming_labeled"), (unl, "incoming_unlabeled")):
+        append_raw(df, raw_log, kind)
+    if versions is not None and versions_log:
+        versions.write.mode("append").parquet(versions_log)
+    return spark.read.parquet(raw_log).groupBy("dataset_type").agg(F.count("*").alias("n_rows"))
+
+
 def bootstrap(spark: SparkSession, raw: DataFrame, key_cols: list[str], registry_path: str,
               split: SplitConfig = SplitConfig()):
     """Clean -> stratified split -> encoder fit on train -> forest -> metrics -> version 1."""

@@ -382,6 +382,16 @@ SELECT round(sxy / (sxx + 1.0), 4) AS coefficient, round(my - sxy / (sxx + 1.0)
     q["nation_region"] = "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"
     q["side_by_side_scores"] = ("SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n, round(avg(abs(l_quantity - l_extendedprice / 2000.0)), 6) AS mae_a, "
                                 "round(avg(abs(l_quantity - l_extendedprice / 1500.0)), 6) AS mae_b FROM lineitem GROUP BY 1")
+    dct = [("c_custkey", "customer key", "identifier"), ("c_name", "customer name", "identifier"),
+           ("c_nationkey", "nation of the customer", "categorical"), ("c_acctbal", "account balance", "numerical"),
+           ("c_mktsegment", "market segment", "categorical")]
+    types = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}
+    q["column_dictionary_customer"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, '{d}' AS description, '{k}' AS category, '{types[c]}' AS dtype, "
+        f"CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct FROM customer" for c, d, k in dct)
+    q["drift_score_lineitem"] = drift_with("lineitem", LI_REF, LI_CUR, LI_ALL_NUMERIC, LI_CAT,
+        "SELECT feature, type, round(CASE WHEN type = 'numerical' THEN stat "
+        "WHEN nr + nc > 0 AND (SELECT k FROM cm WHERE cm.feature = det.feature) > 1 THEN sqrt(stat / (nr + nc)) ELSE 0.0 END, 6) AS drift_score FROM det")
     q["stream_ingest"] = "SELECT *, 'incoming_unlabeled' AS dataset_type FROM events"
     q["stream_windowed_profile"] = ("SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end, "
                                     "event_type AS category, CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS sum_value, round(sum(value * value), 6) AS sum_sq "

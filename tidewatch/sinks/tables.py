@@ -93,3 +93,9 @@ def table_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame
         out = one if out is None else out.unionByName(one)
     return out if out is not None else spark.createDataFrame([], T.StructType([
         T.StructField("table", T.StringType()), T.StructField("n_rows", T.LongType())]))
+
+
+def append_batch(df: DataFrame, directory: str) -> None:
+    """K7: save scored inputs back as a new unlabeled batch (CSV with header),
+    closing the loop to the batch readers (S3/S8)."""
+    df.write.mode("append").option("header", True).csv(directory)
