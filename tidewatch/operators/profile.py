@@ -206,8 +206,10 @@ def value_counts(df: DataFrame, columns=None, top: int = 5) -> DataFrame:
     cnt = single_counts(df, feats).select("fid", F.col("cat").alias("value"), "n")
     from pyspark.sql import Window
 
-    # Per-feature top-k: Window over (feature) on the already-aggregated
-    # distinct values; ``top`` is the feature here (a top-k report).
+    # Per-feature top-k (``top`` is the feature: a top-k report).  Spark plans
+    # ``row_number() <= k`` as WindowGroupLimit Partial -> Exchange -> Final,
+    # so each map task ships at most k rows per feature, however many
+    # distinct values a feature has.
     w = Window.partitionBy("fid").orderBy(F.desc("n"), F.asc("value"))
     ranked = cnt.select("*", F.row_number().over(w).alias("rank")).filter(F.col("rank") <= top)
     names = df.sparkSession.createDataFrame([(f.fid, f.name) for f in feats], "fid int, feature string")
