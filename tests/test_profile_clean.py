@@ -83,3 +83,27 @@ def test_fill_defaults_adds_absent_columns(spark):
 
 def test_yes_to_int_null(spark):
     assert spark.range(1).select(yes_to_int(F.lit(None).cast("string"))).first()[0] == 0
+
+
+def test_bucketed_quantiles_match_numpy(spark):
+    """Force the scalable path (no percentile map) and compare with numpy."""
+    import numpy as np
+
+    from tidewatch.operators.longform import Feature, single_counts
+    from tidewatch.operators.prefix import running_sums, exact_quantiles, weighted_quantiles
+
+    rng = np.random.default_rng(3)
+    vals = np.round(rng.gamma(2.0, 3.0, 5000), 1)  # ties included
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    cnt = single_counts(df, [Feature(0, "x", "numerical")]).select("fid", F.col("num").alias("value"), "n")
+    got = {r["prob"]: r["q"] for r in weighted_quantiles(cnt, ["fid"], "value", "n", probs, map_limit=0).collect()}
+    for p in probs:
+        assert got[p] == pytest.approx(float(np.quantile(vals, p)), abs=1e-9)
+    # many buckets, same answer
+    cum = running_sums(cnt, ["fid"], "value", ["n"], buckets=17, accuracy=50)
+    tot = cnt.groupBy("fid").agg(F.sum("n").alias("t"))
+    got2 = {r["prob"]: r["q"] for r in exact_quantiles(cum, ["fid"], "value", "n", tot, "t", probs).collect()}
+    assert got2 == pytest.approx(got)
+    wide = P.quantiles_by_column(df, ["x"], probs, map_limit=0).collect()
+    assert {r["prob"]: r["q"] for r in wide} == pytest.approx(got)

@@ -94,40 +94,46 @@ def zero_counts(df: DataFrame, columns) -> DataFrame:
 
 
 def quantiles_by_column(df: DataFrame, columns, probs, map_limit: int = EXACT_MAP_LIMIT,
-                        known_small: bool = False) -> DataFrame:
+                        known_small: bool = False, distinct_hint: dict | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of many columns: ``feature, prob, q``.
-    ``known_small`` skips the sizing pass when the caller knows the bound holds.
 
-    One HyperLogLog pass sizes every column.  Columns with at most
-    ``map_limit`` distinct values (with a margin for the sketch error) are
-    done by Spark's exact ``percentile`` in one aggregate over the raw rows
-    (its per-column map is then bounded); wider columns go through the long
-    form and the bucketed running sums, so no column sits in one task.
+    A column's non-null count bounds its distinct count.  Columns under
+    ``map_limit`` go to Spark's exact ``percentile`` (its per-column map is
+    then bounded): one global aggregate for a single column, one aggregate
+    per feature over the long form for several.  Larger columns go through
+    the long form to :func:`weighted_quantiles`, which measures the exact
+    distinct counts and uses the bucketed running sums where needed, so no
+    column ever sits whole in one task.  ``distinct_hint`` (column -> bound)
+    reuses counts the caller already has; ``known_small`` asserts the bound.
     """
     spark = df.sparkSession
     cols = list(columns)
     vals = {c: F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")) for c in cols}
-    if known_small:  # the caller has a bound (e.g. a subset of a table already sized)
+    if known_small:
         small = cols
     else:
-        hll = df.agg(*[F.approx_count_distinct(vals[c], 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-        small = [c for i, c in enumerate(cols) if (hll[f"d{i}"] or 0) <= map_limit * 0.9]
+        if distinct_hint is None:
+            row = df.agg(*[F.count(vals[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+            distinct_hint = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+        small = [c for c in cols if (distinct_hint.get(c) or 0) <= map_limit]
     wide = [c for c in cols if c not in small]
     parts = []
     pr = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "_pi int, prob double")
-    if small:
-        arr = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(vals[c], arr).alias(f"q{i}") for i, c in enumerate(small)])
-        args = []
-        for i, c in enumerate(small):
-            args += [F.lit(c), F.col(f"q{i}")]
-        long = row.select(F.stack(F.lit(len(small)), *args).alias("feature", "_qs"))
-        e = long.select("feature", F.posexplode("_qs").alias("_pi", "q"))
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    if len(small) == 1:  # one column: one global aggregate over the raw rows
+        c = small[0]
+        e = df.agg(F.percentile(vals[c], arr).alias("_qs")).select(F.lit(c).alias("feature"), F.posexplode("_qs").alias("_pi", "q"))
+        parts.append(e.join(F.broadcast(pr), "_pi").select("feature", "prob", "q"))
+    elif small:  # many columns: one percentile map per feature, merged in parallel tasks
+        feats = [Feature(i, c, "numerical") for i, c in enumerate(small)]
+        q = single_counts(df, feats).groupBy("fid").agg(F.percentile(F.col("num"), arr, F.col("n")).alias("_qs"))
+        names = spark.createDataFrame([(f.fid, f.name) for f in feats], "fid int, feature string")
+        e = q.join(F.broadcast(names), "fid").select("feature", F.posexplode("_qs").alias("_pi", "q"))
         parts.append(e.join(F.broadcast(pr), "_pi").select("feature", "prob", "q"))
     if wide:
         feats = [Feature(i, c, "numerical") for i, c in enumerate(wide)]
         cnt = single_counts(df, feats).select("fid", F.col("num").alias("value"), "n")
-        q = weighted_quantiles(cnt, ["fid"], "value", "n", probs, map_limit=0)
+        q = weighted_quantiles(cnt, ["fid"], "value", "n", probs, map_limit=map_limit)
         names = spark.createDataFrame([(f.fid, f.name) for f in feats], "fid int, feature string")
         parts.append(q.join(F.broadcast(names), "fid").select("feature", "prob", "q"))
     out = parts[0]
@@ -146,9 +152,15 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
         aggs += [
             F.count(x).alias(f"count__{i}"), F.avg(x).alias(f"mean__{i}"), F.stddev_samp(x).alias(f"std__{i}"),
             F.min(x).alias(f"min__{i}"), F.max(x).alias(f"max__{i}"),
+            F.count(F.when(~F.isnan(x), x)).alias(f"nd__{i}"),
         ]
-    base = _long(df.agg(*aggs), cols, stats)
-    qs = quantiles_by_column(df, cols, [0.25, 0.5, 0.75])
+    row = df.agg(*aggs).first()  # one row: moments and a distinct-count bound per column
+    spark = df.sparkSession
+    base = spark.createDataFrame(
+        [(c, row[f"count__{i}"], row[f"mean__{i}"], row[f"std__{i}"], row[f"min__{i}"], row[f"max__{i}"]) for i, c in enumerate(cols)],
+        "feature string, count long, mean double, std double, min double, max double",
+    )
+    qs = quantiles_by_column(df, cols, [0.25, 0.5, 0.75], distinct_hint={c: row[f"nd__{i}"] for i, c in enumerate(cols)})
     piv = qs.groupBy("feature").agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("q"))).alias("p25"),
         F.max(F.when(F.col("prob") == 0.5, F.col("q"))).alias("p50"),

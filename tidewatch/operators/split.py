@@ -106,8 +106,8 @@ def stratified_split(df: DataFrame, target: str, key_cols: list[str], config: Sp
     from tidewatch.operators.prefix import EXACT_MAP_LIMIT
 
     vals = F.when(~F.isnan(y), y)
-    distinct = df.agg(F.approx_count_distinct(vals, 0.02)).first()[0] or 0
-    small = distinct <= EXACT_MAP_LIMIT * 0.9
+    n_values = df.agg(F.count(vals)).first()[0] or 0  # bounds the distinct count
+    small = n_values <= EXACT_MAP_LIMIT
     b1 = bin_expr(y, quantile_edges(df, target, config.n_bins, known_small=small))
     t = take_first(df.withColumn("_h", h), b1, F.col("_h"), key_cols, config.test_size, "_is_test")
     if stage:  # the remainder is read three times below: write it once
