@@ -211,3 +211,16 @@ def test_single_scan_equals_two_tables(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], rel=1e-12)
+
+
+def test_stored_reference_profile(spark):
+    from tidewatch import detect_drift_against, reference_profile, stage_table
+
+    ref, cur = _lineitem_halves(spark)
+    feats = common_features(ref, cur)
+    prof = stage_table(reference_profile(ref, feats), "test-profile")
+    a = {r["feature"]: (r["statistic"], r["drift_detected"]) for r in detect_drift(ref, cur).details.collect()}
+    b = {r["feature"]: (r["statistic"], r["drift_detected"]) for r in detect_drift_against(prof, cur, feats).details.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == pytest.approx(b[k][0], rel=1e-12) and a[k][1] == b[k][1]

@@ -227,3 +227,28 @@ def detect_drift_split(
         counts = stage_table(counts, "drift-counts")
     details = drift_details(counts, features, config)
     return DriftReport(details=details, summary=drift_summary(details), features=features)
+
+
+def reference_profile(ref: DataFrame, features: list[Feature]) -> DataFrame:
+    """Per-feature value counts of a reference table (``fid, num, cat, n``).
+
+    Written once (e.g. with :func:`tidewatch.session.stage_table` or to a
+    table), it lets later runs scan only the new data.
+    """
+    from tidewatch.operators.longform import single_counts
+
+    return single_counts(ref, features)
+
+
+def detect_drift_against(profile: DataFrame, cur: DataFrame, features: list[Feature],
+                         config: DriftConfig = DriftConfig()) -> DriftReport:
+    """Drift of ``cur`` against a stored reference profile: only ``cur`` is scanned."""
+    from tidewatch.operators.longform import single_counts
+
+    ref = profile.select("fid", "num", "cat", F.col("n").alias("r"), F.lit(0).cast("long").alias("c"))
+    new = single_counts(cur, features).select("fid", "num", "cat", F.lit(0).cast("long").alias("r"), F.col("n").alias("c"))
+    counts = ref.unionByName(new).groupBy("fid", "num", "cat").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    if config.stage:
+        counts = stage_table(counts, "drift-counts")
+    details = drift_details(counts, features, config)
+    return DriftReport(details=details, summary=drift_summary(details), features=features)

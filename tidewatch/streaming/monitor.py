@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.config import DriftConfig
-from tidewatch.operators.drift import drift_details
-from tidewatch.operators.longform import Feature, single_counts
+from tidewatch.operators.longform import Feature
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -70,12 +69,11 @@ def drift_gate(reference_counts: DataFrame, features: list[Feature], sink_path:
                config: DriftConfig = DriftConfig()):
     """ST2: ``foreachBatch`` function testing each micro-batch against a stored
     reference profile (``fid, num, cat, n`` from :func:`single_counts`)."""
-    ref = reference_counts.select("fid", "num", "cat", F.col("n").alias("r"), F.lit(0).cast("long").alias("c"))
+    from tidewatch.operators.drift import detect_drift_against
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        cur = single_counts(batch, features).select("fid", "num", "cat", F.lit(0).cast("long").alias("r"), F.col("n").alias("c"))
-        counts = ref.unionByName(cur).groupBy("fid", "num", "cat").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-        det = drift_details(counts, features, config).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        det = detect_drift_against(reference_counts, batch, features, config).details
+        det = det.withColumn("batch_id", F.lit(batch_id).cast("long"))
         # idempotent per batch: the batch's partition is overwritten on replay
         (det.withColumn("reasons", F.array_join("reasons", "; ")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink_path))
