@@ -135,6 +135,18 @@ def drift_report_lineitem(spark, sf):
     return _report_rows(_drift(spark, sf, "lineitem").details)
 
 
+def drift_vs_profile_events(spark, sf):
+    """Current events against a stored reference profile: the reference half is
+    profiled once and written; the run scans only the current rows."""
+    from tidewatch.operators.drift import detect_drift_against, reference_profile
+
+    ev = T(spark, sf, "events")
+    ref, cur = halves(ev, "ts", EVENTS_CUT)
+    feats = common_features(ev, ev)
+    prof = stage_table(reference_profile(ref, feats), "events-profile")
+    return _report_rows(detect_drift_against(prof, cur, feats).details)
+
+
 def drift_summary_orders(spark, sf):
     return _drift(spark, sf, "orders").summary.drop("timestamp")
 

@@ -234,6 +234,7 @@ def build() -> dict[str, str]:
     q["drift_mean_shift"] = drift_with("lineitem", LI_REF, LI_CUR, LI_ALL_NUMERIC, [],
         "SELECT feature, round(mr, 6) AS mean_ref, round(mc, 6) AS mean_cur, round(shift, 6) AS mean_shift, shift > 0.1 AS shift_drift FROM ks")
     q["drift_report_events"] = report_query("events", EV_REF, EV_CUR, EV_NUM, EV_CAT)
+    q["drift_vs_profile_events"] = report_query("events", EV_REF, EV_CUR, EV_NUM, EV_CAT)
     q["drift_report_lineitem"] = report_query("lineitem", LI_REF, LI_CUR, LI_ALL_NUMERIC, LI_CAT)
     summ = ("SELECT CAST(count(*) AS BIGINT) AS total_features_analyzed, CAST(count(*) FILTER (WHERE drift) AS BIGINT) AS drifted_features_count, "
             "coalesce(bool_or(drift), false) AS drift_detected_overall FROM det")
