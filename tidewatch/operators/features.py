@@ -24,6 +24,10 @@ from tidewatch.operators.longform import Feature, is_numeric_type, single_counts
 from tidewatch.schema import NOMINAL, NUMERICAL, ORDINAL, TARGET
 
 
+# Upper bound on one-hot categories per nominal column (fit-state size guard).
+MAX_CATEGORIES = 10_000
+
+
 def ordinal_code(c: Column, categories: list) -> Column:
     """M1: position in the explicit category list (0-based); unknown/NULL -> -1."""
     arr = F.array(*[F.lit(v) for v in categories])
@@ -73,8 +77,14 @@ class FeatureEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultPa
         categories: dict[str, list[str]] = {c: [] for c in nominal}
         if nominal:
             feats = [Feature(i, c, "categorical") for i, c in enumerate(nominal)]
-            # fitted state: the distinct categories (bounded by column cardinality)
-            for r in single_counts(df, feats).select("fid", "cat").collect():
+            # fitted state: the distinct categories; the collect is bounded and a
+            # column with more categories than one-hot can sensibly hold fails loudly
+            cap = MAX_CATEGORIES * len(nominal)
+            rows = single_counts(df, feats).select("fid", "cat").limit(cap + 1).collect()
+            if len(rows) > cap:
+                raise ValueError(f"nominal columns have more than {MAX_CATEGORIES} categories each on average; "
+                                 "one-hot encoding is not meant for identifier-like columns")
+            for r in rows:
                 categories[nominal[r["fid"]]].append(r["cat"])
             categories = {k: sorted(v) for k, v in categories.items()}
         scale = {}
