@@ -109,3 +109,49 @@ def test_entry_contract(spark):
     assert df.count() == 11 and df.columns == ["feature", "type", "drift_detected", "statistic", "p_value", "reasons"]
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 60
+
+
+def test_metadata_document_roundtrip_and_latest(spark, tmp_path):
+    from tidewatch.operators.registry import latest_entry
+    from tidewatch.schema import METADATA_SCHEMA
+    from tidewatch.sources.files import read_json_document
+
+    path = str(tmp_path / "versions")
+    register(spark, path, 1.3, 0.8)
+    register(spark, path, 1.1, 0.9)
+    meta = metadata(_read(spark, path))
+    doc = str(tmp_path / "metadata.json")
+    meta.select(F.to_json(F.struct(*meta.columns))).coalesce(1).write.text(doc)
+    back = read_json_document(spark, doc, METADATA_SCHEMA)
+    r = back.first()
+    assert r["latest_version"] == 2 and r["current_production_version"] == 2 and len(r["history"]) == 2
+    le = latest_entry(back).first()
+    assert le["latest"]["version"] == 2 and le["retrain_count"] == 2
+
+
+def test_metrics_document_and_random_row(spark):
+    from tidewatch.operators.metrics import regression_metrics
+    from tidewatch.sinks.tables import metrics_document
+    from tidewatch.sources.files import random_row
+
+    df = spark.createDataFrame([(i, float(i), float(i) + 0.5) for i in range(20)], "k int, label double, prediction double")
+    doc = metrics_document(regression_metrics(df), 3, "random_forest", 41).first()
+    assert doc["metadata"]["version"] == 3 and doc["metadata"]["num_features"] == 41 and doc["metrics"]["mae"] == 0.5
+    a = random_row(df, ["k"]).first()["k"]
+    assert a == random_row(df.repartition(5), ["k"]).first()["k"]
+
+
+def test_feature_matrix_by_split(spark, students, tmp_path):
+    from tidewatch.operators.clean import clean_binary
+    from tidewatch.operators.features import FeatureEncoder
+    from tidewatch.operators.split import stratified_split
+    from tidewatch.sinks.tables import write_feature_matrix
+    from tidewatch.sources.files import read_feature_matrix
+
+    data = clean_binary(students).withColumn("label", F.col("G3").cast("double"))
+    s = stratified_split(data, "G3", ["student_id"])
+    m = FeatureEncoder(exclude=["G3", "label", "split", "student_id"]).fit(s.filter("split = 'train'"))
+    path = str(tmp_path / "features")
+    write_feature_matrix(m.transform(s), path, m.feature_names)
+    x, y = read_feature_matrix(spark, path, "val")
+    assert x.count() == 50 and len(x.columns) == 41 and y.columns == ["label"]

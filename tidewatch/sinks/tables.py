@@ -99,3 +99,10 @@ def append_batch(df: DataFrame, directory: str) -> None:
     """K7: save scored inputs back as a new unlabeled batch (CSV with header),
     closing the loop to the batch readers (S3/S8)."""
     df.write.mode("append").option("header", True).csv(directory)
+
+
+def write_feature_matrix(encoded: DataFrame, path: str, names: list[str], label: str = "label",
+                         split_col: str = "split") -> None:
+    """S6 (writer side): encoded named features + label, partitioned by split."""
+    encoded.select(*[F.col(f"`{n}`") for n in names], F.col(label), F.col(split_col)) \
+        .write.mode("overwrite").partitionBy(split_col).parquet(path)

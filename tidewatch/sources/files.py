@@ -101,3 +101,9 @@ def random_row(df: DataFrame, key_cols: list[str], seed: int = 42) -> DataFrame:
     """One deterministic pseudo-random row (md5(seed | key) order)."""
     h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key_cols]))
     return df.orderBy(h, *key_cols).limit(1)
+
+
+def read_feature_matrix(spark: SparkSession, path: str, split: str, label: str = "label"):
+    """(X, y) of one split; the split filter prunes partitions at the scan."""
+    df = spark.read.parquet(path).filter(F.col("split") == split)
+    return df.drop("split", label), df.select(label)
