@@ -654,7 +654,7 @@ def stream_drift_gate(spark, sf):
          .foreachBatch(drift_gate(profile, feats, out)).trigger(availableNow=True).start())
     q.awaitTermination()
     d = spark.read.parquet(out)
-    return d.select("batch_id", "feature", "type", "drift_detected", r6("statistic").alias("statistic"),
+    return d.select(F.col("batch_id").cast("long").alias("batch_id"), "feature", "type", "drift_detected", r6("statistic").alias("statistic"),
                     r6("p_value").alias("p_value"), "reasons")
 
 
