@@ -24,6 +24,39 @@ from tidewatch.plans import catalog as C  # noqa: E402
 from tidewatch.session import get_spark  # noqa: E402
 
 
+def _shuffle_bytes(log_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, from Spark's event log."""
+    import glob
+    import io
+
+    import zstandard
+
+    group_of_stage: dict[int, str] = {}
+    out: dict[str, int] = {}
+    for f in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(f) or os.path.basename(f).startswith((".", "appstatus")):
+            continue
+        raw = open(f, "rb").read()
+        try:
+            text = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw)).read().decode()
+        except zstandard.ZstdError:
+            text = raw.decode(errors="ignore")
+        for line in text.splitlines():
+            if not line.strip():
+                continue
+            e = json.loads(line)
+            if e["Event"] == "SparkListenerJobStart":
+                g = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                for sid in e["Stage IDs"]:
+                    group_of_stage[sid] = g
+            elif e["Event"] == "SparkListenerTaskEnd":
+                g = group_of_stage.get(e["Stage ID"])
+                m = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                if g:
+                    out[g] = out.get(g, 0) + int(m.get("Shuffle Bytes Written", 0))
+    return out
+
+
 def _sf_of(path: str) -> float | str:
     m = re.search(r"sf([0-9.]+)", path)
     return float(m.group(1)) if m else path
@@ -32,7 +65,11 @@ def _sf_of(path: str) -> float | str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="tidewatch-bench")
+    import tempfile
+
+    log_dir = tempfile.mkdtemp(prefix="tidewatch-bench-events-")  # scratch: event log for shuffle bytes
+    spark = get_spark(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="tidewatch-bench",
+                      extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
     tracker = spark.sparkContext.statusTracker()
     T = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
 
@@ -83,8 +120,14 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         jobs[name] = len(tracker.getJobIdsForGroup(name))
     total = round(sum(times.values()), 3)
+    spark.stop()  # flush the event log
+    try:
+        shuffle = {k: v for k, v in _shuffle_bytes(log_dir).items() if k in times}
+    except Exception:  # noqa: BLE001 - the measurement is optional
+        shuffle = {}
     print(json.dumps({"metric": "total_wall_sec", "value": total, "unit": "sec", "queries": times, "jobs": jobs,
-                      "sf": _sf_of(sf_dir), "cpus": cpus, "warmup": "untimed drift report on nation"}))
+                      "shuffle_bytes": shuffle, "sf": _sf_of(sf_dir), "cpus": cpus,
+                      "warmup": "untimed drift report on nation"}))
 
 
 if __name__ == "__main__":

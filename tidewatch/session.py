@@ -14,7 +14,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "tidewatch") -> SparkSession:
+def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "tidewatch",
+              extra_conf: dict | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -28,6 +29,8 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ti
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
