@@ -1,9 +1,12 @@
 """Drift detection job (W1): per-feature decision, reasons and summary.
 
-``detect_drift(ref, cur)`` builds ONE plan: both tables are scanned once,
-unpivoted into the long form and counted with a single map-side-combined
-shuffle; KS, mean shift and chi-square all read that one exchange (Spark
-reuses it), and every later step works on per-value or per-feature rows.
+Both tables are scanned once (``detect_drift_split``: one table, the side
+a per-row expression), unpivoted into the long form and counted with
+map-side-combined aggregates.  The counts — one row per distinct value per
+feature — are written once to the shared checkpoint folder; KS, mean shift
+and chi-square then read that table: in one fused window pass when every
+feature fits a task, otherwise with bucketed running sums.  Every later
+step works on per-value or per-feature rows.
 """
 
 from __future__ import annotations
@@ -16,8 +19,6 @@ from pyspark.sql import functions as F
 from tidewatch.config import DriftConfig
 from tidewatch.operators.chi2 import chi2_from_counts
 from tidewatch.operators.ks import ks_from_counts
-from tidewatch.operators.prefix import auto_buckets
-from tidewatch.session import stage_table
 from tidewatch.operators.longform import (
     CATEGORICAL,
     NUMERICAL,
@@ -27,6 +28,8 @@ from tidewatch.operators.longform import (
     long_counts,
     long_counts_split,
 )
+from tidewatch.operators.prefix import auto_buckets
+from tidewatch.session import stage_table
 
 # The reasons the reference attaches to a drifted feature.
 REASON_KS = "KS-Test P-value significant"
