@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.config import SplitConfig
 from tidewatch.operators.profile import quantiles_by_column
@@ -87,7 +88,12 @@ def take_first(df: DataFrame, group: Column, h: Column, tiebreak: list[str], tak
     need = F.lit(0)
     for r in bounds:
         need = F.when(group.eqNullSafe(F.lit(r["_g"])), F.lit(r["_need"])).otherwise(need)
-    we = Window.partitionBy(group).orderBy(h, *[F.col(f"`{c}`") for c in tiebreak])
+    # ties on (hash, key) — only if key columns do not identify rows — are
+    # broken by the remaining columns, so membership stays deterministic
+    atomic = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+    rest_cols = [f.name for f in df.schema.fields
+                 if f.name not in set(tiebreak) and f.name != "_h" and isinstance(f.dataType, atomic)]
+    we = Window.partitionBy(group).orderBy(h, *[F.col(f"`{c}`") for c in list(tiebreak) + rest_cols])
     edge = df.filter(at).withColumn(out, F.row_number().over(we) <= need)
     return decided.unionByName(edge)
 
