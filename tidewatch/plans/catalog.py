@@ -222,6 +222,16 @@ def drift_trend_events(spark, sf):
                     r6("mean_shift_rolling").alias("mean_shift_rolling"))
 
 
+def label_drift_bands(spark, sf):
+    """Label drift — chi-square on the target's right-closed grade bands
+    (l_quantity / 2.5 on the 0-20 scale) between the lineitem halves."""
+    from tidewatch.schema import GRADE_BAND_EDGES
+
+    li = T(spark, sf, "lineitem").withColumn(
+        "target_band", P.right_closed_band(F.col("l_quantity") / 2.5, GRADE_BAND_EDGES).cast("string"))
+    return _chi2(*_counts(spark, sf, "lineitem", ["target_band"], df=li))
+
+
 def text_length_drift(spark, sf):
     """KS on document length, English vs other languages."""
     d = T(spark, sf, "documents").withColumn("text_length", F.length("text"))

@@ -266,6 +266,9 @@ d AS (SELECT CAST(ts AS DATE) AS day, avg(value) AS cm FROM events WHERE ts >= T
 s AS (SELECT day, abs((cm - m) / m) AS ms FROM d, ref)
 SELECT 'value' AS feature, day, round(ms, 6) AS mean_shift, round(ms - lag(ms) OVER (ORDER BY day), 6) AS mean_shift_delta,
        round(avg(ms) OVER (ORDER BY day ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS mean_shift_rolling FROM s"""
+    band = ("CAST(CASE WHEN l_quantity / 2.5 >= 0 AND l_quantity / 2.5 <= 5 THEN 0 WHEN l_quantity / 2.5 > 5 AND l_quantity / 2.5 <= 10 THEN 1 "
+            "WHEN l_quantity / 2.5 > 10 AND l_quantity / 2.5 <= 15 THEN 2 WHEN l_quantity / 2.5 > 15 AND l_quantity / 2.5 <= 20 THEN 3 END AS VARCHAR)")
+    q["label_drift_bands"] = chi_query(f"(SELECT *, {band} AS target_band FROM lineitem)", LI_REF, LI_CUR, ["target_band"])
     q["text_length_drift"] = ks_query("(SELECT *, length(text) AS text_length FROM documents)", "lang = 'en'", "lang <> 'en'", ["text_length"])
 
     q["recent_window"] = "SELECT event_id, ts, user_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000"
