@@ -232,6 +232,18 @@ def label_drift_bands(spark, sf):
     return _chi2(*_counts(spark, sf, "lineitem", ["target_band"], df=li))
 
 
+def concept_drift_monthly(spark, sf):
+    """Concept drift as the formula model's MAE per ship month, with the
+    change against the previous month and a 3-month rolling mean."""
+    s = T(spark, sf, "lineitem").select(
+        F.date_trunc("month", "l_shipdate").cast("date").alias("month"),
+        F.abs(F.col("l_quantity") - F.col("l_extendedprice") / 2000.0).alias("abs_error"))
+    per = s.groupBy("month").agg(F.avg("abs_error").alias("mae"), F.count("*").alias("n")).withColumn("feature", F.lit("model"))
+    t = drift_trend(per, "month", "mae", key="feature")
+    return t.join(per.select("month", "n"), "month").select(
+        "month", "n", r6("mae").alias("mae"), r6("mae_delta").alias("mae_delta"), r6("mae_rolling").alias("mae_rolling"))
+
+
 def text_length_drift(spark, sf):
     """KS on document length, English vs other languages."""
     d = T(spark, sf, "documents").withColumn("text_length", F.length("text"))

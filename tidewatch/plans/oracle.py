@@ -269,6 +269,11 @@ SELECT 'value' AS feature, day, round(ms, 6) AS mean_shift, round(ms - lag(ms) O
     band = ("CAST(CASE WHEN l_quantity / 2.5 >= 0 AND l_quantity / 2.5 <= 5 THEN 0 WHEN l_quantity / 2.5 > 5 AND l_quantity / 2.5 <= 10 THEN 1 "
             "WHEN l_quantity / 2.5 > 10 AND l_quantity / 2.5 <= 15 THEN 2 WHEN l_quantity / 2.5 > 15 AND l_quantity / 2.5 <= 20 THEN 3 END AS VARCHAR)")
     q["label_drift_bands"] = chi_query(f"(SELECT *, {band} AS target_band FROM lineitem)", LI_REF, LI_CUR, ["target_band"])
+    q["concept_drift_monthly"] = """
+WITH m AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, avg(abs(l_quantity - l_extendedprice / 2000.0)) AS mae,
+                  CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY 1)
+SELECT month, n, round(mae, 6) AS mae, round(mae - lag(mae) OVER (ORDER BY month), 6) AS mae_delta,
+       round(avg(mae) OVER (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS mae_rolling FROM m"""
     q["text_length_drift"] = ks_query("(SELECT *, length(text) AS text_length FROM documents)", "lang = 'en'", "lang <> 'en'", ["text_length"])
 
     q["recent_window"] = "SELECT event_id, ts, user_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000"
