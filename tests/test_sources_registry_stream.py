@@ -155,3 +155,17 @@ def test_feature_matrix_by_split(spark, students, tmp_path):
     write_feature_matrix(m.transform(s), path, m.feature_names)
     x, y = read_feature_matrix(spark, path, "val")
     assert x.count() == 50 and len(x.columns) == 41 and y.columns == ["label"]
+
+
+def test_csv_scans_both_separators(spark, tmp_path):
+    from tidewatch.sources.files import read_csv
+
+    pdf = student_pandas(30, 5)
+    semi, comma = str(tmp_path / "semi.csv"), str(tmp_path / "comma.csv")
+    pdf.to_csv(semi, sep=";", index=False)
+    pdf.to_csv(comma, index=False)
+    a = read_csv(spark, semi, student_schema(), sep=";")
+    b = read_csv(spark, comma, student_schema())
+    assert a.count() == b.count() == 30
+    assert a.exceptAll(b).count() == 0 and a.schema == b.schema
+    assert a.agg(F.sum("G3")).first()[0] == int(pdf["G3"].sum())
