@@ -101,3 +101,17 @@ def test_backfill_and_append_batch(spark, students, tmp_path):
     counts = {r[0]: r[1] for r in jobs.backfill(spark, students.drop("student_id"), lab, unl, student_schema(),
                                                   str(tmp_path / "raw")).collect()}
     assert counts == {"training_historical": 395, "incoming_labeled": 40, "incoming_unlabeled": 25}
+
+
+def test_side_by_side_scores_original_rows(spark, students):
+    from tidewatch.operators.models import fit_pipeline, side_by_side
+
+    data = clean_binary(students).withColumn("label", F.col("G3").cast("double"))
+    enc = FeatureEncoder(exclude=["G3", "label", "student_id"])
+    m = fit_pipeline(data, enc, forest(numTrees=5, maxDepth=4))
+    both = side_by_side({"a": m, "b": m}, data, ["student_id", "label"])
+    direct = {r["student_id"]: r["prediction"] for r in m.transform(data).select("student_id", "prediction").collect()}
+    rows = both.collect()
+    assert len(rows) == 395
+    for r in rows:
+        assert r["a"] == r["b"] == direct[r["student_id"]]

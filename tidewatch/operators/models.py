@@ -89,3 +89,17 @@ def cross_validate(train: DataFrame, encoder, estimator, grid: dict, key_cols: l
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=b.build(), foldCol="_fold", numFolds=folds,
                         evaluator=RegressionEvaluator(labelCol=label, metricName="mae"), seed=seed)
     return cv.fit(data)
+
+
+def side_by_side(models: dict, rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Score the same rows with several fitted pipelines, one prediction
+    column per model name.  Each model sees the original columns (carried
+    through the previous transform in a struct), never another model's
+    encoded features."""
+    cur = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_orig"))
+    preds: list[str] = []
+    for name, model in models.items():
+        scored = model.transform(cur.select("_orig.*", *preds, "_orig"))
+        cur = scored.select("_orig", *preds, F.col("prediction").alias(name))
+        preds.append(name)
+    return cur.select(*[F.col(f"_orig.`{c}`").alias(c) for c in keep], *preds)

@@ -88,10 +88,10 @@ def retraining(
     enc = FeatureEncoder(exclude=[TARGET, "label", "split"] + list(key_cols or []))
     chal = fit_pipeline(train.withColumn("label", F.col(TARGET).cast("double")), enc, forest(**FOREST_RETRAIN))
     hold = hold.withColumn("label", F.col(TARGET).cast("double"))
-    scored = chal.transform(hold).select("label", F.col("prediction").alias("chal"))
-    if champion is not None:
-        scored = chal.transform(hold).select("*", F.col("prediction").alias("chal")).drop("prediction", "features")
-        scored = champion.transform(scored).select("label", "chal", F.col("prediction").alias("champ"))
+    from tidewatch.operators.models import side_by_side
+
+    models = {"chal": chal} if champion is None else {"chal": chal, "champ": champion}
+    scored = side_by_side(models, hold, ["label"])
     m = scored.agg(
         F.avg(F.abs(F.col("label") - F.col("chal"))).alias("chal_mae"),
         *( [F.avg(F.abs(F.col("label") - F.col("champ"))).alias("champ_mae")] if champion is not None else [] ),
