@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from tidewatch.llm.fingerprint import op1_fingerprint
 from tidewatch.llm.packing import op5_packing
+from tidewatch.llm.sharding import op3_sharding
 
-QUERIES = {f.__name__: f for f in (op5_packing,)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op3_sharding, op5_packing)}
 ORACLES: dict[str, str] = {}
