@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tidewatch.llm.bpe import op10_bpe
 from tidewatch.llm.fingerprint import op1_fingerprint
+from tidewatch.llm.langid import op4_langid
 from tidewatch.llm.packing import op5_packing
 from tidewatch.llm.sharding import op3_sharding
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint, op3_sharding, op5_packing)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op3_sharding, op4_langid, op5_packing, op10_bpe)}
 ORACLES: dict[str, str] = {}
