@@ -102,7 +102,17 @@ class ChunkEncoder:
         return out
 
 
-def _groups(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def encoder_of(tokenizer_path: str) -> ChunkEncoder:
+    """One encoder (and cache) per Python worker, kept from task to task."""
+    if tokenizer_path not in _ENCODERS:
+        _ENCODERS[tokenizer_path] = ChunkEncoder(tokenizer_path)
+    return _ENCODERS[tokenizer_path]
+
+
+def text_groups(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Slices of about ``most`` characters, one text at least."""
     start = size = 0
     for i, t in enumerate(texts):
@@ -124,10 +134,10 @@ def token_streams(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         part, at = TaskContext.get().partitionId(), 0
-        encoder = ChunkEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for lo, hi in _groups(texts):
+            for lo, hi in text_groups(texts):
                 ids = [x + end for x in encoder.encode_many(texts[lo:hi])]
                 n = np.fromiter((len(x) // 4 for x in ids), dtype=np.int64, count=len(ids))
                 starts = at + np.cumsum(n) - n
