@@ -6,7 +6,9 @@ from tidewatch.llm.bpe import op10_bpe
 from tidewatch.llm.fingerprint import op1_fingerprint
 from tidewatch.llm.langid import op4_langid
 from tidewatch.llm.packing import op5_packing
+from tidewatch.llm.pii import op2_pii
 from tidewatch.llm.sharding import op3_sharding
+from tidewatch.llm.toxicity import op7_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint, op3_sharding, op4_langid, op5_packing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_pii, op3_sharding, op4_langid, op5_packing, op7_toxicity, op10_bpe)}
 ORACLES: dict[str, str] = {}
