@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 
 from tests.llm.helpers import documents, table_dir
-from tidewatch.llm.packing import ChunkEncoder, op5_packing, pack
+from tidewatch.llm.packing import ChunkEncoder, RankEncoder, op5_packing, pack, public_vocabulary
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -49,6 +49,16 @@ def test_chunk_cuts_do_not_change_ids():
             assert np.frombuffer(raw, "<u4").tolist() == reference_ids(t)[:-1]
 
 
+def test_both_encoders_agree():
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
+    texts += ["a  b", " \n", "it's  we'll 12 3 ", "<|endoftext|> a", "日本 и x", "", "x" * 3000, "\u00a0 \u2003 a\u0085b"]
+    own = RankEncoder(PATH, *public_vocabulary()[4])
+    for t, raw in zip(texts, own.encode_many(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == reference_ids(t)[:-1]
+
+
 def test_empty_table_and_repeated_rows(spark):
     assert pack(documents(spark, []), PATH).count() == 0
     twice = pack(documents(spark, ["same text", "same text"], [5, 5]), PATH, window=2)

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm.packing import pack
+from tidewatch.llm.packing import pack, public_vocabulary
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the kept documents in sequences of 1024 tokens, with their ids."""
-    import public_tokenizers
-
-    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return pieces.withColumnRenamed("piece", "ids")
+    return pack(docs, *public_vocabulary()).withColumnRenamed("piece", "ids")
