@@ -8,7 +8,10 @@ from tidewatch.llm.langid import op4_langid
 from tidewatch.llm.packing import op5_packing
 from tidewatch.llm.pii import op2_pii
 from tidewatch.llm.sharding import op3_sharding
+from tidewatch.llm import topk
+from tidewatch.llm.topk import op8_topk
 from tidewatch.llm.toxicity import op7_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_pii, op3_sharding, op4_langid, op5_packing, op7_toxicity, op10_bpe)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_pii, op3_sharding, op4_langid, op5_packing, op7_toxicity, op8_topk,
+                                 op10_bpe)}
+ORACLES: dict[str, str] = {"op8_topk": topk.SQL}
