@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import map_batches, read_table, whole_text
 from tidewatch.llm.packing import ChunkEncoder, text_groups
 
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -178,7 +178,8 @@ class BytePairCodec:
     """Whole texts to ids and back, with a bounded cache of chunks.
 
     Texts are cut at spaces before something other than white space, where the
-    pattern always starts a new match (see ``packing.ChunkEncoder``)."""
+    pattern always starts a new match (see ``packing.ChunkEncoder``).  The
+    cache holds a chunk's ids as text, once they have been decoded again."""
 
     def __init__(self, ranks_path: str, pattern: str, cache_chunks: int = CACHE_CHUNKS):
         import regex
@@ -186,15 +187,21 @@ class BytePairCodec:
         self.merger = Merger(read_ranks(ranks_path))
         self.tokens = {i: b for b, i in self.merger.ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.young: dict[str, tuple[int, str, bytes]] = {}
-        self.old: dict[str, tuple[int, str, bytes]] = {}
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
         self.cache_chunks = cache_chunks
 
+    def _matches(self, text: str) -> list[bytes]:
+        word = text[1:] if text[:1] == " " else text
+        if word.isascii() and word.isalpha():  # a run of letters is one match
+            return [text.encode()]
+        return [m.encode() for m in self.find(text)]
+
     def encode_many(self, texts: list[str]) -> list[list[int]]:
-        matches = [[m.encode() for m in self.find(t)] for t in texts]
+        matches = [self._matches(t) for t in texts]
         distinct = list({m for own in matches for m in own})
         ids = dict(zip(distinct, self._merged(distinct)))
-        return [[i for m in own for i in ids[m]] for own in matches]
+        return [ids[own[0]] if len(own) == 1 else [i for m in own for i in ids[m]] for own in matches]
 
     def _merged(self, pieces: list[bytes]) -> list[list[int]]:
         """Pre-tokens in shares of bounded size (a long one may be a share alone)."""
@@ -212,20 +219,29 @@ class BytePairCodec:
 
     def digest_many(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """Of each text: number of ids, hash of the ids as text, hash of the decoded bytes."""
-        cut = [[c for c in ChunkEncoder.chunks(t) if c] for t in texts]
+        cut = [ChunkEncoder.chunks(t) for t in texts]
+        for own in cut:
+            if not own[0]:
+                del own[0]
         known = self.young
-        missing = {c for own in cut for c in own}.difference(known)
+        missing = set().union(*cut).difference(known)
         for c in missing.intersection(self.old):
             known[c] = self.old[c]
         todo = list(missing.difference(known))
+        odd = {}  # chunks whose ids decode to other bytes: none under a complete byte vocabulary
         for c, ids in zip(todo, self.encode_many(todo)):
-            known[c] = len(ids), " ".join(map(str, ids)), self.decode(ids)
-        out = []
-        for own in cut:
-            parts = [known[c] for c in own]
-            ids = " ".join([p[1] for p in parts])
-            out.append((sum([p[0] for p in parts]), hashlib.sha256(ids.encode()).hexdigest(),
-                        hashlib.sha256(b"".join([p[2] for p in parts])).hexdigest()))
+            known[c] = " ".join(map(str, ids))
+            decoded = self.decode(ids)
+            if decoded != c.encode():
+                odd[c] = decoded
+        get, out = known.__getitem__, []
+        for t, own in zip(texts, cut):
+            ids = " ".join(map(get, own))
+            decoded = t.encode() if not odd else b"".join(odd.get(c, c.encode()) for c in own)
+            out.append((ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+                        hashlib.sha256(decoded).hexdigest()))
+        for c in odd:  # never cached, so always decoded anew
+            del known[c]
         if len(known) > self.cache_chunks:
             self.old, self.young = known, {}
         return out
