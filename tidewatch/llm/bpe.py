@@ -25,6 +25,7 @@ from tidewatch.llm.common import map_batches, read_table, whole_text
 from tidewatch.llm.packing import ChunkEncoder, text_groups
 
 CACHE_CHUNKS = 400_000
+GROUP = 1 << 22  # characters of texts whose new pre-tokens share a queue
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -81,34 +82,52 @@ class Merger:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.two = np.full(1 << 16, -1, dtype=np.int64)  # ranks of byte pairs
+        self.one = np.full(256, -1, dtype=np.int64)  # ids of single bytes
+        for token, rank in ranks.items():
+            if len(token) == 1:
+                self.one[token[0]] = rank
+        # rank of a pair by the ids of its halves, for every way to halve a token
+        self.pairs: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                left, right = ranks.get(token[:k]), ranks.get(token[k:])
+                if left is not None and right is not None:
+                    self.pairs[left << 32 | right] = rank
+        self.two = np.full(1 << 16, -1, dtype=np.int64)  # the same for two bytes, as a table
         for token, rank in ranks.items():
             if len(token) == 2:
                 self.two[token[0] << 8 | token[1]] = rank
 
     def ids(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each pre-token (none of them empty)."""
-        ranks = self.ranks
-        get = ranks.get
+        get = self.pairs.get
         raw = b"".join(pieces)
         n = len(raw)
-        ends = np.cumsum([len(p) for p in pieces])
-        starts = ends - [len(p) for p in pieces]
+        sizes = np.array([len(p) for p in pieces])
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
         data = np.frombuffer(raw, dtype=np.uint8).astype(np.int64)
         found = np.full(n, -1, dtype=np.int64)
         found[:-1] = self.two[data[:-1] << 8 | data[1:]]
         found[ends - 1] = -1
-        known = [get(p) for p in pieces]  # a whole pre-token that is a token is that token
-        for k, rank in enumerate(known):
-            if rank is not None:
-                found[starts[k]:ends[k]] = -1
+        first = self.one[data]
+        swallowed = np.zeros(n, dtype=bool)
+        for start, end, piece in zip(starts.tolist(), ends.tolist(), pieces):
+            whole = self.ranks.get(piece)  # a whole pre-token that is a token is that token
+            if whole is not None:
+                found[start:end] = -1
+                first[start] = whole
+                swallowed[start + 1:end] = True
         queue = RankQueue()
         places = np.flatnonzero(found >= 0)
         places = places[np.argsort(found[places], kind="stable")]
         kinds, at = np.unique(found[places], return_index=True)
-        for rank, some in zip(kinds.tolist(), np.split(places, at[1:]) if len(at) else []):
-            queue.push(rank, some.tolist())
-        pair = found.tolist()  # rank of the pair that begins here; -1: none, or no part begins here
+        cuts = [*at.tolist(), len(places)]
+        places = places.tolist()
+        for rank, lo, hi in zip(kinds.tolist(), cuts, cuts[1:]):
+            queue.push(rank, places[lo:hi])
+        part = first.tolist()  # id of the part that begins here
+        pair = found.tolist()  # rank of the pair that begins here; -1: none; -2: the part is swallowed
         after = list(range(1, n + 1))  # where the part that begins here ends
         before = list(range(-1, n - 1))  # where the part to the left begins
         edge = bytearray(n + 1)  # a pre-token begins here
@@ -127,21 +146,24 @@ class Merger:
                 j = after[i]  # the right part, now swallowed
                 end = after[j]
                 after[i] = end
-                pair[j] = pair[i] = -1
-                if not edge[end]:
-                    before[end] = i
-                    got = get(raw[i:after[end]])
-                    if got is not None:
-                        pair[i] = got
-                        if got in buckets:
-                            buckets[got].append(i)
-                        else:
-                            queue.push(got, [i])
+                part[i] = rank
+                pair[j] = -2
+                got = None if edge[end] else get(rank << 32 | part[end])
+                if got is None:
+                    pair[i] = -1
+                else:
+                    pair[i] = got
+                    if got in buckets:
+                        buckets[got].append(i)
+                    else:
+                        queue.push(got, [i])
                         if got < lowest:
                             lowest = got
+                if not edge[end]:
+                    before[end] = i
                 h = before[i]
                 if h >= 0:
-                    got = get(raw[h:end])
+                    got = get(part[h] << 32 | rank)
                     if got is None:
                         pair[h] = -1
                     elif got != pair[h]:
@@ -150,8 +172,8 @@ class Merger:
                             buckets[got].append(h)
                         else:
                             queue.push(got, [h])
-                        if got < lowest:
-                            lowest = got
+                            if got < lowest:
+                                lowest = got
                 if lowest < rank:  # a merge has opened a smaller rank: it comes first
                     rest = entries[done + 1:]
                     if rest:
@@ -161,17 +183,10 @@ class Merger:
                             queue.push(rank, rest)
                     break
             rank = queue.first()
-        out = []
-        for start, end, whole in zip(starts.tolist(), ends.tolist(), known):
-            if whole is not None:
-                out.append([whole])
-                continue
-            ids, i = [], start
-            while i < end:
-                ids.append(ranks[raw[i:after[i]]])
-                i = after[i]
-            out.append(ids)
-        return out
+        alive = (np.array(pair) != -2) & ~swallowed
+        out = np.array(part)[alive].tolist()
+        stops = np.cumsum(alive)[ends - 1].tolist()
+        return [out[lo:hi] for lo, hi in zip([0, *stops], stops)]
 
 
 class BytePairCodec:
@@ -209,7 +224,7 @@ class BytePairCodec:
         for p in pieces:
             share.append(p)
             size += len(p)
-            if size >= 1 << 18:
+            if size >= 1 << 20:
                 out += self.merger.ids(share)
                 share, size = [], 0
         return out + (self.merger.ids(share) if share else [])
@@ -263,7 +278,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def run(batch: pa.RecordBatch) -> dict:
         own = codec(ranks_path, pattern)
         texts = batch.column("text").to_pylist()
-        ids = [i for lo, hi in text_groups(texts) for i in own.encode_many(texts[lo:hi])]
+        ids = [i for lo, hi in text_groups(texts, GROUP) for i in own.encode_many(texts[lo:hi])]
         return {id_col: batch.column(id_col), "ids": ids, "decoded": [own.decode(i) for i in ids]}
 
     return map_batches(docs.select(F.col(id_col).cast("long").alias(id_col), whole_text().alias("text")), run,
@@ -275,7 +290,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     def run(batch: pa.RecordBatch) -> dict:
         own = codec(ranks_path, pattern)
         texts = batch.column("text").to_pylist()
-        rows = [r for lo, hi in text_groups(texts) for r in own.digest_many(texts[lo:hi])]
+        rows = [r for lo, hi in text_groups(texts, GROUP) for r in own.digest_many(texts[lo:hi])]
         n, ids, decoded = zip(*rows)
         return {id_col: batch.column(id_col), "n_tokens": n, "ids_sha256": ids, "decoded_sha256": decoded}
 
