@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidewatch.llm.bpe import op10_bpe
 from tidewatch.llm.fingerprint import op1_fingerprint
+from tidewatch.llm.jaccard_join import op9_jaccard_join
 from tidewatch.llm.langid import op4_langid
 from tidewatch.llm.packing import op5_packing
 from tidewatch.llm.pii import op2_pii
@@ -13,5 +14,5 @@ from tidewatch.llm.topk import op8_topk
 from tidewatch.llm.toxicity import op7_toxicity
 
 QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_pii, op3_sharding, op4_langid, op5_packing, op7_toxicity, op8_topk,
-                                 op10_bpe)}
+                                 op9_jaccard_join, op10_bpe)}
 ORACLES: dict[str, str] = {"op8_topk": topk.SQL}

@@ -69,6 +69,54 @@ def range_index(value: Column, bounds: list) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
 
 
+BITMAP_BITS = 1 << 24
+
+
+def id_bitmap(ids: DataFrame, id_col: str) -> Callable:
+    """A test for use in tasks: may this id be among ``ids``?  (Never a wrong no.)
+
+    The bitmap has a fixed size (2 MB, whatever the number of ids), so it may
+    be collected and sent along; callers join exactly afterwards."""
+    import numpy as np
+
+    bit = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(BITMAP_BITS))
+    rows = (ids.select((bit + 1).alias("b"))  # Spark's bitmap functions count from one
+            .groupBy(F.bitmap_bucket_number("b").alias("n"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect())
+    raw = bytearray(BITMAP_BITS // 8)
+    for r in rows:
+        at = (r["n"] - 1) * 4096
+        raw[at:at + len(r["bits"])] = r["bits"]
+    shared = ids.sparkSession.sparkContext.broadcast(bytes(raw))
+
+    def inside(values: np.ndarray) -> np.ndarray:
+        b = xxhash64_long(values) & np.uint64(BITMAP_BITS - 1)
+        table = np.frombuffer(shared.value, dtype=np.uint8)
+        return (table[(b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    return inside
+
+
+def xxhash64_long(values):
+    """Spark's ``xxhash64`` of long values, as unsigned numbers."""
+    import numpy as np
+
+    p1, p2, p3 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+    p4, p5 = np.uint64(0x85EBCA77C2B2AE63), np.uint64(0x27D4EB2F165667C5)
+
+    def turn(x, r):
+        return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+
+    v = np.asarray(values).astype(np.int64).view(np.uint64)
+    with np.errstate(over="ignore"):
+        h = np.uint64(42) + p5 + np.uint64(8)
+        h = h ^ (turn(v * p2, 31) * p1)
+        h = turn(h, 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        return h ^ (h >> np.uint64(32))
+
+
 def connected_components(edges: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Smallest reachable id of every node of ``edges`` (a, b): columns (node, component).
 
