@@ -69,6 +69,41 @@ def range_index(value: Column, bounds: list) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
 
 
+def shared_keys(rows: DataFrame, key: str, member: str) -> DataFrame:
+    """Distinct (key, member) rows of the keys that several members have.
+
+    One shuffle of two longs per row; a task reads its rows in key order and
+    keeps one of them at a time, whatever the number of members of a key."""
+    import numpy as np
+
+    names = [key, member]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, m, running = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), False
+        for batch in batches:
+            k = np.concatenate([k, batch.column(key).to_numpy()])
+            m = np.concatenate([m, batch.column(member).to_numpy()])
+            if not len(k):
+                continue
+            keep = np.ones(len(k), dtype=bool)
+            keep[1:] = (k[1:] != k[:-1]) | (m[1:] != m[:-1])
+            k, m = k[keep], m[keep]
+            same = k[1:] == k[:-1]
+            many = np.zeros(len(k), dtype=bool)
+            many[1:] |= same
+            many[:-1] |= same
+            many[0] |= running
+            # the last row waits for what follows; if ``many``, it belongs to a group already
+            yield pa.RecordBatch.from_arrays([pa.array(k[:-1][many[:-1]]), pa.array(m[:-1][many[:-1]])], names=names)
+            running = bool(many[-1])
+            k, m = k[-1:], m[-1:]
+        if running:
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(m)], names=names)
+
+    return (rows.select(*names).repartition(key).sortWithinPartitions(*names)
+            .mapInArrow(run, f"{key} long, {member} long"))
+
+
 BITMAP_BITS = 1 << 24
 
 

@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import connected_components, id_bitmap, map_batches, read_table, whole_text
+from tidewatch.llm.common import (connected_components, id_bitmap, map_batches, read_table, shared_keys,
+                                  whole_text)
 from tidewatch.llm.packing import text_groups
 from tidewatch.llm.shingles import mix, shingle_sets
 from tidewatch.session import stage_table
@@ -161,37 +162,6 @@ def _signed(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
     return docs.filter(F.col("doc_id").isNotNull()).mapInArrow(run, "sig long, cls long")
 
 
-def _shared(signed: DataFrame) -> DataFrame:
-    """Rows of signatures that several classes have, streamed in signature order."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig, cls, running = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), False
-        for batch in batches:
-            sig = np.concatenate([sig, batch.column("sig").to_numpy()])
-            cls = np.concatenate([cls, batch.column("cls").to_numpy()])
-            if not len(sig):
-                continue
-            keep = np.ones(len(sig), dtype=bool)
-            keep[1:] = (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])
-            sig, cls = sig[keep], cls[keep]
-            same = sig[1:] == sig[:-1]
-            many = np.zeros(len(sig), dtype=bool)
-            many[1:] |= same
-            many[:-1] |= same
-            many[0] |= running
-            # the last row waits for what follows; it belongs to a group already if ``many``
-            yield _rows(sig[:-1][many[:-1]], cls[:-1][many[:-1]])
-            running = bool(many[-1])
-            sig, cls = sig[-1:], cls[-1:]
-        if running:
-            yield _rows(sig, cls)
-
-    return signed.repartition("sig").sortWithinPartitions("sig", "cls").mapInArrow(run, "sig long, cls long")
-
-
-def _rows(sig: np.ndarray, cls: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(cls)], names=["sig", "cls"])
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(doc_id, features) of the documents of ``wanted`` (doc_id, cls)."""
     inside = id_bitmap(wanted, "doc_id")
@@ -287,7 +257,7 @@ def join_groups(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     described = stage_table(_described(docs, width), "jaccard-sets")
     classes = (described.filter("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc")))
-    members = stage_table(_shared(_signed(docs, width, bands)).join(classes, "cls").select("sig", "doc", "cls"), "jaccard-signatures")
+    members = stage_table(shared_keys(_signed(docs, width, bands), "sig", "cls").join(classes, "cls").select("sig", "doc", "cls"), "jaccard-signatures")
     wanted = members.select(F.col("doc").alias("doc_id"), "cls").distinct()
     sets = stage_table(_sets(docs, wanted, width), "jaccard-features")
     members = members.select("sig", "doc")
