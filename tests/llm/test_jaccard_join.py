@@ -75,6 +75,7 @@ def test_components_match_brute_force(spark, seed):
 def test_hot_template_and_copies(spark, monkeypatch):
     """Copies of one page with edits that pass the threshold only now and then."""
     monkeypatch.setattr(J, "BLOCK", 16)
+    monkeypatch.setattr(J, "SMALL", 8)
     rng = random.Random(9)
     base = [f"b{i}" for i in range(120)]
     texts = ["short text of five words"] * 200
@@ -114,6 +115,8 @@ def test_every_link_shares_a_signature():
                 b = c
             who, sig = J.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), bands)
             assert set(sig[who == 0].tolist()) & set(sig[who == 1].tolist())
+            sketch = J.sketches(np.concatenate([a, b]), np.array([len(a), len(b)]))
+            assert J._may_link(sketch[0], sketch[1], len(a), len(b), bands)
 
 
 def test_shingles_match_plain_sets():

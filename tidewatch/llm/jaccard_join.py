@@ -7,14 +7,17 @@ subset of n2 - k2 pieces of some part, and share the signature of that subset.
 A set also signs for the next band where it can link across the edge.
 
 Copies are one class first (equal sets), so only different sets meet.  Classes
-that share a signature are linked as stars around the smallest document, and
-every candidate is verified on the sets themselves; a second round takes other
-centres.  Signatures whose members are still in different components after
-that are settled exactly: their clusters are compared block by block, which
-emits links, never pairs.
-
-Sets are only gathered for documents that share a signature; a bitmap of fixed
-size over their ids (false positives only) lets the scan leave out the rest.
+that share a signature are linked as stars around the smallest document; a
+second round takes other centres.  What is still in different components after
+that is settled exactly: small signature groups pair by pair, clusters of large
+ones block against block inside tasks.
+
+Candidates first pass an odd sketch (1024 bits, each the parity of the elements
+that hash there): two sketches differ in at most as many bits as the sets in
+elements, so a pair that differs in more bits than a link allows is no link.
+The rest is verified on the sets.  Sets are gathered for those documents only;
+a bitmap of fixed size over their ids (false positives only) lets the scan
+leave out the others.
 
 Defined results: a text without words has the empty set and links with
 nothing; fewer words than the shingle width are one shingle; rows of one
@@ -41,7 +44,9 @@ from tidewatch.session import stage_table
 WIDTH = 4
 NUMERATOR, DENOMINATOR = 85, 100  # linked from this Jaccard similarity on
 STAR_ROUNDS = 2
-BLOCK = 256  # sets of a block in the exact comparison
+SMALL = 64  # members of a signature whose pairs are formed by a join
+BLOCK = 512  # sketches of a block in the comparison of larger groups
+SKETCH_WORDS = 16  # of 64 bits
 
 
 class Bands:
@@ -129,18 +134,38 @@ def _classes(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Odd sketches, one row of words per set."""
+    bit = mix(values ^ np.uint64(0x0DD0DD0DD0DD0DD)) % np.uint64(64 * SKETCH_WORDS)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    odd = np.bincount(row * (64 * SKETCH_WORDS) + bit.astype(np.int64), minlength=len(sizes) * 64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sizes), -1), axis=1).view(np.uint64)
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, bands: Bands) -> np.ndarray:
+    """No pair that is linked fails this (arrays are broadcast against one another)."""
+    differ = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+    return (differ * (bands.den + bands.num) <= (nx + ny) * (bands.den - bands.num)) & (
+        bands.den * np.minimum(nx, ny) >= bands.num * np.maximum(nx, ny))
+
+
+def _words(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), SKETCH_WORDS)
+
+
 def _described(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, cls) of every row."""
+    """(doc_id, n, cls, sketch) of every row."""
     def run(batch: pa.RecordBatch) -> dict:
         texts = batch.column("text").to_pylist()
-        n, cls = [], []
+        n, cls, sketch = [], [], []
         for lo, hi in text_groups(texts):
             values, sizes = shingle_sets(texts[lo:hi], width)
             n.append(sizes)
+            sketch += [r.tobytes() for r in sketches(values, sizes)]
             cls.append(_classes(values, sizes).view(np.int64))
-        return {"doc_id": batch.column("doc_id"), "n": np.concatenate(n), "cls": np.concatenate(cls)}
+        return {"doc_id": batch.column("doc_id"), "n": np.concatenate(n), "cls": np.concatenate(cls), "sketch": sketch}
 
-    return map_batches(docs, run, "doc_id long, n long, cls long")
+    return map_batches(docs, run, "doc_id long, n long, cls long, sketch binary")
 
 
 def _signed(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -200,52 +225,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     return map_batches(joined.select("a", "b", "x", "y"), run, "a long, b long, linked boolean")
 
 
-def _settled(open_members: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
-    """Links (a, b) within clusters of the given (sig, doc) rows, compared in blocks."""
-    star = open_members.join(open_members.groupBy("sig").agg(F.min("doc").alias("hub")), "sig")
+def _passing(pairs: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
+    """The pairs (a, b) that the sketches do not rule out."""
+    def run(batch: pa.RecordBatch) -> dict:
+        ok = _may_link(_words(batch.column("x")), _words(batch.column("y")), batch.column("nx").to_numpy(),
+                       batch.column("ny").to_numpy(), bands)
+        return {c: batch.column(c).filter(pa.array(ok)) for c in "ab"}
+
+    joined = (pairs.join(about.select(F.col("doc").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("ny")), "b")
+              .join(about.select(F.col("doc").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("nx")), "a"))
+    return map_batches(joined.select("a", "b", "x", "y", "nx", "ny"), run, "a long, b long")
+
+
+def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs (a, b) of different components, within clusters of the given
+    (sig, doc, comp) rows, that the sketches do not rule out."""
+    star = large.join(large.groupBy("sig").agg(F.min("doc").alias("hub")), "sig")
     cluster = connected_components(star.select(F.col("doc").alias("a"), F.col("hub").alias("b")), stage_table)
     size = cluster.groupBy("component").agg(F.count("*").alias("m"))
     placed = (cluster.join(size, "component")
               .withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
-              .join(sets.withColumnRenamed("doc_id", "node"), "node")
+              .join(large.select(F.col("doc").alias("node"), "comp").distinct(), "node")
+              .join(about.withColumnRenamed("doc", "node"), "node")
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
               .select("component", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
-                      "block", "node", "features"))
+                      "block", "node", "comp", "n", "sketch"))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        nodes = part["node"].to_numpy()
-        side = part["block"].to_numpy()
-        same = part["bi"].iloc[0] == part["bj"].iloc[0]
-        sets_ = [np.frombuffer(x, np.uint64) for x in part["features"]]
-        sizes = np.array([len(s) for s in sets_])
-        values, column = np.unique(np.concatenate(sets_), return_inverse=True)
-        row = np.repeat(np.arange(len(sets_)), sizes)
-        both = np.zeros((len(sets_), len(sets_)), dtype=np.float32)
-        for lo in range(0, len(values), 1 << 14):
-            inside = (column >= lo) & (column < lo + (1 << 14))
-            hit = np.zeros((len(sets_), min(1 << 14, len(values) - lo)), dtype=np.float32)
-            hit[row[inside], column[inside] - lo] = 1
-            both += hit @ hit.T
-        both = both.astype(np.int64)
-        near = bands.den * both >= bands.num * (sizes[:, None] + sizes[None] - both)
-        if not same:
-            near &= side[:, None] != side[None]
-        root = list(range(len(nodes)))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
+        nodes, side, comp, n = (part[c].to_numpy() for c in ("node", "block", "comp", "n"))
+        words = np.frombuffer(b"".join(part["sketch"]), dtype=np.uint64).reshape(len(part), SKETCH_WORDS)
+        lower = np.flatnonzero(side == part["bi"].iloc[0])
+        upper = np.flatnonzero(side == part["bj"].iloc[0])
         out = []
-        for i, j in zip(*np.nonzero(np.triu(near, 1))):
-            x, y = find(int(i)), find(int(j))
-            if x != y:  # a forest of the block's links joins the same documents
-                root[x] = y
-                out.append((nodes[i], nodes[j]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        for lo in range(0, len(lower), 64):
+            i = lower[lo:lo + 64]
+            ok = _may_link(words[i][:, None], words[upper][None], n[i][:, None], n[upper][None], bands)
+            ok &= comp[i][:, None] != comp[upper][None]
+            x, y = np.nonzero(ok)
+            out.append(pd.DataFrame({"a": np.minimum(nodes[i[x]], nodes[upper[y]]), "b": np.maximum(nodes[i[x]], nodes[upper[y]])}))
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
     return placed.groupBy("component", "bi", "bj").applyInPandas(run, "a long, b long")
 
@@ -256,12 +275,22 @@ def join_groups(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR,
     bands = Bands(numerator, denominator)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     described = stage_table(_described(docs, width), "jaccard-sets")
-    classes = (described.filter("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc")))
-    members = stage_table(shared_keys(_signed(docs, width, bands), "sig", "cls").join(classes, "cls").select("sig", "doc", "cls"), "jaccard-signatures")
-    wanted = members.select(F.col("doc").alias("doc_id"), "cls").distinct()
-    sets = stage_table(_sets(docs, wanted, width), "jaccard-features")
+    classes = (described.filter("n > 0 AND doc_id IS NOT NULL").groupBy("cls")
+               .agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    members = stage_table(shared_keys(_signed(docs, width, bands), "sig", "cls").join(classes.select("cls", "doc"), "cls")
+                          .select("sig", "doc", "cls"), "jaccard-signatures")
+    about = stage_table(classes.join(members.select("cls").distinct(), "cls"), "jaccard-classes")
     members = members.select("sig", "doc")
 
+    def verified(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """(links, all) of distinct candidate pairs."""
+        passed = stage_table(_passing(pairs, about, bands), f"{name}-passed")
+        wanted = passed.select(F.col("a").alias("doc")).unionByName(passed.select(F.col("b").alias("doc"))).distinct()
+        wanted = wanted.join(about.select("doc", "cls"), "doc").select(F.col("doc").alias("doc_id"), "cls")
+        sets = stage_table(_sets(docs, wanted, width), f"{name}-features")
+        checked = stage_table(_verified(passed, sets, bands), f"{name}-checked")
+        return checked.filter("linked").select("a", "b"), pairs
+
     links = tried = None
     for turn in range(STAR_ROUNDS + 1):
         if links is None:
@@ -270,24 +299,25 @@ def join_groups(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR,
             labels = connected_components(links, stage_table)
             now = (members.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left")
                    .select("sig", "doc", F.coalesce("component", "doc").alias("comp")))
-        spread = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
-        unsettled = stage_table(now.join(spread.select("sig"), "sig"), f"jaccard-open-{turn}")
-        if turn == STAR_ROUNDS:
-            links = links.unionByName(stage_table(_settled(unsettled, sets, bands), "jaccard-links"))
-            break
-        # the star's centre: the smallest document first, then another one
-        rank = F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))
-        centre = (unsettled.withColumn("r", rank).groupBy("sig").agg(F.min("r").alias("r")))
-        centre = (unsettled.withColumn("r", rank).join(centre, ["sig", "r"])
-                  .select("sig", F.col("doc").alias("hub"), F.col("comp").alias("hub_comp")))
-        pairs = (unsettled.join(centre, "sig").filter(F.col("comp") != F.col("hub_comp"))
-                 .select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct())
+        spread = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+        unsettled = stage_table(now.join(spread.filter("lo != hi").select("sig", "m"), "sig"), f"jaccard-open-{turn}")
+        if turn < STAR_ROUNDS:
+            # the star's centre: the smallest document first, then another one
+            rank = F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))
+            ranked = unsettled.withColumn("r", rank)
+            centre = (ranked.join(ranked.groupBy("sig").agg(F.min("r").alias("r")), ["sig", "r"])
+                      .select("sig", F.col("doc").alias("hub"), F.col("comp").alias("hub_comp")))
+            pairs = (unsettled.join(centre, "sig").filter(F.col("comp") != F.col("hub_comp"))
+                     .select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct())
+        else:
+            few = unsettled.filter(F.col("m") <= SMALL)
+            pairs = (few.alias("l").join(few.alias("r"), "sig").filter("l.doc < r.doc AND l.comp != r.comp")
+                     .select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b"))
+                     .unionByName(_in_blocks(unsettled.filter(F.col("m") > SMALL), about.select("doc", "n", "sketch"), bands)).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        checked = stage_table(_verified(pairs, sets, bands), f"jaccard-checked-{turn}")
-        found = checked.filter("linked").select("a", "b")
-        links, tried = (found, checked.select("a", "b")) if links is None else (
-            links.unionByName(found), tried.unionByName(checked.select("a", "b")))
+        found, pairs = verified(stage_table(pairs, f"jaccard-pairs-{turn}"), f"jaccard-{turn}")
+        links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
 
     labels = connected_components(links, stage_table)
     grouped = classes.join(labels, F.col("doc") == F.col("node"), "left").select("cls", F.coalesce("component", "doc").alias("component_id"))
