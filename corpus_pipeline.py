@@ -14,6 +14,10 @@ from tidewatch.llm.common import read_table
 from tidewatch.session import stage_table
 
 STAGES = [
+    ("toxicity", stages.toxicity),
+    ("near_duplicates", stages.near_duplicates),
+    ("passages", stages.passages),
+    ("personal_data", stages.personal_data),
     ("packing", stages.packing),
 ]
 

@@ -132,6 +132,28 @@ def id_bitmap(ids: DataFrame, id_col: str) -> Callable:
     return inside
 
 
+def split_by_bitmap(rows: DataFrame, id_col: str, inside: Callable) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id may be in the bitmap, rows whose id is not); null ids are not.
+
+    Two scans, but only the first part has to be shuffled to be joined."""
+    def part(wanted: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column(id_col).cast(pa.int64())
+                found = inside(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(found == wanted))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    return part(True), part(False)
+
+
+def without_ids(rows: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``rows`` without those whose id is in ``gone``."""
+    maybe, kept = split_by_bitmap(rows, id_col, id_bitmap(gone, id_col))
+    return maybe.join(gone.select(id_col).distinct(), id_col, "left_anti").select(*rows.columns).unionByName(kept)
+
+
 def xxhash64_long(values):
     """Spark's ``xxhash64`` of long values, as unsigned numbers."""
     import numpy as np

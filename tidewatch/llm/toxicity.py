@@ -186,19 +186,28 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample_docs: int =
 _SCORERS: dict[str, Scorer] = {}
 
 
+def _scorer(spark: SparkSession, model: tuple[np.ndarray, float]):
+    """Gives, in a task, the worker's scorer of this model (a table of BUCKETS numbers)."""
+    shared = spark.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
+    key = uuid.uuid4().hex
+
+    def scorer() -> Scorer:
+        if key not in _SCORERS:
+            _SCORERS.clear()
+            _SCORERS[key] = Scorer(*shared.value)
+        return _SCORERS[key]
+
+    return scorer
+
+
 def with_score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
     """Columns of ``docs`` and ``score`` (0 to 1) as the last one."""
     if model is None:
         return docs.withColumn("score", F.lit(0.0))
-    shared = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))  # BUCKETS numbers
-
-    key = uuid.uuid4().hex
+    scorer = _scorer(docs.sparkSession, model)
 
     def run(batches):
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(*shared.value)
-        own = _SCORERS[key]
+        own = scorer()
         for batch in batches:
             scores = pa.array([own.score(t or "") for t in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
@@ -206,6 +215,20 @@ def with_score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataF
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
 
+def without_toxic(docs: DataFrame, model: tuple[np.ndarray, float] | None, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` that score below ``cut``."""
+    if model is None:
+        return docs
+    scorer = _scorer(docs.sparkSession, model)
+
+    def run(batches):
+        own = scorer()
+        for batch in batches:
+            yield batch.filter(pa.array([own.score(t or "") < cut for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows that are not held out."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
