@@ -128,7 +128,9 @@ def exact_quantiles(
     return agg.select(
         *keys,
         "prob",
-        (F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))).alias(out),
+        # the same arithmetic as ``percentile``: equal to the last bit on either path
+        F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
+            (F.ceil("_pos") - F.col("_pos")) * F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * F.col("_hi")).alias(out),
     )
 
 

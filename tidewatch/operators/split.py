@@ -54,17 +54,23 @@ def with_quantile_bin(df: DataFrame, column: str, n_bins: int = 5, out: str = "b
 
 
 def _boundaries(df: DataFrame, group: Column, h: Column, take_frac: float) -> list:
+    return boundaries_of_counts(
+        df.groupBy(group.alias("_g"), F.substring(h, 1, 4).alias("_hb")).agg(F.count("*").alias("_n")), take_frac)
+
+
+def boundaries_of_counts(bt: DataFrame, take_frac: float) -> list:
     """One action over the (group, hash-prefix) count table: per group, the
     prefix bucket where its exact quota is crossed and how many rows of that
     bucket are still needed.  Quotas: total = ceil(frac * n); floor shares;
     the largest remainders (ties by group) get one more row."""
-    bt = df.groupBy(group.alias("_g"), F.substring(h, 1, 4).alias("_hb")).agg(F.count("*").alias("_n"))
     g = bt.groupBy("_g").agg(F.sum("_n").alias("n"))
     one = Window.partitionBy(F.lit(1))  # over the groups (<= n_bins rows)
     q = g.select("_g", "n", F.sum("n").over(one).alias("_all"))
     q = q.select("_g", "n", "_all", F.ceil(F.lit(float(take_frac)) * F.col("_all")).cast("long").alias("_total"))
-    q = q.select("_g", "n", "_total", F.floor(F.col("_total") * F.col("n") / F.col("_all")).cast("long").alias("_fl"),
-                 ((F.col("_total") * F.col("n")) % F.col("_all")).alias("_rem"))
+    # products of two row counts pass 2^63 from about 7e9 rows on: exact decimals
+    product = F.col("_total").cast("decimal(19,0)") * F.col("n").cast("decimal(18,0)")
+    q = q.select("_g", "n", "_total", "_all", product.alias("_product")).select(
+        "_g", "n", "_total", F.expr("_product div _all").alias("_fl"), (F.col("_product") % F.col("_all")).alias("_rem"))
     left = F.col("_total") - F.sum("_fl").over(one)
     rank = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc("_g")))
     quotas = q.select("_g", (F.col("_fl") + F.when(rank <= left, 1).otherwise(0)).alias("quota"))
