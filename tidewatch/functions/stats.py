@@ -66,37 +66,56 @@ def erfc_pos(z) -> Column:
     return F.when(z <= 0, F.lit(1.0)).when(z2 > ERFC_ZERO_BEYOND, F.lit(0.0)).otherwise(F.greatest(F.lit(1.0) - erf, F.lit(0.0)))
 
 
-def chi2_sf(x, dof) -> Column:
-    """Survival function of chi-square with integer ``dof`` (closed form)."""
-    x = _c(x).cast("double")
-    dof = _c(dof).cast("int")
-    h = x / F.lit(2.0)
-    lnh = F.log(h)
-    m_even = (dof / 2).cast("int")
-    m_odd = ((dof - 1) / 2).cast("int")
+def _log_factorial(x) -> Column:
+    """ln Gamma(x + 1) for 0 <= x < 1000: Stirling's series ten steps up."""
+    y = x + F.lit(10.0)
+    up = F.lit(0.0)
+    for k in range(1, 11):
+        up = up + F.log(x + F.lit(float(k)))
+    series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * F.pow(y, F.lit(5.0)))
+    return y * F.log(y) - y + F.lit(0.5) * F.log(F.lit(2 * math.pi) * y) + series - up
 
-    def even_step(acc, i):
-        lt = F.when(i == 0, -h).otherwise(acc["lt"] + lnh - F.log(i.cast("double")))
-        return F.struct(lt.alias("lt"), (acc["s"] + F.exp(lt)).alias("s"))
 
-    def odd_step(acc, i):
-        lt = F.when(i == 1, -h + F.lit(0.5) * lnh - F.lit(math.log(math.sqrt(math.pi) / 2.0))).otherwise(
-            acc["lt"] + lnh - F.log(i.cast("double") - F.lit(0.5))
-        )
-        return F.struct(lt.alias("lt"), (acc["s"] + F.exp(lt)).alias("s"))
+def _log_poisson(x, h) -> Column:
+    """ln of e^-h h^x / Gamma(x + 1); for large x by its relative gap to h, so that nothing cancels."""
+    r = (h - x) / x
+    far = x * (F.log1p(r) - r) - F.lit(0.5) * F.log(F.lit(2 * math.pi) * x) - 1 / (12 * x) + 1 / (360 * x * x * x)
+    return F.when(x < 1000, x * F.log(h) - h - _log_factorial(x)).otherwise(far)
 
-    init = F.struct(F.lit(0.0).alias("lt"), F.lit(0.0).alias("s"))
-    even = F.aggregate(F.sequence(F.lit(0), F.greatest(m_even - 1, F.lit(0))), init, even_step)["s"]
-    odd_sum = F.when(
-        m_odd >= 1, F.aggregate(F.sequence(F.lit(1), F.greatest(m_odd, F.lit(1))), init, odd_step)["s"]
-    ).otherwise(F.lit(0.0))
-    odd = erfc_pos(F.sqrt(h)) + odd_sum
-    p = F.when(dof % 2 == 0, even).otherwise(odd)
+
+def _poisson_band(h, low, top, shift: float) -> Column:
+    """Sum of e^-h h^(i + shift) / Gamma(i + shift + 1) over i in low..top.
+
+    Terms rise to about h and fall again; beyond nine standard deviations they
+    are below the last digit, so only that band is folded, downwards from its
+    top: O(sqrt(h)) terms for any number of degrees of freedom."""
+    width = F.ceil(F.lit(9.0) * F.sqrt(h) + F.lit(50.0)).cast("long")
+    middle = F.floor(h).cast("long")
+    last = F.least(top, middle + width)
+    first = F.greatest(low, F.least(last, middle) - width)
+    x = last.cast("double") + F.lit(shift)
+    init = F.struct(F.lit(1.0).alias("t"), F.lit(0.0).alias("s"))
+
+    def step(acc, k):
+        return F.struct((acc["t"] * (x - k) / h).alias("t"), (acc["s"] + acc["t"]).alias("s"))
+
+    total = F.aggregate(F.sequence(F.lit(0), F.greatest(last - first, F.lit(0)).cast("int")), init, step)["s"]
+    return F.when(last < first, F.lit(0.0)).otherwise(F.exp(_log_poisson(x, h)) * total)
+
+
+def chi2_sf(x, dof) -> Column:
+    """Survival function of chi-square with integer ``dof`` (any size, one closed form)."""
+    x = _c(x).cast("double")
+    dof = _c(dof).cast("long")
+    h = x / F.lit(2.0)
+    half = F.floor(dof / 2).cast("long")
+    even = _poisson_band(h, F.lit(0).cast("long"), half - 1, 0.0)
+    odd = erfc_pos(F.sqrt(h)) + _poisson_band(h, F.lit(1).cast("long"), half, -0.5)
     return (
         F.when(x.isNull() | dof.isNull(), F.lit(None).cast("double"))
         .when(dof <= 0, F.lit(1.0))
         .when(x <= 0, F.lit(1.0))
-        .otherwise(F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
+        .otherwise(F.least(F.greatest(F.when(dof % 2 == 0, even).otherwise(odd), F.lit(0.0)), F.lit(1.0)))
     )
 
 
