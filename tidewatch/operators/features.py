@@ -24,7 +24,7 @@ from tidewatch.operators.longform import Feature, is_numeric_type, single_counts
 from tidewatch.schema import NOMINAL, NUMERICAL, ORDINAL, TARGET
 
 
-# Upper bound on one-hot categories per nominal column (fit-state size guard).
+# Default of ``maxCategories``: fit fails, naming the columns, above it.
 MAX_CATEGORIES = 10_000
 
 
@@ -52,18 +52,20 @@ class _EncoderParams(Params):
     numerical = Param(Params._dummy(), "numerical", "numeric columns to standard-scale", TypeConverters.toListString)
     exclude = Param(Params._dummy(), "exclude", "columns never used as features", TypeConverters.toListString)
     outputCol = Param(Params._dummy(), "outputCol", "assembled vector column", TypeConverters.toString)
+    maxCategories = Param(Params._dummy(), "maxCategories", "most categories of one nominal column", TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
         self._setDefault(
             ordinal=json.dumps(ORDINAL), nominal=list(NOMINAL), numerical=list(NUMERICAL),
-            exclude=[TARGET], outputCol="features",
+            exclude=[TARGET], outputCol="features", maxCategories=MAX_CATEGORIES,
         )
 
 
 class FeatureEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
-    def __init__(self, *, ordinal=None, nominal=None, numerical=None, exclude=None, outputCol=None):
+    def __init__(self, *, ordinal=None, nominal=None, numerical=None, exclude=None, outputCol=None,
+                 maxCategories=None):
         super().__init__()
         kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
         if isinstance(kwargs.get("ordinal"), dict):
@@ -77,20 +79,21 @@ class FeatureEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultPa
         categories: dict[str, list[str]] = {c: [] for c in nominal}
         if nominal:
             feats = [Feature(i, c, "categorical") for i, c in enumerate(nominal)]
-            # fitted state: the distinct categories; the collect is bounded and a
-            # column with more categories than one-hot can sensibly hold fails loudly
-            cap = MAX_CATEGORIES * len(nominal)
-            rows = single_counts(df, feats).select("fid", "cat").limit(cap + 1).collect()
-            if len(rows) > cap:
-                raise ValueError(f"nominal columns have more than {MAX_CATEGORIES} categories each on average; "
-                                 "one-hot encoding is not meant for identifier-like columns")
-            for r in rows:
+            # fitted state: the distinct categories, one output column each; every
+            # column is held to ``maxCategories`` by itself, counted before the collect
+            counted = single_counts(df, feats).select("fid", "cat")
+            cap = self.getOrDefault("maxCategories")
+            wide = [nominal[r["fid"]] for r in counted.groupBy("fid").agg(F.count("*").alias("k")).filter(F.col("k") > cap).collect()]
+            if wide:
+                raise ValueError(f"columns {sorted(wide)} have more than maxCategories={cap} categories")
+            for r in counted.collect():
                 categories[nominal[r["fid"]]].append(r["cat"])
             categories = {k: sorted(v) for k, v in categories.items()}
         scale = {}
         if numerical:
-            row = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(numerical)],
-                         *[F.stddev_pop(F.col(f"`{c}`").cast("double")).alias(f"s{i}") for i, c in enumerate(numerical)]).first()
+            x = {c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")) for c in numerical}
+            row = df.agg(*[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(numerical)],
+                         *[F.stddev_pop(x[c]).alias(f"s{i}") for i, c in enumerate(numerical)]).first()
             scale = {c: [row[f"m{i}"], row[f"s{i}"]] for i, c in enumerate(numerical)}
         used = set(ordinal) | set(nominal) | set(numerical) | set(self.getOrDefault("exclude"))
         passthrough = [f.name for f in df.schema.fields if f.name not in used and is_numeric_type(f.dataType)]

@@ -1,8 +1,9 @@
 """Table profiling (A1–A13, P10–P12, P24): one wide aggregate, then unpivot.
 
 Every per-column statistic is computed for all columns in one pass and the
-single result row is turned long with ``stack``; quantiles are exact and
-come from the bucketed running sums, not from a per-group value map.
+single result row is turned long with ``stack``; quantiles are exact, and the
+two ways to compute them (value map, bucketed running sums) share one formula.
+NaN counts as missing everywhere.
 """
 
 from __future__ import annotations
@@ -20,6 +21,13 @@ def _q(name: str):
     return F.col(f"`{name}`")
 
 
+def _present(df: DataFrame, name: str):
+    """The column with NaN as NULL."""
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(_q(name)), _q(name))
+    return _q(name)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if is_numeric_type(f.dataType)]
 
@@ -42,17 +50,17 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """Numeric / categorical column counts (from the schema, one row)."""
+    """Numeric and categorical column counts beside the row count (one row)."""
     n_num = len(numeric_columns(df))
-    return df.sparkSession.createDataFrame(
-        [(n_num, len(df.columns) - n_num, len(df.columns))], "n_numeric long, n_categorical long, n_columns long"
-    )
+    return df.agg(F.count("*").alias("n_rows")).select(
+        "n_rows", F.lit(n_num).cast("long").alias("n_numeric"),
+        F.lit(len(df.columns) - n_num).cast("long").alias("n_categorical"), F.lit(len(df.columns)).cast("long").alias("n_columns"))
 
 
 def distinct_counts(df: DataFrame, columns=None, approx: bool = False) -> DataFrame:
     """A2: distinct non-null values per column."""
     cols = columns or df.columns
-    fn = (lambda c: F.approx_count_distinct(_q(c))) if approx else (lambda c: F.count_distinct(_q(c)))
+    fn = (lambda c: F.approx_count_distinct(_present(df, c))) if approx else (lambda c: F.count_distinct(_present(df, c)))
     row = df.agg(*[fn(c).alias(f"n_distinct__{i}") for i, c in enumerate(cols)])
     return _long(row, cols, ["n_distinct"])
 
@@ -148,11 +156,10 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
     stats = ["count", "mean", "std", "min", "max"]
     aggs = []
     for i, c in enumerate(cols):
-        x = _q(c).cast("double")
+        x = _present(df, c).cast("double")
         aggs += [
             F.count(x).alias(f"count__{i}"), F.avg(x).alias(f"mean__{i}"), F.stddev_samp(x).alias(f"std__{i}"),
             F.min(x).alias(f"min__{i}"), F.max(x).alias(f"max__{i}"),
-            F.count(F.when(~F.isnan(x), x)).alias(f"nd__{i}"),
         ]
     row = df.agg(*aggs).first()  # one row: moments and a distinct-count bound per column
     spark = df.sparkSession
@@ -160,7 +167,7 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
         [(c, row[f"count__{i}"], row[f"mean__{i}"], row[f"std__{i}"], row[f"min__{i}"], row[f"max__{i}"]) for i, c in enumerate(cols)],
         "feature string, count long, mean double, std double, min double, max double",
     )
-    qs = quantiles_by_column(df, cols, [0.25, 0.5, 0.75], distinct_hint={c: row[f"nd__{i}"] for i, c in enumerate(cols)})
+    qs = quantiles_by_column(df, cols, [0.25, 0.5, 0.75], distinct_hint={c: row[f"count__{i}"] for i, c in enumerate(cols)})
     piv = qs.groupBy("feature").agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("q"))).alias("p25"),
         F.max(F.when(F.col("prob") == 0.5, F.col("q"))).alias("p50"),
@@ -171,7 +178,7 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
 
 def target_shape(df: DataFrame, column: str) -> DataFrame:
     """Mean, median, std, min, max, bias-adjusted skewness and excess kurtosis."""
-    x = _q(column).cast("double")
+    x = _present(df, column).cast("double")
     base = df.agg(
         F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
         F.max(x).alias("max"), F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"),
@@ -186,7 +193,7 @@ def target_shape(df: DataFrame, column: str) -> DataFrame:
 
 def target_profile(df: DataFrame, column: str) -> DataFrame:
     """Dtype, distinct count, min, max, range of the target."""
-    x = _q(column)
+    x = _present(df, column)
     return df.agg(F.count_distinct(x).alias("n_distinct"), F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max")).select(
         F.lit(column).alias("feature"), F.lit(df.schema[column].dataType.simpleString()).alias("dtype"),
         "n_distinct", "min", "max", (F.col("max") - F.col("min")).alias("range"),
@@ -211,28 +218,23 @@ def band_distribution(df: DataFrame, column, edges) -> DataFrame:
     return bands.join(cnt, "band", "left").select("band", "label", F.coalesce("n", F.lit(0)).alias("n")).orderBy("band")
 
 
-def value_counts(df: DataFrame, columns=None, top: int = 5) -> DataFrame:
-    """Most frequent values per categorical column (ties by value)."""
-    cols = columns or categorical_columns(df)
+def value_counts(df: DataFrame, columns=None, max_columns: int | None = 5) -> DataFrame:
+    """Every value of the first ``max_columns`` categorical columns with its count.
+
+    One aggregate over the long form: a value's rows meet after map-side
+    combining, and no column is sorted or held in one task."""
+    cols = columns or categorical_columns(df)[:max_columns]
     feats = [Feature(i, c, "categorical") for i, c in enumerate(cols)]
     cnt = single_counts(df, feats).select("fid", F.col("cat").alias("value"), "n")
-    from pyspark.sql import Window
-
-    # Per-feature top-k (``top`` is the feature: a top-k report).  Spark plans
-    # ``row_number() <= k`` as WindowGroupLimit Partial -> Exchange -> Final,
-    # so each map task ships at most k rows per feature, however many
-    # distinct values a feature has.
-    w = Window.partitionBy("fid").orderBy(F.desc("n"), F.asc("value"))
-    ranked = cnt.select("*", F.row_number().over(w).alias("rank")).filter(F.col("rank") <= top)
     names = df.sparkSession.createDataFrame([(f.fid, f.name) for f in feats], "fid int, feature string")
-    return ranked.join(F.broadcast(names), "fid").select("feature", "value", F.col("n").alias("count"), "rank")
+    return cnt.join(F.broadcast(names), "fid").select("feature", "value", F.col("n").alias("count"))
 
 
 def correlations(df: DataFrame, target: str, top: int | None = 10, columns=None) -> DataFrame:
     """Pearson correlation of every numeric column with ``target``, pairwise complete."""
     cols = [c for c in (columns or numeric_columns(df)) if c != target]
-    y = _q(target).cast("double")
-    row = df.agg(*[F.corr(_q(c).cast("double"), y).alias(f"corr__{i}") for i, c in enumerate(cols)])
+    y = _present(df, target).cast("double")
+    row = df.agg(*[F.corr(_present(df, c).cast("double"), y).alias(f"corr__{i}") for i, c in enumerate(cols)])
     out = _long(row, cols, ["corr"]).filter(F.col("corr").isNotNull())
     out = out.orderBy(F.desc("corr"), "feature")
     return out.limit(top) if top else out

@@ -303,7 +303,7 @@ def shape_lineitem(spark, sf):
 
 
 def value_counts_part(spark, sf):
-    return P.value_counts(T(spark, sf, "part"), ["p_brand", "p_type", "p_name"], top=5)
+    return P.value_counts(T(spark, sf, "part"), ["p_brand", "p_type", "p_name"])
 
 
 def duplicates_lineitem(spark, sf):

@@ -294,14 +294,13 @@ SELECT month, n, round(mae, 6) AS mae, round(mae - lag(mae) OVER (ORDER BY month
     q["profile_target"] = ("SELECT 'c_acctbal' AS feature, lower(CAST(typeof(any_value(c_acctbal)) AS VARCHAR)) AS dtype, CAST(count(DISTINCT c_acctbal) AS BIGINT) AS n_distinct, "
                            "round(min(c_acctbal), 6) AS min, round(max(c_acctbal), 6) AS max, round(max(c_acctbal) - min(c_acctbal), 6) AS range FROM customer")
     numeric_types = "('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT', 'SMALLINT', 'TINYINT', 'BOOLEAN', 'HUGEINT', 'REAL') OR data_type LIKE 'DECIMAL%'"
-    q["column_types"] = (f"SELECT CAST(count(*) FILTER (WHERE data_type IN {numeric_types}) AS BIGINT) AS n_numeric, "
+    q["column_types"] = (f"SELECT (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS n_rows, CAST(count(*) FILTER (WHERE data_type IN {numeric_types}) AS BIGINT) AS n_numeric, "
                          f"CAST(count(*) FILTER (WHERE NOT (data_type IN {numeric_types})) AS BIGINT) AS n_categorical, CAST(count(*) AS BIGINT) AS n_columns "
                          "FROM information_schema.columns WHERE table_name = 'lineitem'")
     q["shape_lineitem"] = ("SELECT (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS n_rows, "
                            "(SELECT CAST(count(*) AS BIGINT) FROM information_schema.columns WHERE table_name = 'lineitem') AS n_columns")
     vc = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value, count(*) AS n FROM part WHERE {c} IS NOT NULL GROUP BY {c}" for c in ["p_brand", "p_type", "p_name"])
-    q["value_counts_part"] = (f"SELECT feature, value, CAST(n AS BIGINT) AS count, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) AS rank "
-                              f"FROM ({vc})) WHERE rank <= 5")
+    q["value_counts_part"] = f"SELECT feature, value, CAST(n AS BIGINT) AS count FROM ({vc})"
     cols = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
     q["duplicates_lineitem"] = f"SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY {cols})"
     zc = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(count(*) FILTER (WHERE {c} = 0) AS BIGINT) AS zero_count, count(*) AS n FROM lineitem" for c in ["l_discount", "l_tax", "l_quantity"])
