@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.ks import weighted_mean
 from tidewatch.operators.prefix import running_sums, weighted_quantiles
 
 # Decision (documented, not coded in the reference): empty-bin floor for PSI
@@ -78,13 +79,12 @@ def std_median_shift(counts: DataFrame) -> DataFrame:
     num = counts.filter(F.col("num").isNotNull()).select("fid", F.col("num").alias("v"), "r", "c")
     m = num.groupBy("fid").agg(
         F.sum("r").alias("nr"), F.sum("c").alias("nc"),
-        F.try_divide(F.sum(F.col("v") * F.col("r")), F.sum("r")).alias("mr"),
-        F.try_divide(F.sum(F.col("v") * F.col("c")), F.sum("c")).alias("mc"),
+        weighted_mean(F.col("v"), "r", F.sum("r")).alias("mr"), weighted_mean(F.col("v"), "c", F.sum("c")).alias("mc"),
     )
     j = num.join(F.broadcast(m), "fid")
     var = j.groupBy("fid").agg(
-        F.try_divide(F.sum(F.col("r") * (F.col("v") - F.col("mr")) ** 2), F.first("nr") - 1).alias("var_r"),
-        F.try_divide(F.sum(F.col("c") * (F.col("v") - F.col("mc")) ** 2), F.first("nc") - 1).alias("var_c"),
+        weighted_mean((F.col("v") - F.col("mr")) ** 2, "r", F.first("nr") - 1).alias("var_r"),
+        weighted_mean((F.col("v") - F.col("mc")) ** 2, "c", F.first("nc") - 1).alias("var_c"),
     )
     med = [weighted_quantiles(num.select("fid", "v", w), ["fid"], "v", w, [0.5], out=f"median_{w}").drop("prob")
            for w in ("r", "c")]
@@ -113,9 +113,3 @@ def drift_trend(per_run: DataFrame, run_col: str, metric: str, key: str = "featu
         key, run_col, metric, (F.col(metric) - F.lag(metric).over(w)).alias(f"{metric}_delta"),
         F.avg(metric).over(w.rowsBetween(-(window - 1), 0)).alias(f"{metric}_rolling"),
     )
-
-
-def cramers_v(chi2: DataFrame) -> DataFrame:
-    """X4 (categorical half): Cramér's V of a 2 x k table = sqrt(chi2 / N)."""
-    n = (F.col("n_ref") + F.col("n_cur")).cast("double")
-    return chi2.select("fid", F.when((F.col("k") > 1) & (n > 0), F.sqrt(F.col("statistic") / n)).otherwise(F.lit(0.0)).alias("drift_score"))

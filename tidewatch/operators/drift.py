@@ -94,7 +94,7 @@ def fused_stats(counts: DataFrame) -> DataFrame:
     ``fid, n_ref, n_cur, statistic, p_value, mean_ref, mean_cur, mean_shift, dof``.
     """
     from tidewatch.functions.stats import chi2_sf, ks_pvalue
-    from tidewatch.operators.ks import mean_shift
+    from tidewatch.operators.ks import mean_shift, weighted_mean
 
     nparts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     run = Window.partitionBy("fid").orderBy("num").rowsBetween(Window.unboundedPreceding, 0)
@@ -118,8 +118,8 @@ def fused_stats(counts: DataFrame) -> DataFrame:
     a = x.groupBy("fid").agg(
         F.first("_nr").alias("n_ref"), F.first("_nc").alias("n_cur"), F.first("_k").alias("k"),
         F.max(F.when(F.col("num").isNotNull(), gap)).alias("_d"),
-        F.try_divide(F.sum(F.col("num") * F.col("r")), F.first("_nr")).alias("mean_ref"),
-        F.try_divide(F.sum(F.col("num") * F.col("c")), F.first("_nc")).alias("mean_cur"),
+        weighted_mean(F.col("num"), "r", F.first("_nr")).alias("mean_ref"),
+        weighted_mean(F.col("num"), "c", F.first("_nc")).alias("mean_cur"),
         F.sum(F.when(F.col("cat").isNotNull(), term(F.col("r"), e_r) + term(F.col("c"), e_c))).alias("_stat"),
         F.bool_or(F.col("num").isNotNull()).alias("_is_num"),
     )

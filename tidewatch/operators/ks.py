@@ -18,11 +18,16 @@ def side_totals(num: DataFrame) -> DataFrame:
     return num.groupBy("fid").agg(
         F.sum("r").alias("n_ref"),
         F.sum("c").alias("n_cur"),
-        F.try_divide(F.sum(F.col("value") * F.col("r")), F.sum("r")).alias("mean_ref"),
-        F.try_divide(F.sum(F.col("value") * F.col("c")), F.sum("c")).alias("mean_cur"),
+        weighted_mean(F.col("value"), "r", F.sum("r")).alias("mean_ref"),
+        weighted_mean(F.col("value"), "c", F.sum("c")).alias("mean_cur"),
     )
 
 
+def weighted_mean(value, weight: str, total):
+    """Mean over the rows of one side; a value the side lacks (even an infinite one) adds nothing."""
+    return F.try_divide(F.sum(F.when(F.col(weight) > 0, value * F.col(weight)).otherwise(F.lit(0.0))), total)
+
+
 def ks_from_counts(counts: DataFrame, buckets: int | None = None, accuracy: int = 1000) -> DataFrame:
     """``fid, n_ref, n_cur, statistic, p_value, mean_ref, mean_cur, mean_shift``.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,9 @@ from tidewatch.schema import MODEL_VERSIONS_SCHEMA
 def _read(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(MODEL_VERSIONS_SCHEMA).parquet(path)
-    except Exception:  # no table yet
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # only a missing table starts at version 1
+            raise
         return spark.createDataFrame([], MODEL_VERSIONS_SCHEMA)
 
 

@@ -33,11 +33,9 @@ RANGES = {
 }
 # Defaults the form fills for fields it does not ask for.
 FORM_DEFAULTS = {
-    "school": "GP", "sex": "F", "address": "U", "famsize": "GT3", "Pstatus": "T", "Mjob": "other",
-    "Fjob": "other", "reason": "course", "guardian": "mother", "traveltime": 1, "failures": 0,
-    "schoolsup": "no", "famsup": "no", "paid": "no", "activities": "no", "nursery": "yes",
-    "higher": "yes", "internet": "yes", "romantic": "no", "famrel": 4, "freetime": 3, "goout": 3,
-    "Dalc": 1, "Walc": 1, "health": 3,
+    "famsize": "GT3", "Pstatus": "T", "Mjob": "other", "Fjob": "other", "reason": "course", "guardian": "mother",
+    "traveltime": 1, "activities": "no", "nursery": "yes", "higher": "yes", "internet": "yes", "romantic": "no",
+    "famrel": 4, "Dalc": 1, "Walc": 1,
 }
 # Grade bands (right-closed, lowest included): [0,5], (5,10], (10,15], (15,20].
 GRADE_BAND_EDGES = [0, 5, 10, 15, 20]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,16 +41,18 @@ def read_batches(spark: SparkSession, directory: str, schema: T.StructType, sep:
     Adds ``_file`` and ``_mtime`` from the file metadata.
     """
     s = _with_corrupt(schema)
-    # A file is judged on whole rows: the CSV parser must parse every column,
-    # or malformed values in columns a query does not read go unnoticed.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     try:
+        # A file is judged on whole rows: the CSV parser must parse every column,
+        # or malformed values in columns a query does not read go unnoticed.
         raw = (
             spark.read.schema(s).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+            .option("columnPruning", False)
             .option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.csv")
             .option("ignoreCorruptFiles", True).csv(directory)
         )
-    except Exception:  # no directory / no files -> empty frame
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # anything but a missing directory is the caller's to know
+            raise
         return spark.createDataFrame([], T.StructType(schema.fields + [
             T.StructField("_file", T.StringType()), T.StructField("_mtime", T.TimestampType()),
             T.StructField("_blk", T.LongType()), T.StructField("_mono", T.LongType())]))
