@@ -3,12 +3,14 @@
 import json
 import os
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from tidewatch.operators.clean import clean_binary
 from tidewatch.operators.features import FeatureEncoder
 from tidewatch.operators.models import cross_validate, forest
-from tidewatch.operators.registry import _read
+from tidewatch.operators.registry import _read, load_current
 from tidewatch.operators.split import stratified_split
 from tidewatch.plans import jobs
 from tidewatch.schema import student_schema
@@ -57,12 +59,23 @@ def test_retraining_exits_and_promotion(spark, students, tmp_path):
     out = jobs.retraining(spark, ref, lab, unl, schema, reg)
     assert out.status == jobs.PROMOTED and out.version == 1
     assert _read(spark, reg).count() == 1
-    # champion that cannot be beaten by 0.01 -> kept
-    champ = out.extra["model"]
-    again = jobs.retraining(spark, ref, lab, unl, schema, reg, champion=champ)
-    assert again.status in (jobs.KEPT, jobs.PROMOTED)
-    if again.status == jobs.KEPT:
-        assert not (again.challenger_mae < again.champion_mae - 0.01)
+    # the registry row leads to the saved model, which is the next champion
+    saved = load_current(spark, reg)
+    assert saved.transform(clean_binary(ref)).count() == 395
+
+    def predicting(expr):
+        return PipelineModel([SQLTransformer(statement=f"SELECT *, CAST({expr} AS DOUBLE) AS prediction FROM __THIS__")])
+
+    # a champion that is always right stays; one that is always far off goes
+    log = str(tmp_path / "log")
+    kept = jobs.retraining(spark, ref, lab, unl, schema, reg, champion=predicting("G3"), log_path=log)
+    assert kept.status == jobs.KEPT and kept.champion_mae == 0.0 and _read(spark, reg).count() == 1
+    baseline = str(tmp_path / "baseline")
+    predicting("100").write().overwrite().save(baseline)
+    other = str(tmp_path / "other")
+    beaten = jobs.retraining(spark, ref, lab, unl, schema, other, baseline_path=baseline, log_path=log)
+    assert beaten.status == jobs.PROMOTED and beaten.version == 1 and beaten.champion_mae > 50
+    assert spark.read.parquet(log).count() == 2
 
 
 def test_bootstrap_registers_version_one(spark, students, tmp_path):

@@ -30,11 +30,17 @@ def next_version(versions: DataFrame) -> DataFrame:
     return versions.agg((F.coalesce(F.max("version"), F.lit(0)) + 1).cast("int").alias("next_version"))
 
 
-def register(spark: SparkSession, path: str, mae: float, r2: float, filepath: str | None = None) -> int:
-    """Append the next version (single writer) and return its number."""
+def register(spark: SparkSession, path: str, mae: float, r2: float, filepath: str | None = None, model=None) -> int:
+    """Append the next version (single writer) and return its number.
+
+    A given ``model`` is saved first, beside the table unless ``filepath``
+    names a place, so a recorded path always holds a model."""
     nv = next_version(_read(spark, path)).first()["next_version"]
+    filepath = filepath or (f"{path.rstrip('/')}-models/model_v{nv}" if model is not None else f"model_v{nv}")
+    if model is not None:
+        model.write().overwrite().save(filepath)
     row = spark.createDataFrame(
-        [(nv, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), float(mae), float(r2), filepath or f"model_v{nv}")],
+        [(nv, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), float(mae), float(r2), filepath)],
         MODEL_VERSIONS_SCHEMA,
     )
     row.coalesce(1).write.mode("append").parquet(path)
@@ -46,6 +52,15 @@ def current(versions: DataFrame) -> DataFrame:
     return versions.agg(F.max_by(F.struct(*versions.columns), "version").alias("v")).select("v.*")
 
 
+def load_current(spark: SparkSession, path: str, baseline_path: str | None = None):
+    """The fitted pipeline of the current version, else the baseline's, else None."""
+    from pyspark.ml import PipelineModel
+
+    row = current(_read(spark, path)).first()
+    found = row["filepath"] if row and row["version"] is not None else baseline_path
+    return PipelineModel.load(found) if found else None
+
+
 def metadata(versions: DataFrame) -> DataFrame:
     """Metadata document: latest, production pointer, last update and full history."""
     h = F.struct(

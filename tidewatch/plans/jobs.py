@@ -17,11 +17,12 @@ from tidewatch.operators import profile as P
 from tidewatch.operators.clean import clean_binary, quality_gates, split_target
 from tidewatch.operators.drift import DriftReport, detect_drift
 from tidewatch.operators.features import FeatureEncoder
-from tidewatch.operators.metrics import compare_models, promote, regression_metrics
-from tidewatch.operators.models import FOREST_RETRAIN, feature_importance, fit_pipeline, forest, ridge
-from tidewatch.operators.registry import current, register
+from tidewatch.operators.metrics import compare_models, regression_metrics
+from tidewatch.operators.models import FOREST_RETRAIN, feature_importance, fit_pipeline, forest, ridge, side_by_side
+from tidewatch.operators.registry import load_current, register
 from tidewatch.operators.split import random_split, stratified_split
 from tidewatch.schema import GRADE_BAND_EDGES, TARGET
+from tidewatch.session import stage_table
 from tidewatch.sinks.tables import append_drift_report, write_report_json
 from tidewatch.sources.files import read_batches, recent_rows, union_by_name
 
@@ -61,12 +62,19 @@ def retraining(
     spark: SparkSession, reference: DataFrame | None, labeled_dir: str, unlabeled_dir: str, schema,
     registry_path: str, champion=None, window_rows: int = 1000, key_cols=None,
     config: DriftConfig = DriftConfig(), min_improvement: float = 0.01, report_path: str | None = None,
+    log_path: str | None = None, baseline_path: str | None = None,
 ) -> RetrainOutcome:
-    """Drift-gated retraining with champion/challenger promotion."""
+    """Drift-gated retraining with champion/challenger promotion.
+
+    Both windows are written once, so the report and the training rows are the
+    same files' rows whatever arrives meanwhile.  The champion is the given
+    model, else the registry's current one, else the baseline's; a promoted
+    challenger is saved under the path its registry row records."""
     if reference is None:
         return RetrainOutcome(EXIT_NO_REFERENCE)
     unl = recent_rows(read_batches(spark, unlabeled_dir, schema.__class__([f for f in schema.fields if f.name != TARGET])), window_rows).drop("_pos")
-    lab = recent_rows(read_batches(spark, labeled_dir, schema), window_rows).drop("_pos")
+    unl = stage_table(unl, "window-unlabeled")
+    lab = stage_table(recent_rows(read_batches(spark, labeled_dir, schema), window_rows).drop("_pos"), "window-labeled")
     window = union_by_name(unl, lab)
     if window.isEmpty():
         return RetrainOutcome(EXIT_NO_NEW_DATA)
@@ -75,7 +83,7 @@ def retraining(
     common = [c for c in ref_x.columns if c in cur_x.columns]
     if not common:
         return RetrainOutcome(EXIT_NO_COMMON_COLUMNS)
-    rep = drift_job(ref_x.select(*common), cur_x.select(*common), report_path=report_path, config=config)
+    rep = drift_job(ref_x.select(*common), cur_x.select(*common), report_path=report_path, log_path=log_path, config=config)
     if not rep.summary.first()["drift_detected_overall"]:
         return RetrainOutcome(EXIT_NO_DRIFT, rep)
     if TARGET not in lab.columns or lab.filter(F.col(TARGET).isNotNull()).isEmpty():
@@ -88,8 +96,8 @@ def retraining(
     enc = FeatureEncoder(exclude=[TARGET, "label", "split"] + list(key_cols or []))
     chal = fit_pipeline(train.withColumn("label", F.col(TARGET).cast("double")), enc, forest(**FOREST_RETRAIN))
     hold = hold.withColumn("label", F.col(TARGET).cast("double"))
-    from tidewatch.operators.models import side_by_side
-
+    if champion is None:
+        champion = load_current(spark, registry_path, baseline_path)
     models = {"chal": chal} if champion is None else {"chal": chal, "champ": champion}
     scored = side_by_side(models, hold, ["label"])
     m = scored.agg(
@@ -100,7 +108,7 @@ def retraining(
     champ_mae = m["champ_mae"] if champion is not None else None
     if champ_mae is not None and not (m["chal_mae"] < champ_mae - min_improvement):
         return RetrainOutcome(KEPT, rep, champ_mae, m["chal_mae"])
-    v = register(spark, registry_path, m["chal_mae"], m["chal_r2"])
+    v = register(spark, registry_path, m["chal_mae"], m["chal_r2"], model=chal)
     return RetrainOutcome(PROMOTED, rep, champ_mae, m["chal_mae"], v, {"model": chal})
 
 
@@ -131,7 +139,7 @@ def bootstrap(spark: SparkSession, raw: DataFrame, key_cols: list[str], registry
     model = fit_pipeline(train, FeatureEncoder(exclude=[TARGET, "label", "split"] + list(key_cols)), forest(**FOREST_RETRAIN))
     met = regression_metrics(model.transform(val), "label", "prediction")
     row = met.first()
-    v = register(spark, registry_path, row["mae"], row["r2"])
+    v = register(spark, registry_path, row["mae"], row["r2"], model=model)
     return model, met, v
 
 
@@ -169,7 +177,3 @@ def batch_scoring(model, test: DataFrame, label: str = "label") -> dict[str, Dat
     met = regression_metrics(scored, label, "prediction")
     gates = quality_gates(met.select("mae", F.col("r2").alias("test_r2"), "within_1"))
     return {"scored": scored, "metrics": met, "gates": gates}
-
-
-__all__ = ["drift_job", "retraining", "bootstrap", "profile_run", "baseline_training", "batch_scoring",
-           "promote", "current", "ridge"]
