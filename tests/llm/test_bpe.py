@@ -60,6 +60,7 @@ def test_merges_with_ranks_in_any_order():
                 parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
             want.append([words[raw]] if raw in words else [words[p] for p in parts])
         assert Merger(words).ids(pieces) == want
+        assert Merger(words).one_by_one(pieces) == want
 
 
 def test_queue_gives_least_rank_and_leftmost_place():
@@ -70,7 +71,7 @@ def test_queue_gives_least_rank_and_leftmost_place():
     while q.first() >= 0:
         r = q.first()
         out.append((r, q.take(r)))
-    assert out == [(3, [2, 9]), (64, [5]), (4097, [0]), (70000, [1])]
+    assert out == [(3, [9, 2]), (64, [5]), (4097, [0]), (70000, [1])]
 
 
 def test_small_tables(spark):

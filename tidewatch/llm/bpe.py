@@ -25,7 +25,7 @@ from tidewatch.llm.common import map_batches, read_table, whole_text
 from tidewatch.llm.packing import ChunkEncoder, text_groups
 
 CACHE_CHUNKS = 400_000
-GROUP = 1 << 22  # characters of texts whose new pre-tokens share a queue
+GROUP = 1 << 23  # characters of texts whose new pre-tokens share a queue
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,9 +42,9 @@ class RankQueue:
         self.top = 0
         self.middle: dict[int, int] = {}
         self.low: dict[int, int] = {}
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: dict[int, list] = {}
 
-    def push(self, rank: int, at: list[int]) -> None:
+    def push(self, rank: int, at: list) -> None:
         """Open the bucket of a rank that has none."""
         self.buckets[rank] = at
         word = rank >> 6
@@ -63,8 +63,8 @@ class RankQueue:
         bits = self.low[word]
         return word << 6 | (bits & -bits).bit_length() - 1
 
-    def take(self, rank: int) -> list[int]:
-        """All positions of a rank, leftmost first; clears its bits."""
+    def take(self, rank: int) -> list:
+        """All entries of a rank; clears its bits."""
         word = rank >> 6
         group = word >> 6
         self.low[word] &= ~(1 << (rank & 63))
@@ -72,7 +72,7 @@ class RankQueue:
             self.middle[group] &= ~(1 << (word & 63))
             if not self.middle[group]:
                 self.top &= ~(1 << group)
-        return sorted(self.buckets.pop(rank))
+        return self.buckets.pop(rank)
 
 
 class Merger:
@@ -93,19 +93,101 @@ class Merger:
                 left, right = ranks.get(token[:k]), ranks.get(token[k:])
                 if left is not None and right is not None:
                     self.pairs[left << 32 | right] = rank
+        self.keys = np.array(sorted(self.pairs), dtype=np.int64)
+        self.values = np.array([self.pairs[k] for k in self.keys.tolist()], dtype=np.int64)
         self.two = np.full(1 << 16, -1, dtype=np.int64)  # the same for two bytes, as a table
         for token, rank in ranks.items():
             if len(token) == 2:
                 self.two[token[0] << 8 | token[1]] = rank
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs by the ids of their halves; -1: none."""
+        key = (left.astype(np.int64) << 32) | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], -1).astype(np.int32) if len(self.keys) else np.full(len(key), -1, dtype=np.int32)
+
     def ids(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each pre-token (none of them empty)."""
-        get = self.pairs.get
+        """Ids of each pre-token (none of them empty).
+
+        A bucket's entries are merged at once, which gives the order of one by
+        one as long as no merge opens a smaller rank than its own; pre-tokens in
+        which one does are merged again by themselves, one by one."""
         raw = b"".join(pieces)
         n = len(raw)
         sizes = np.array([len(p) for p in pieces])
         ends = np.cumsum(sizes)
         starts = ends - sizes
+        pair, part, swallowed = self._begin(raw, pieces, starts, ends)
+        pair, part = pair.astype(np.int32), part.astype(np.int32)
+        after = np.arange(1, n + 1, dtype=np.int32)
+        before = np.arange(-1, n - 1, dtype=np.int32)
+        edge = np.zeros(n + 1, dtype=bool)
+        edge[starts] = edge[n] = True
+        before[starts] = -1
+        queue = RankQueue()
+        again = set()
+
+        def push(places: np.ndarray, ranks: np.ndarray) -> None:
+            some = ranks >= 0
+            places, ranks = places[some], ranks[some]
+            if not len(places):
+                return
+            order = np.argsort(ranks, kind="stable")
+            places, ranks = places[order], ranks[order]
+            cut = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            lows = [0, *cut.tolist()]
+            for rank, lo, hi in zip(ranks[lows].tolist(), lows, [*lows[1:], len(places)]):
+                if rank in queue.buckets:
+                    queue.buckets[rank].append(places[lo:hi])
+                else:
+                    queue.push(rank, [places[lo:hi]])
+
+        push(np.arange(n, dtype=np.int32), pair)
+        rank = queue.first()
+        while rank >= 0:
+            at = np.concatenate(queue.take(rank))
+            at = np.unique(at[pair[at] == rank])  # others are stale: their pair has changed since
+            if len(at):
+                right = after[at]
+                chain = np.flatnonzero(at[1:] == right[:-1])  # pairs that share a part: leftmost first
+                if len(chain):
+                    keep = np.ones(len(at), dtype=bool)
+                    for k in chain.tolist():
+                        if keep[k]:
+                            keep[k + 1] = False
+                    at, right = at[keep], right[keep]
+                end = after[right]
+                inner = ~edge[end]
+                follows, own = end[inner], at[inner]
+                passing = self._rank(np.full(len(own), rank), part[follows])  # before a neighbour merges too
+                after[at] = end
+                part[at] = rank
+                pair[right] = -2
+                pair[at] = -1
+                before[follows] = own
+                fresh = self._rank(part[own], part[follows])
+                pair[own] = fresh
+                left = before[at]
+                left = left[left >= 0]
+                other = self._rank(part[left], np.full(len(left), rank))
+                pair[left] = other
+                for places, ranks in ((own, passing), (own, fresh), (left, other)):
+                    low = (ranks >= 0) & (ranks < rank)
+                    if low.any():
+                        again.update((np.searchsorted(starts, places[low], side="right") - 1).tolist())
+                push(np.concatenate([own, left]), np.concatenate([fresh, other]))
+            rank = queue.first()
+        alive = (pair != -2) & ~swallowed
+        out = part[alive].tolist()
+        stops = np.cumsum(alive)[ends - 1].tolist()
+        got = [out[lo:hi] for lo, hi in zip([0, *stops], stops)]
+        for k in again:
+            got[k] = self.one_by_one([pieces[k]])[0]
+        return got
+
+    def _begin(self, raw: bytes, pieces: list[bytes], starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rank of the pair, id of the part that begin at each byte, bytes inside whole tokens)."""
+        n = len(raw)
         data = np.frombuffer(raw, dtype=np.uint8).astype(np.int64)
         found = np.full(n, -1, dtype=np.int64)
         found[:-1] = self.two[data[:-1] << 8 | data[1:]]
@@ -118,6 +200,17 @@ class Merger:
                 found[start:end] = -1
                 first[start] = whole
                 swallowed[start + 1:end] = True
+        return found, first, swallowed
+
+    def one_by_one(self, pieces: list[bytes]) -> list[list[int]]:
+        """The same, entry by entry, for rank tables of any kind."""
+        get = self.pairs.get
+        raw = b"".join(pieces)
+        n = len(raw)
+        sizes = np.array([len(p) for p in pieces])
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        found, first, swallowed = self._begin(raw, pieces, starts, ends)
         queue = RankQueue()
         places = np.flatnonzero(found >= 0)
         places = places[np.argsort(found[places], kind="stable")]
@@ -138,7 +231,7 @@ class Merger:
         buckets = queue.buckets
         rank = queue.first()
         while rank >= 0:
-            entries = queue.take(rank)
+            entries = sorted(queue.take(rank))
             lowest = rank
             for done, i in enumerate(entries):
                 if pair[i] != rank:
@@ -224,7 +317,7 @@ class BytePairCodec:
         for p in pieces:
             share.append(p)
             size += len(p)
-            if size >= 1 << 20:
+            if size >= 1 << 21:
                 out += self.merger.ids(share)
                 share, size = [], 0
         return out + (self.merger.ids(share) if share else [])
