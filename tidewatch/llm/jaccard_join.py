@@ -44,8 +44,8 @@ from tidewatch.session import stage_table
 WIDTH = 4
 NUMERATOR, DENOMINATOR = 85, 100  # linked from this Jaccard similarity on
 STAR_ROUNDS = 2
-SMALL = 64  # members of a signature whose pairs are formed by a join
-BLOCK = 512  # sketches of a block in the comparison of larger groups
+SMALL = 16  # members of a signature whose pairs are formed by a join
+BLOCK = 2_048  # sketches of a block in the comparison of larger groups
 SKETCH_WORDS = 16  # of 64 bits
 
 
@@ -225,6 +225,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     return map_batches(joined.select("a", "b", "x", "y"), run, "a long, b long, linked boolean")
 
 
+def _distinct_groups(members: DataFrame) -> DataFrame:
+    """The rows (sig, doc) of one signature for each set of documents that share one:
+    near copies agree on many signatures, each of which says the same."""
+    told = members.groupBy("sig").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("doc")).alias("p"),
+                                      F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("q"))
+    return members.join(told.groupBy("m", "p", "q").agg(F.min("sig").alias("sig")).select("sig"), "sig", "left_semi")
+
+
 def _passing(pairs: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
     """The pairs (a, b) that the sketches do not rule out."""
     def run(batch: pa.RecordBatch) -> dict:
@@ -258,8 +266,8 @@ def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
         lower = np.flatnonzero(side == part["bi"].iloc[0])
         upper = np.flatnonzero(side == part["bj"].iloc[0])
         out = []
-        for lo in range(0, len(lower), 64):
-            i = lower[lo:lo + 64]
+        for lo in range(0, len(lower), 32):
+            i = lower[lo:lo + 32]
             ok = _may_link(words[i][:, None], words[upper][None], n[i][:, None], n[upper][None], bands)
             ok &= comp[i][:, None] != comp[upper][None]
             x, y = np.nonzero(ok)
@@ -280,7 +288,7 @@ def join_groups(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR,
     members = stage_table(shared_keys(_signed(docs, width, bands), "sig", "cls").join(classes.select("cls", "doc"), "cls")
                           .select("sig", "doc", "cls"), "jaccard-signatures")
     about = stage_table(classes.join(members.select("cls").distinct(), "cls"), "jaccard-classes")
-    members = members.select("sig", "doc")
+    members = stage_table(_distinct_groups(members.select("sig", "doc")), "jaccard-groups")
 
     def verified(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         """(links, all) of distinct candidate pairs."""
