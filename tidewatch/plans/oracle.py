@@ -12,7 +12,7 @@ LI_REF, LI_CUR = "l_shipdate < TIMESTAMP '1998-07-01'", "l_shipdate >= TIMESTAMP
 OR_REF, OR_CUR = "o_orderdate < TIMESTAMP '1998-07-01'", "o_orderdate >= TIMESTAMP '1998-07-01'"
 LI_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LI_ALL_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"] + LI_NUMERIC
-LI_CAT = ["l_returnflag", "l_linestatus", "l_shipdate"]
+LI_CAT = ["l_returnflag", "l_linestatus"]
 
 
 def r6(x: str) -> str:
@@ -92,9 +92,9 @@ def report_query(table, ref, cur, num, cat):
                       f"SELECT feature, type, drift AS drift_detected, {r6('stat')} AS statistic, {r6('p')} AS p_value, reasons FROM det_o")
 
 
-EV_NUM, EV_CAT = ["event_id", "user_id", "value"], ["ts", "event_type", "props"]
+EV_NUM, EV_CAT = ["event_id", "user_id", "value"], ["event_type", "props"]
 EV_ORDER = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-OR_NUM, OR_CAT = ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderdate", "o_orderpriority"]
+OR_NUM, OR_CAT = ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"]
 
 
 def _quantiles_union(table: str, cols: list[str], where: str = "TRUE") -> str:
