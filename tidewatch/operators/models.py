@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Forest configurations of the reference (trees, depth, leaf size, seed).
 FOREST_BASELINE = dict(numTrees=100, maxDepth=10, minInstancesPerNode=2, seed=42)
@@ -45,10 +46,12 @@ def ridge(train: DataFrame, label: str = "label", features: str = "features", al
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Tree learners run one task per input partition on every pass: spread
-    inputs with fewer partitions than the cluster's parallelism."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    """Tree learners run one task per input partition on every pass: deal the rows
+    to the session's shuffle partitions by a hash of their values, so that neither
+    the input's layout nor the cluster's size changes the partitions a fit sees."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType))]
+    return df.repartition(n, F.xxhash64(*[F.col(f"`{c}`") for c in plain])) if plain else df.repartition(n)
 
 
 def fit_pipeline(train: DataFrame, encoder, estimator) -> PipelineModel:
