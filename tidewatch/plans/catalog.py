@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewatch.config import DriftConfig, SplitConfig
 from tidewatch.functions.scalar import error_band, half_even_int, quoted_number, yes_to_int
@@ -41,6 +42,10 @@ def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _schema_of(ddl: str) -> StructType:
+    return StructType.fromDDL(ddl)
+
+
 def r6(c):
     return F.round(c, 6)
 
@@ -66,7 +71,8 @@ def _counts(spark, sf, table: str, cols=None, df: DataFrame | None = None, curre
         ts, cut = SPLITS[table]
         current = _is_current(ts, cut)
     feats = common_features(df, df, columns=cols)
-    return long_counts_split(df, current, feats), feats
+    # written once: every statistic of a query reads the counts, not the table
+    return stage_table(long_counts_split(df, current, feats), "counts"), feats
 
 
 def _named(df: DataFrame, feats) -> DataFrame:
@@ -619,11 +625,53 @@ def nation_region(spark, sf):
 
 def side_by_side_scores(spark, sf):
     """Two models scored on the same rows, side by side."""
-    li = T(spark, sf, "lineitem")
-    return li.groupBy("l_returnflag").agg(
-        F.count("*").alias("n"),
-        r6(F.avg(F.abs(F.col("l_quantity") - F.col("l_extendedprice") / 2000.0))).alias("mae_a"),
-        r6(F.avg(F.abs(F.col("l_quantity") - F.col("l_extendedprice") / 1500.0))).alias("mae_b"))
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    from tidewatch.operators.models import side_by_side
+
+    def priced(divisor: float):
+        return PipelineModel([SQLTransformer(statement=f"SELECT *, l_extendedprice / {divisor}D AS prediction FROM __THIS__")])
+
+    scored = side_by_side({"a": priced(2000.0), "b": priced(1500.0)}, T(spark, sf, "lineitem"), ["l_returnflag", "l_quantity"])
+    return scored.groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), *[r6(F.avg(F.abs(F.col("l_quantity") - F.col(m)))).alias(f"mae_{m}") for m in "ab"])
+
+
+CSV_COLUMNS = "event_id long, user_id long, event_type string, value double"
+
+
+def _event_rows(df: DataFrame) -> DataFrame:
+    return df.agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.count_distinct("user_id").alias("users"),
+                  F.count_distinct("event_type").alias("types"), r6(F.sum("value")).alias("total"))
+
+
+def csv_two_separators(spark, sf):
+    """The events as CSV files under both separators, read back."""
+    from tidewatch.session import shared_dir
+    from tidewatch.sources.files import read_csv
+
+    rows = T(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    out = []
+    for sep in (",", ";"):
+        path = shared_dir(spark, "csv")
+        rows.write.option("header", True).option("sep", sep).csv(path)
+        back = read_csv(spark, path, _schema_of(CSV_COLUMNS), sep=sep)
+        out.append(_event_rows(back).select(F.lit(sep).alias("sep"), "*"))
+    return union_by_name(*out)
+
+
+def corrupt_file_skip(spark, sf):
+    """Batches whose files hold a malformed record are left out whole."""
+    from tidewatch.session import shared_dir
+    from tidewatch.sources.files import read_batches
+
+    path = shared_dir(spark, "batches")
+    rows = T(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    rows.write.option("header", True).csv(path)
+    (rows.withColumn("event_id", F.concat(F.lit("no number "), F.col("event_id").cast("string")))
+     .write.mode("append").option("header", True).csv(path))
+    return _event_rows(read_batches(spark, path, _schema_of(CSV_COLUMNS)))
 
 
 # ---- streaming ----------------------------------------------------------------

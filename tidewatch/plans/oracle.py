@@ -388,6 +388,10 @@ SELECT round(sxy / (sxx + 1.0), 4) AS coefficient, round(my - sxy / (sxx + 1.0)
                                "FROM (SELECT * FROM customer WHERE c_acctbal < 5000) d1 JOIN (SELECT * FROM customer WHERE c_acctbal >= 2000) d2 "
                                "ON d1.c_nationkey = d2.c_nationkey AND d1.c_mktsegment = d2.c_mktsegment")
     q["nation_region"] = "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"
+    rows = ("CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS ids, CAST(count(DISTINCT user_id) AS BIGINT) AS users, "
+            "CAST(count(DISTINCT event_type) AS BIGINT) AS types, round(sum(value), 6) AS total FROM events")
+    q["csv_two_separators"] = f"SELECT ',' AS sep, {rows} UNION ALL SELECT ';' AS sep, {rows}"
+    q["corrupt_file_skip"] = f"SELECT {rows}"
     q["side_by_side_scores"] = ("SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n, round(avg(abs(l_quantity - l_extendedprice / 2000.0)), 6) AS mae_a, "
                                 "round(avg(abs(l_quantity - l_extendedprice / 1500.0)), 6) AS mae_b FROM lineitem GROUP BY 1")
     dct = [("c_custkey", "customer key", "identifier"), ("c_name", "customer name", "identifier"),
