@@ -90,7 +90,7 @@ def test_personal_data_is_masked(results):
             assert left[d] != t and not base_spans(left[d])
         elif t is None or not any(c.isdigit() or c == "@" for c in t):
             assert left[d] == t
-    assert "555-0123" not in left[len(texts) + 10]
+    assert left[len(texts) + 10].startswith("call [PHONE] or")
 
 
 def test_packing_holds_all_that_is_left(results):

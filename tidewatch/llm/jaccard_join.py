@@ -12,8 +12,8 @@ second round takes other centres.  What is still in different components after
 that is settled exactly: small signature groups pair by pair, clusters of large
 ones block against block inside tasks.
 
-Candidates first pass an odd sketch (1024 bits, each the parity of the elements
-that hash there): two sketches differ in at most as many bits as the sets in
+Candidates first pass an odd sketch (1024 bits or more by size, each the parity
+of the elements that hash there): two sketches differ in at most as many bits as the sets in
 elements, so a pair that differs in more bits than a link allows is no link.
 The rest is verified on the sets.  Sets are gathered for those documents only;
 a bitmap of fixed size over their ids (false positives only) lets the scan
@@ -46,7 +46,7 @@ NUMERATOR, DENOMINATOR = 85, 100  # linked from this Jaccard similarity on
 STAR_ROUNDS = 2
 SMALL = 16  # members of a signature whose pairs are formed by a join
 BLOCK = 2_048  # sketches of a block in the comparison of larger groups
-SKETCH_WORDS = 16  # of 64 bits
+SKETCH_WORDS = 16  # of 64 bits, at least; about two bits for three elements
 
 
 class Bands:
@@ -134,23 +134,44 @@ def _classes(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Odd sketches, one row of words per set."""
-    bit = mix(values ^ np.uint64(0x0DD0DD0DD0DD0DD)) % np.uint64(64 * SKETCH_WORDS)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    odd = np.bincount(row * (64 * SKETCH_WORDS) + bit.astype(np.int64), minlength=len(sizes) * 64 * SKETCH_WORDS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(len(sizes), -1), axis=1).view(np.uint64)
+def sketches(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Odd sketch of each set; its length grows with the set (a power of two of words)."""
+    place = mix(values ^ np.uint64(0x0DD0DD0DD0DD0DD))
+    first = np.cumsum(sizes) - sizes
+    words = np.maximum(SKETCH_WORDS, 1 << np.ceil(np.log2(np.maximum(1, sizes) / 96)).astype(np.int64).clip(0))
+    out: list[bytes] = [b""] * len(sizes)
+    for w in np.unique(words).tolist():
+        own = np.flatnonzero(words == w)
+        n = sizes[own]
+        at = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        bit = (place[at] % np.uint64(64 * w)).astype(np.int64)
+        odd = np.bincount(np.repeat(np.arange(len(own)), n) * (64 * w) + bit, minlength=len(own) * 64 * w) & 1
+        packed = np.packbits(odd.astype(np.uint8).reshape(len(own), -1), axis=1)
+        for i, row in zip(own.tolist(), packed):
+            out[i] = row.tobytes()
+    return out
+
+
+def _folded(words: np.ndarray, n: int) -> np.ndarray:
+    """Rows of sketches at a smaller length: parities of halves add up."""
+    while words.shape[1] > n:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
 
 
 def _may_link(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, bands: Bands) -> np.ndarray:
-    """No pair that is linked fails this (arrays are broadcast against one another)."""
+    """No pair that is linked fails this (rows of equal length, broadcast against one another)."""
     differ = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
     return (differ * (bands.den + bands.num) <= (nx + ny) * (bands.den - bands.num)) & (
         bands.den * np.minimum(nx, ny) >= bands.num * np.maximum(nx, ny))
 
 
-def _words(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), SKETCH_WORDS)
+def _by_length(raw: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Rows of each sketch length: (positions, words)."""
+    size = np.array([len(r) for r in raw])
+    return {n // 8: ((at := np.flatnonzero(size == n)), np.frombuffer(b"".join([raw[i] for i in at.tolist()]), np.uint64).reshape(len(at), -1))
+            for n in np.unique(size).tolist()}
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
@@ -161,7 +182,7 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
         for lo, hi in text_groups(texts):
             values, sizes = shingle_sets(texts[lo:hi], width)
             n.append(sizes)
-            sketch += [r.tobytes() for r in sketches(values, sizes)]
+            sketch += sketches(values, sizes)
             cls.append(_classes(values, sizes).view(np.int64))
         return {"doc_id": batch.column("doc_id"), "n": np.concatenate(n), "cls": np.concatenate(cls), "sketch": sketch}
 
@@ -236,8 +257,15 @@ def _distinct_groups(members: DataFrame) -> DataFrame:
 def _passing(pairs: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
     """The pairs (a, b) that the sketches do not rule out."""
     def run(batch: pa.RecordBatch) -> dict:
-        ok = _may_link(_words(batch.column("x")), _words(batch.column("y")), batch.column("nx").to_numpy(),
-                       batch.column("ny").to_numpy(), bands)
+        x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+        nx, ny = batch.column("nx").to_numpy(), batch.column("ny").to_numpy()
+        ok = np.zeros(len(x), dtype=bool)
+        lengths = np.array([(len(a), len(b)) for a, b in zip(x, y)]).reshape(-1, 2)
+        for a, b in {tuple(p) for p in lengths.tolist()}:
+            at = np.flatnonzero((lengths == (a, b)).all(axis=1))
+            n = min(a, b) // 8
+            left, right = (np.frombuffer(b"".join([v[i] for i in at.tolist()]), np.uint64).reshape(len(at), -1) for v in (x, y))
+            ok[at] = _may_link(_folded(left, n), _folded(right, n), nx[at], ny[at], bands)
         return {c: batch.column(c).filter(pa.array(ok)) for c in "ab"}
 
     joined = (pairs.join(about.select(F.col("doc").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("ny")), "b")
@@ -262,16 +290,23 @@ def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         nodes, side, comp, n = (part[c].to_numpy() for c in ("node", "block", "comp", "n"))
-        words = np.frombuffer(b"".join(part["sketch"]), dtype=np.uint64).reshape(len(part), SKETCH_WORDS)
-        lower = np.flatnonzero(side == part["bi"].iloc[0])
-        upper = np.flatnonzero(side == part["bj"].iloc[0])
+        lower, upper = (np.flatnonzero(side == part[c].iloc[0]) for c in ("bi", "bj"))
+        raw = part["sketch"].tolist()
+        rows, columns = (_by_length([raw[i] for i in own.tolist()]) for own in (lower, upper))
         out = []
-        for lo in range(0, len(lower), 32):
-            i = lower[lo:lo + 32]
-            ok = _may_link(words[i][:, None], words[upper][None], n[i][:, None], n[upper][None], bands)
-            ok &= comp[i][:, None] != comp[upper][None]
-            x, y = np.nonzero(ok)
-            out.append(pd.DataFrame({"a": np.minimum(nodes[i[x]], nodes[upper[y]]), "b": np.maximum(nodes[i[x]], nodes[upper[y]])}))
+        for w, (at, words) in rows.items():
+            for v, (to, others) in columns.items():
+                if max(v, w) > 2 * min(v, w):
+                    continue  # sizes too far apart for a link
+                short, long = _folded(words, min(v, w)), _folded(others, min(v, w))
+                j = upper[to]
+                step = max(1, (1 << 22) // max(1, long.size))
+                for lo in range(0, len(at), step):
+                    i = lower[at[lo:lo + step]]
+                    ok = _may_link(short[lo:lo + step, None], long[None], n[i][:, None], n[j][None], bands)
+                    ok &= comp[i][:, None] != comp[j][None]
+                    p, q = np.nonzero(ok)
+                    out.append(pd.DataFrame({"a": np.minimum(nodes[i[p]], nodes[j[q]]), "b": np.maximum(nodes[i[p]], nodes[j[q]])}))
         return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
     return placed.groupBy("component", "bi", "bj").applyInPandas(run, "a long, b long")
