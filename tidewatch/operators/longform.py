@@ -1,4 +1,4 @@
-"""Long form of two tables: one scan, one Generate, one map-side-combined shuffle.
+"""Long form of two tables: per column kind (numeric, other) one scan, one Generate, one map-side-combined shuffle.
 
 Every shared column becomes rows ``(fid, num, cat)``; numeric features fill
 ``num`` (double), everything else fills ``cat`` (string).  Counting by

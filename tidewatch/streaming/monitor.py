@@ -42,7 +42,9 @@ def ingest(stream: DataFrame, sink_path: str, checkpoint: str, dataset_type: str
 def windowed_profile(stream: DataFrame, ts_col: str, category: str, value: str, window: str = "1 day",
                      slide: str | None = None, watermark: str = "1 day") -> DataFrame:
     """ST3: per event-time window and category: count, sum and sum of squares
-    of ``value`` (mergeable state).  Rows later than the watermark are dropped."""
+    of ``value`` (mergeable state).  In append and update mode rows later than the
+    watermark are dropped and closed windows leave the state; complete mode
+    keeps every window and drops nothing."""
     ts = F.col(ts_col).cast("timestamp")
     s = stream.withColumn("_ts", ts).withWatermark("_ts", watermark)
     w = F.window("_ts", window, slide) if slide else F.window("_ts", window)
@@ -56,7 +58,8 @@ def run_complete(agg: DataFrame, sink_path: str, checkpoint: str):
     """Run a streaming aggregate to the end of the available input in complete
     mode, replacing the Parquet snapshot at ``sink_path`` each micro-batch.
 
-    State is the aggregate's keys (windows x categories), not rows.
+    State is the aggregate's keys (windows x categories), not rows; complete
+    mode never evicts them, so this is for bounded input.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(sink_path)
