@@ -609,13 +609,15 @@ def history_flatten(spark, sf):
 
 # ---- joins ------------------------------------------------------------------
 
+MERGE_KEYS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+
+
 def merge_on_many_keys(spark, sf):
-    """Many-to-many inner join on several keys, clashing columns suffixed."""
-    c = T(spark, sf, "customer")
-    keys = ["c_nationkey", "c_mktsegment"]
-    d1 = c.filter(F.col("c_acctbal") < 5000).select(*keys, F.col("c_custkey").alias("c_custkey_x"), F.col("c_acctbal").alias("c_acctbal_x"))
-    d2 = c.filter(F.col("c_acctbal") >= 2000).select(*keys, F.col("c_custkey").alias("c_custkey_y"), F.col("c_acctbal").alias("c_acctbal_y"))
-    return d1.join(d2, keys, "inner")
+    """Two overlapping customer tables on four keys, clashing columns suffixed."""
+    from tidewatch.operators.joins import merge_on_keys
+
+    c = T(spark, sf, "customer").select(*MERGE_KEYS, "c_acctbal")
+    return merge_on_keys(c.filter("c_acctbal < 5000"), c.filter("c_acctbal >= 2000"), MERGE_KEYS)
 
 
 def nation_region(spark, sf):

@@ -384,9 +384,10 @@ SELECT round(sxy / (sxx + 1.0), 4) AS coefficient, round(my - sxy / (sxx + 1.0)
     q["registry_next"] = f"SELECT CAST(coalesce(max(version), 0) + 1 AS INTEGER) AS next_version FROM {versions_sql()}"
     q["history_flatten"] = (f"SELECT 'v' || CAST(version AS VARCHAR) AS version, round(coalesce(mae, 0.0), 6) AS mae, round(coalesce(r2, 0.0), 6) AS r2, "
                             f"version = max(version) OVER () AS is_active FROM {versions_sql()}")
-    q["merge_on_many_keys"] = ("SELECT d1.c_nationkey, d1.c_mktsegment, d1.c_custkey AS c_custkey_x, d1.c_acctbal AS c_acctbal_x, d2.c_custkey AS c_custkey_y, d2.c_acctbal AS c_acctbal_y "
+    keys = "c_custkey, c_name, c_nationkey, c_mktsegment"
+    q["merge_on_many_keys"] = (f"SELECT {keys}, d1.c_acctbal AS c_acctbal_x, d2.c_acctbal AS c_acctbal_y "
                                "FROM (SELECT * FROM customer WHERE c_acctbal < 5000) d1 JOIN (SELECT * FROM customer WHERE c_acctbal >= 2000) d2 "
-                               "ON d1.c_nationkey = d2.c_nationkey AND d1.c_mktsegment = d2.c_mktsegment")
+                               f"USING ({keys})")
     q["nation_region"] = "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"
     rows = ("CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS ids, CAST(count(DISTINCT user_id) AS BIGINT) AS users, "
             "CAST(count(DISTINCT event_type) AS BIGINT) AS types, round(sum(value), 6) AS total FROM events")
