@@ -23,8 +23,11 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 3
 
 
+BATCH_ROWS = 2_500
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """``mapInArrow`` over single batches: ``fn`` returns columns by name (or None).
+    """``mapInArrow`` over batches of bounded length: ``fn`` returns columns by name (or None).
 
     The result columns are cast to the Arrow types of ``schema``.
     """
@@ -34,13 +37,11 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], sche
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = fn(batch)
-            if cols is None:
-                continue
-            yield pa.RecordBatch.from_arrays([_column(cols[f.name], f.type) for f in target], schema=target)
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):  # bounds what a task holds beside the batch
+                cols = fn(whole.slice(at, BATCH_ROWS))
+                if cols is not None:
+                    yield pa.RecordBatch.from_arrays([_column(cols[f.name], f.type) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)
 
@@ -138,10 +139,12 @@ def split_by_bitmap(rows: DataFrame, id_col: str, inside: Callable) -> tuple[Dat
     Two scans, but only the first part has to be shuffled to be joined."""
     def part(wanted: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids = batch.column(id_col).cast(pa.int64())
-                found = inside(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(found == wanted))
+            for whole in batches:
+                for at in range(0, whole.num_rows, BATCH_ROWS):
+                    batch = whole.slice(at, BATCH_ROWS)
+                    ids = batch.column(id_col).cast(pa.int64())
+                    found = inside(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+                    yield batch.filter(pa.array(found == wanted))
 
         return rows.mapInArrow(run, rows.schema)
 
