@@ -106,7 +106,7 @@ def test_entry_contract(spark):
     import __spark_entry__ as E
 
     df = E.entry(spark)
-    assert df.count() == 11 and df.columns == ["feature", "type", "drift_detected", "statistic", "p_value", "reasons"]
+    assert df.count() == 10 and df.columns == ["feature", "type", "drift_detected", "statistic", "p_value", "reasons"]
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 60
 
