@@ -59,3 +59,23 @@ def test_tables_without_examples(spark):
     assert {r.score for r in with_score(docs, None).collect()} == {0.0}
     one = spark.createDataFrame([(1, 0, 1), (2, 0, 1)], "doc_id long, quality int, toxic int")
     assert train(docs, one, F.lit(True)) is None
+
+
+def test_long_tailed_vocabulary(spark, tmp_path):
+    rng = random.Random(9)
+    common, rare, insults = (["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(6, 10))) for _ in range(n)]
+                             for n in (150, 400, 240))
+    texts, toxic = [], []
+    for i in range(1200):
+        bad = i % 3 == 0
+        w = [rng.choice(common) for _ in range(rng.randint(15, 30))] + rng.sample(rare, 4) + rng.sample(insults if bad else rare, 4)
+        rng.shuffle(w)
+        texts.append(" ".join(w))
+        toxic.append(int(bad))
+    learned = [set(t.split()) for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sum(sum(w in t for t in learned) < 0.01 * len(learned) for w in insults) >= 200
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    rows = op7_toxicity(spark, table_dir(tmp_path, documents=documents(spark, texts), labels=labels)).filter("held_out").collect()
+    bad = [r.predicted for r in rows if toxic[r.doc_id]]
+    good = [r.predicted for r in rows if not toxic[r.doc_id]]
+    assert sum(bad) >= 0.9 * len(bad) and sum(good) <= 0.01 * len(good)

@@ -40,7 +40,7 @@ STEPS = 700  # at least so many batches, however small the sample
 RATE = 0.1
 MOMENTUM = 0.9
 SCALING = 0.25
-LEAST_DOCS, LEAST_SHARE = 5, 0.01  # rows that fewer sampled documents hold are not trained
+LEAST_DOCS = 2  # rows that fewer sampled documents hold are not trained, whatever the sample; decay holds rare ones
 GAIN = 10.0  # the average of many rows is small; fixed scale before the softmax
 DECAY = 1e-5
 SEED = 7
@@ -78,7 +78,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
         return None
     rng = np.random.default_rng(seed)
     used, held_by = np.unique(np.concatenate([b[0] for b in bags]), return_counts=True)
-    used = used[held_by >= max(LEAST_DOCS, LEAST_SHARE * len(bags))]
+    used = used[held_by >= LEAST_DOCS]
     if not len(used):
         return None
     shared = [np.isin(b[0], used) for b in bags]
