@@ -48,3 +48,16 @@ def test_repeated_rows_and_empty_table(spark):
     rows = shard(documents(spark, ["x"] * 40, [None] * 40)).collect()
     check(rows, ["x"] * 40)
     assert {sum(r.shard == s for r in rows) for s in range(8)} == {5}
+
+
+def test_copies_stay_together_in_overfull_ranges(spark):
+    texts = [f"text number {i} " * (1 + i % 3) for i in range(1500)] * 2 + ["the same text again and again"] * 600
+    rows = shard(documents(spark, texts), sample_size=4).collect()
+    check(rows, texts)
+    size, where = [0] * 8, {}
+    for r in rows:
+        size[r.shard] += r.size
+        where.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert max(size) < 1.03 * sum(size) / 8 and min(size) > 0.97 * sum(size) / 8
+    assert all(len(s) == 1 for t, s in where.items() if t != texts[-1])
+    assert len(where[texts[-1]]) <= 3

@@ -2,8 +2,8 @@
 
 Keys are hashes of the text, so equal texts are neighbours in key order.  A
 size-weighted sample of keys gives quantile boundaries; records fall into the
-ranges between them; a range that holds more than its share (a text with very
-many copies) is subdivided.  Exact totals of the pieces, summed in order, give
+ranges between them; a range that holds more than its share is subdivided by
+key, and by row only within a text with very many copies.  Exact totals of the pieces, summed in order, give
 each record its place in one global byte stream, and a shard is an eighth of
 that stream.  A group of equal texts up to ``group_slack`` of a shard is placed
 as one; larger groups are split between neighbouring shards.
@@ -17,7 +17,7 @@ empty table gives no rows; repeated rows each get a slot of their own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import range_index, read_table
@@ -51,11 +51,29 @@ def shard(docs: DataFrame, n_shards: int = 8, n_ranges: int = 1024, sample_size:
     bounds = splitters(slim, total, n_ranges, sample_size)
     ranged = slim.withColumn("rng", range_index(F.col("key"), bounds))
     share = max(1, 2 * total // n_ranges)
-    # at most one number per range comes back: how many parts it is cut into
+    # at most one number per range comes back, and the groups placed in pieces (n_shards / group_slack at most)
     sizes = {r["rng"]: r["b"] for r in ranged.groupBy("rng").agg(F.sum("size").alias("b")).collect()}
+    slack = int(group_slack * total / n_shards)
+    full = [r for r, b in sizes.items() if b > share]
+    large = (ranged.filter(F.col("rng").isin(full)).groupBy("rng", "key").agg(F.sum("size").alias("b"))
+             .filter(F.col("b") > slack).orderBy("key").collect()) if full else []
+    for r in large:
+        sizes[r["rng"]] -= r["b"]
+    # what is left of a range is cut by key, so equal texts share a piece; the pieces of its large groups follow
     parts = [-(-sizes.get(r, 0) // share) or 1 for r in range(len(bounds) + 1)]
-    ranged = ranged.withColumn(
-        "sub", F.pmod(F.col("row"), F.get(F.array(*[F.lit(p) for p in parts]), F.col("rng"))).cast("int"))
+    sub = F.pmod(F.col("key"), F.get(F.array(*[F.lit(p) for p in parts]), F.col("rng")))
+    if large:
+        behind, after, pieces = list(parts), [], [-(-r["b"] // share) for r in large]
+        for r, n in zip(large, pieces):
+            after.append(behind[r["rng"]])
+            behind[r["rng"]] += n
+        at = range_index(F.col("key"), [r["key"] for r in large]) - 1
+
+        def own(values: list) -> Column:
+            return F.get(F.array(*[F.lit(v) for v in values]), at)
+
+        sub = F.when(own([r["key"] for r in large]) == F.col("key"), own(after) + F.pmod(F.col("row"), own(pieces))).otherwise(sub)
+    ranged = ranged.withColumn("sub", sub.cast("int"))
 
     # exact totals per piece (about 1.5 * n_ranges rows at most), summed in key order
     before = Window.orderBy("rng", "sub").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,7 +82,7 @@ def shard(docs: DataFrame, n_shards: int = 8, n_ranges: int = 1024, sample_size:
                       F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("row_shift")))
     running = Window.partitionBy("rng", "sub").orderBy("key", "row").rowsBetween(Window.unboundedPreceding, 0)
     group = Window.partitionBy("rng", "sub", "key")
-    whole = F.col("group_bytes") <= int(group_slack * total / n_shards)
+    whole = F.col("group_bytes") <= slack
     placed = (ranged.join(F.broadcast(shifts), ["rng", "sub"])
               .withColumn("start", F.col("byte_shift") + F.sum("size").over(running) - F.col("size"))
               .withColumn("idx", F.col("row_shift") + F.row_number().over(running) - 1)
