@@ -47,3 +47,10 @@ def test_odd_rows(spark, tmp_path):
     langs, prototypes = train(empty, fold() != 1)
     assert langs == [] and predict(empty, langs, prototypes).count() == 0
     assert {r.lang_pred for r in predict(docs, langs, prototypes).collect()} == {"und"}
+
+
+def test_rare_languages_of_a_large_table_are_learned(spark):
+    rare = F.col("id") < 6
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(rare, F.concat(F.lit("l"), "id")).otherwise("en").alias("lang"),
+                                      F.when(rare, F.lit("zq xv kj")).otherwise("the cat").alias("text"))
+    assert train(docs, F.lit(True))[0] == ["en", *(f"l{i}" for i in range(6))]

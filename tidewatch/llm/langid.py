@@ -27,7 +27,6 @@ from tidewatch.llm.packing import text_groups
 
 DIMENSIONS = 512
 SYMBOLS = 64  # gap, a to z, 37 classes of other letters
-SAMPLE_DOCS = 20_000
 SEED = 20_231
 
 
@@ -89,15 +88,9 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return np.divide(v, size, out=np.zeros_like(v), where=size > 0)
 
 
-def train(docs: DataFrame, usable: Column, sample_docs: int = SAMPLE_DOCS, dimensions: int = DIMENSIONS,
-          seed: int = SEED) -> tuple[list[str], np.ndarray]:
-    """Languages and their unit prototypes, from about ``sample_docs`` of the
-    usable rows (all, if fewer), chosen by a hash of the id."""
+def train(docs: DataFrame, usable: Column, dimensions: int = DIMENSIONS, seed: int = SEED) -> tuple[list[str], np.ndarray]:
+    """Languages and their unit prototypes, from all usable rows: bundles are sums, so tasks hold one per language."""
     rows = docs.filter(usable & F.col("lang").isNotNull())
-    n = rows.count()
-    if n > sample_docs:
-        unit = F.xxhash64("doc_id", F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1))
-        rows = rows.filter(unit < int((1 << 53) * (sample_docs / n)))
 
     def run(batch: pa.RecordBatch) -> dict:
         space = hyperspace(dimensions, seed)
