@@ -24,6 +24,17 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 
 BATCH_ROWS = 2_500
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Cut Arrow batches at ``most`` bytes for this session, unless it sets a bound itself.
+
+    Only the size of the pieces in which rows go to Python changes; Spark's own
+    bound (64 MB) is held several times over in the JVM and the worker of every task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(most))
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
