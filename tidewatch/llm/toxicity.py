@@ -77,24 +77,26 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
     if len(set(labels.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    used, held_by = np.unique(np.concatenate([b[0] for b in bags]), return_counts=True)
+    # the bags end to end, in a few large arrays that the driver gives back when done
+    ids = np.concatenate([b[0] for b in bags]).astype(np.int32, copy=False)
+    share = np.concatenate([b[1] for b in bags]).astype(np.float32, copy=False)
+    size = np.array([len(b[0]) for b in bags], dtype=np.int64)
+    used, held_by = np.unique(ids, return_counts=True)
     used = used[held_by >= LEAST_DOCS]
     if not len(used):
         return None
-    shared = [np.isin(b[0], used) for b in bags]
-    bags = [(b[0][k], b[1][k]) for b, k in zip(bags, shared)]
+    shared = np.isin(ids, used)
+    size = np.add.reduceat(np.append(shared, False), np.cumsum(size) - size, dtype=np.int64) * (size > 0)
+    ids, share = np.searchsorted(used, ids[shared]).astype(np.int32), share[shared]
+    start = np.append(0, np.cumsum(size))
     table = rng.normal(0, 0.01, size=(len(used), DIMENSIONS)).astype(np.float32)
     soft = rng.normal(0, 0.3, size=(DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
     params = [table, soft, bias]
     speed = [np.zeros_like(p) for p in params]
-    rows = [np.searchsorted(used, b[0]) for b in bags]
     # rows are scaled down as their average share grows: rare ones learn nearly as fast as common ones
-    mean_share = np.zeros(len(used))
-    for r, b in zip(rows, bags):
-        mean_share[r] += b[1]
-    scale = ((mean_share / len(bags)) ** -SCALING).astype(np.float32)
-    bags = [(b[0], b[1] * scale[r]) for r, b in zip(rows, bags)]
+    scale = ((np.bincount(ids, weights=share, minlength=len(used)) / len(bags)) ** -SCALING).astype(np.float32)
+    share *= scale[ids]
     per_epoch = -(-len(bags) // BATCH)
     epochs = max(epochs, -(-STEPS // per_epoch))
     step, total = 0, epochs * per_epoch
@@ -102,18 +104,18 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
         order = rng.permutation(len(bags))
         for lo in range(0, len(order), BATCH):
             pick = order[lo:lo + BATCH]
-            ids = np.concatenate([rows[i] for i in pick])
-            share = np.concatenate([bags[i][1] for i in pick]) * GAIN
-            doc = np.repeat(np.arange(len(pick)), [len(rows[i]) for i in pick])
-            gathered = table[ids] * share[:, None]
+            rows = np.concatenate([ids[start[i]:start[i + 1]] for i in pick])
+            held = np.concatenate([share[start[i]:start[i + 1]] for i in pick]) * GAIN
+            doc = np.repeat(np.arange(len(pick)), size[pick])
+            gathered = table[rows] * held[:, None]
             mean = np.stack([np.bincount(doc, weights=gathered[:, d], minlength=len(pick)) for d in range(DIMENSIONS)], axis=1)
             logits = mean @ soft + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(pick)), labels[pick]] -= 1
             p /= len(pick)
-            back = (p @ soft.T)[doc] * share[:, None]
-            grads = [np.stack([np.bincount(ids, weights=back[:, d], minlength=len(used)) for d in range(DIMENSIONS)], axis=1)
+            back = (p @ soft.T)[doc] * held[:, None]
+            grads = [np.stack([np.bincount(rows, weights=back[:, d], minlength=len(used)) for d in range(DIMENSIONS)], axis=1)
                      + DECAY * table, mean.T @ p, p.sum(axis=0)]
             step += 1
             rate = RATE * (1 - (step - 1) / total)
