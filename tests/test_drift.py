@@ -126,7 +126,7 @@ def test_bucketed_ks_equals_single_window(spark):
     feats = common_features(ref.select("l_quantity", "l_extendedprice", "l_discount"), cur.select("l_quantity", "l_extendedprice", "l_discount"))
     counts = long_counts(ref, cur, feats)
     one = {r["fid"]: r["statistic"] for r in ks_from_counts(counts, buckets=1).collect()}
-    many = {r["fid"]: r["statistic"] for r in ks_from_counts(counts, buckets=37, accuracy=200).collect()}
+    many = {r["fid"]: r["statistic"] for r in ks_from_counts(counts, buckets=37).collect()}
     assert one == many
 
 
@@ -189,7 +189,7 @@ def test_fused_and_general_paths_agree(spark):
 
     cur = F.col("l_shipdate") >= F.lit("1998-07-01").cast("timestamp_ntz")
     a = {r["feature"]: r for r in detect_drift_split(li, cur).details.collect()}
-    b = {r["feature"]: r for r in detect_drift_split(li, cur, DriftConfig(ks_buckets=5, split_accuracy=100)).details.collect()}
+    b = {r["feature"]: r for r in detect_drift_split(li, cur, DriftConfig(ks_buckets=5)).details.collect()}
     assert set(a) == set(b)
     for k in a:
         assert a[k]["drift_detected"] == b[k]["drift_detected"] and a[k]["reasons"] == b[k]["reasons"]

@@ -101,7 +101,7 @@ def test_bucketed_quantiles_match_numpy(spark):
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(vals, p)), abs=1e-9)
     # many buckets, same answer
-    cum = running_sums(cnt, ["fid"], "value", ["n"], buckets=17, accuracy=50)
+    cum = running_sums(cnt, ["fid"], "value", ["n"], buckets=17)
     tot = cnt.groupBy("fid").agg(F.sum("n").alias("t"))
     got2 = {r["prob"]: r["q"] for r in exact_quantiles(cum, ["fid"], "value", "n", tot, "t", probs).collect()}
     assert got2 == pytest.approx(got)

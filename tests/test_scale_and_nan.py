@@ -99,3 +99,23 @@ def test_only_a_missing_registry_is_empty(spark, tmp_path):
     assert _read(spark, str(tmp_path / "none")).count() == 0
     with pytest.raises(Exception):
         _read(spark, "nosuchscheme://store/table").count()
+
+
+def test_ranges_stay_small_on_skewed_values(spark):
+    """Range-partitioned running sums: every range near its size, sums equal to one plain window."""
+    from pyspark.sql import Window
+
+    from tidewatch.operators.prefix import in_ranges, running_sums
+
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 10 == 0, 1).otherwise(0).alias("fid"),
+        F.exp(F.col("id") / 3000.0 + F.xxhash64("id") % 7 / 1e6).alias("value"), (F.col("id") % 5 + 1).alias("n")
+    ).groupBy("fid", "value").agg(F.sum("n").alias("n"))
+    per_range = 250
+    got = running_sums(rows, ["fid"], "value", ["n"], with_next=True, rows_per_bucket=per_range)
+    w = Window.partitionBy("fid").orderBy("value")
+    plain = rows.select("*", F.sum("n").over(w).alias("cum_n"), F.lead("value").over(w).alias("next_value"))
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    n = rows.count()
+    sizes = [r["count"] for r in in_ranges(rows, ["fid"], "value", -(-n // per_range)).groupBy("_part").count().collect()]
+    assert len(sizes) > 200 and max(sizes) <= 2 * per_range

@@ -17,8 +17,6 @@ class DriftConfig:
     # values; ``ks_buckets`` forces a count (1 = plain per-feature window).
     ks_buckets: int | None = None
     rows_per_bucket: int = 1_000_000
-    max_buckets: int = 4096
-    split_accuracy: int = 1000
     # Write the long-form counts to the shared checkpoint folder once and
     # read them back for every statistic (cuts lineage; one source scan).
     stage: bool = True

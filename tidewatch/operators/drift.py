@@ -82,7 +82,7 @@ def choose_buckets(counts: DataFrame, config: DriftConfig) -> int:
     """
     if config.ks_buckets is not None:
         return int(config.ks_buckets)
-    return min(config.max_buckets, auto_buckets(counts, ["fid"], config.rows_per_bucket))
+    return auto_buckets(counts, ["fid"], config.rows_per_bucket)
 
 
 def fused_stats(counts: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def drift_details(counts: DataFrame, features: list[Feature], config: DriftConfi
     if buckets <= 1:
         stats = fused_stats(counts)
     else:
-        ks = ks_from_counts(counts, buckets=buckets, accuracy=config.split_accuracy)
+        ks = ks_from_counts(counts, buckets=buckets)
         ch = chi2_from_counts(counts)
         stats = ks.select("fid", "n_ref", "n_cur", "statistic", "p_value", "mean_ref", "mean_cur", "mean_shift",
                           F.lit(None).cast("long").alias("dof")).unionByName(

@@ -28,7 +28,7 @@ def weighted_mean(value, weight: str, total):
     return F.try_divide(F.sum(F.when(F.col(weight) > 0, value * F.col(weight)).otherwise(F.lit(0.0))), total)
 
 
-def ks_from_counts(counts: DataFrame, buckets: int | None = None, accuracy: int = 1000) -> DataFrame:
+def ks_from_counts(counts: DataFrame, buckets: int | None = None) -> DataFrame:
     """``fid, n_ref, n_cur, statistic, p_value, mean_ref, mean_cur, mean_shift``.
 
     D = max |F_ref - F_cur| evaluated at every distinct value; both ECDFs are
@@ -36,7 +36,7 @@ def ks_from_counts(counts: DataFrame, buckets: int | None = None, accuracy: int
     """
     num = numeric_counts(counts)
     tot = side_totals(num)
-    cum = running_sums(num, ["fid"], "value", ["r", "c"], buckets=buckets, accuracy=accuracy)
+    cum = running_sums(num, ["fid"], "value", ["r", "c"], buckets=buckets)
     sizes = tot.select("fid", "n_ref", "n_cur")
     d = (
         cum.join(F.broadcast(sizes), "fid")

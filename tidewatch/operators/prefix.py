@@ -1,13 +1,14 @@
 """Exact running sums over ordered values without one-task-per-group windows.
 
 A plain ``Window.partitionBy(group).orderBy(value)`` puts a whole group (a
-whole continuous column) into one task.  Instead values are cut into
-buckets at approximate split points (any monotone cut keeps the result
-exact; the approximation only balances the buckets), bucket totals get
-exclusive prefix sums over a tiny table, and the running sum inside each
-``(group, bucket)`` partition is offset by its bucket prefix.  The group
-count is bounded by the caller (features, bins), so the split and offset
-tables are broadcast with a proven bound: groups x buckets rows.
+whole continuous column) into one task.  Instead the rows are dealt into
+ranges of (group, value) by Spark's sampled range partitioner and written
+with their range number; range totals get exclusive prefix sums over a tiny
+table, and the running sum inside each ``(group, range)`` partition is offset
+by its range's prefix.  The number of ranges follows from the number of rows
+alone, so a range holds about ``rows_per_bucket`` rows at every size; the
+offset table has one row per range and group border and is broadcast (rows /
+``rows_per_bucket`` + groups rows).
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.session import stage_table
+
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
 # Above this many distinct values in one group, quantiles switch from the
 # single-task ``percentile`` map to the bucketed running sums.
 EXACT_MAP_LIMIT = 2_000_000
@@ -29,7 +31,24 @@ def auto_buckets(df: DataFrame, keys: list[str], rows_per_bucket: int = ROWS_PER
     One small aggregate (one row per group) decides the plan.
     """
     widest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    return int(min(MAX_BUCKETS, max(1, -(-int(widest) // rows_per_bucket))))
+    return max(1, -(-int(widest) // rows_per_bucket))
+
+
+def in_ranges(df: DataFrame, keys: list[str], order_col: str, ranges: int) -> DataFrame:
+    """``df`` dealt into ranges of (keys, order_col), written once, with the range's number ``_part``.
+
+    Written because the partitioner samples: its borders are settled when the rows are dealt."""
+    dealt = df.repartitionByRange(ranges, *keys, order_col).withColumn("_part", F.spark_partition_id())
+    return stage_table(dealt, "ranges")
+
+
+def range_offsets(dealt: DataFrame, keys: list[str], order_col: str, weights: list[str]) -> DataFrame:
+    """Per (keys, _part): ``_off_<w>``, the sum of ``w`` over the group's earlier ranges, and the next range's first value."""
+    totals = dealt.groupBy(*keys, "_part").agg(*[F.sum(c).alias(c) for c in weights], F.min(order_col).alias("_first"))
+    order = Window.partitionBy(*keys).orderBy("_part")  # one row per range
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*keys, "_part", "_first", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in weights],
+                         F.lead("_first").over(order).alias("_next_first"))
 
 
 def running_sums(
@@ -38,50 +57,38 @@ def running_sums(
     order_col: str,
     weights: list[str],
     buckets: int | None = None,
-    accuracy: int = 1000,
     with_next: bool = False,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add ``cum_<w>`` = sum of ``w`` over rows of the group with ``order_col`` <= this row's.
 
     ``df`` must hold one row per (keys, order_col) value.  ``with_next``
     also adds ``next_<order_col>``, the next larger value in the group.
-    ``buckets=None`` sizes the buckets from the data (see :func:`auto_buckets`).
+    ``buckets`` (ranges of the widest group) follows from ``rows_per_bucket`` unless given; 1 is one window per group.
     """
-    if buckets is None:
-        buckets = auto_buckets(df, keys)
+    rows, widest = 0, 0
+    if buckets != 1:
+        sizes = df.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("widest")).first()
+        rows, widest = sizes["rows"] or 0, sizes["widest"] or 0
+        per_range = max(1, -(-widest // buckets)) if buckets else rows_per_bucket
     # An explicit partition count: the window stage is CPU-bound (a sort per
     # bucket), so AQE must not coalesce it down to a couple of tasks.
     nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if buckets <= 1:
+    if buckets == 1 or widest <= per_range:
         w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
         extra = [F.lead(order_col).over(Window.partitionBy(*keys).orderBy(order_col)).alias(f"next_{order_col}")] if with_next else []
         src = df.repartition(nparts, *keys)
         return src.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in weights], *extra)
 
-    fractions = [i / buckets for i in range(1, buckets)]
-    splits = df.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(order_col, fractions, accuracy)).alias("_splits")
-    )
-    bucketed = df.join(F.broadcast(splits), keys, "left").select(
-        *df.columns,
-        F.size(F.filter("_splits", lambda s: s < F.col(order_col))).alias("_bk"),
-    )
-    totals = bucketed.groupBy(*keys, "_bk").agg(
-        *[F.sum(c).alias(c) for c in weights], F.min(order_col).alias("_bmin")
-    )
-    wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys, "_bk", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_off_{c}") for c in weights],
-        F.lead("_bmin").over(Window.partitionBy(*keys).orderBy("_bk")).alias("_next_bmin"),
-    )
-    wv = Window.partitionBy(*keys, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    joined = bucketed.join(F.broadcast(offsets), keys + ["_bk"]).repartition(nparts, *keys, "_bk")
-    extra = []
-    if with_next:
-        nxt = F.lead(order_col).over(Window.partitionBy(*keys, "_bk").orderBy(order_col))
-        extra = [F.coalesce(nxt, F.col("_next_bmin")).alias(f"next_{order_col}")]
+    ranges = -(-rows // per_range)
+    dealt = in_ranges(df, keys, order_col, ranges)
+    offsets = range_offsets(dealt, keys, order_col, weights).drop("_first")
+    joined = dealt.join(F.broadcast(offsets), keys + ["_part"]).repartition(max(nparts, ranges), *keys, "_part")
+    wv = Window.partitionBy(*keys, "_part").orderBy(order_col)
+    extra = [F.coalesce(F.lead(order_col).over(wv), F.col("_next_first")).alias(f"next_{order_col}")] if with_next else []
+    up_to = wv.rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
-        *df.columns, *[(F.col(f"_off_{c}") + F.sum(c).over(wv)).alias(f"cum_{c}") for c in weights], *extra
+        *df.columns, *[(F.col(f"_off_{c}") + F.sum(c).over(up_to)).alias(f"cum_{c}") for c in weights], *extra
     )
 
 
@@ -159,6 +166,5 @@ def weighted_quantiles(
         pr = cnt.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "_pi int, prob double")
         e = q.select(*keys, F.posexplode("_qs").alias("_pi", out))
         return e.join(F.broadcast(pr), "_pi").select(*keys, "prob", out)
-    buckets = int(min(MAX_BUCKETS, max(1, -(-int(widest) // ROWS_PER_BUCKET))))
-    cum = running_sums(c, keys, value, [weight], buckets=buckets)
+    cum = running_sums(c, keys, value, [weight])
     return exact_quantiles(cum, keys, value, weight, stats, "_t", probs, out=out)
