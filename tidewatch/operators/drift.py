@@ -29,6 +29,7 @@ from tidewatch.operators.longform import (
     long_counts_split,
 )
 from tidewatch.operators.prefix import auto_buckets
+from tidewatch.operators.stored_profile import StoredProfile, stats_against
 from tidewatch.session import stage_table
 
 # The reasons the reference attaches to a drifted feature.
@@ -60,15 +61,15 @@ class DriftReport:
         return summ.select(F.to_json(F.struct(F.col("summary"), det.alias("details"))).alias("report"))
 
 
-def _adjust(p: Column, method: str | None, m: Column) -> Column:
+def _adjust(p: Column, method: str | None, m: Column, group: tuple[str, ...] = ()) -> Column:
     if method is None:
         return p
     if method == "bonferroni":
         return F.least(p * m, F.lit(1.0))
     if method == "bh":
         # Benjamini–Hochberg step-up over the (small) per-feature table.
-        w = Window.orderBy(F.col("p_value").asc_nulls_last())
-        wr = Window.orderBy(F.col("p_value").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(*group).orderBy(F.col("p_value").asc_nulls_last())
+        wr = Window.partitionBy(*group).orderBy(F.col("p_value").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
         raw = p * m / F.row_number().over(w)
         return F.least(F.min(raw).over(wr), F.lit(1.0))
     raise ValueError(f"unknown correction {method!r}")
@@ -152,19 +153,23 @@ def drift_details(counts: DataFrame, features: list[Feature], config: DriftConfi
             ch.select("fid", "n_ref", "n_cur", "statistic", "p_value", F.lit(None).cast("double").alias("mean_ref"),
                       F.lit(None).cast("double").alias("mean_cur"), F.lit(None).cast("double").alias("mean_shift"), "dof"))
     meta = feature_frame(spark, features)
+    return decide(meta.join(F.broadcast(stats), "fid", "left"), config, len(features))  # stats: one row per feature
+
+
+def decide(d: DataFrame, config: DriftConfig, n_features: int, group: tuple[str, ...] = ()) -> DataFrame:
+    """Decision and reasons (A17) of rows (fid, feature, type, statistics), one per feature and ``group``."""
     is_cat = F.col("type") == CATEGORICAL
-    d = meta.join(F.broadcast(stats), "fid", "left").select(  # stats: one row per feature
-        "fid", "feature", "type",
+    d = d.select(
+        *group, "fid", "feature", "type",
         F.when(is_cat, F.coalesce("n_ref", F.lit(0))).otherwise(F.col("n_ref")).alias("n_ref"),
         F.when(is_cat, F.coalesce("n_cur", F.lit(0))).otherwise(F.col("n_cur")).alias("n_cur"),
         F.when(is_cat, F.coalesce("statistic", F.lit(0.0))).otherwise(F.col("statistic")).alias("statistic"),
         F.when(is_cat, F.coalesce("p_value", F.lit(1.0))).otherwise(F.col("p_value")).alias("p_value"),
         "mean_ref", "mean_cur", "mean_shift", "dof",
     )
-    # features x 1 rows: single-partition windows below are over the feature list only
+    # features x groups rows: single-partition windows below are over the feature list only
     d = d.coalesce(1)
-    m = F.lit(len(features)).cast("double")
-    d = d.withColumn("p_value", _adjust(F.col("p_value"), config.correction, m))
+    d = d.withColumn("p_value", _adjust(F.col("p_value"), config.correction, F.lit(n_features).cast("double"), group))
     alpha, theta = config.p_value_threshold, config.mean_diff_threshold
     p_drift = F.coalesce(F.col("p_value") < alpha, F.lit(False))
     mean_drift = F.coalesce(F.col("mean_shift") > theta, F.lit(False))
@@ -181,7 +186,7 @@ def drift_details(counts: DataFrame, features: list[Feature], config: DriftConfi
     )
     drift = F.when(is_num, p_drift | mean_drift).otherwise(p_drift)
     return d.select(
-        F.col("fid").alias("ordinal"),
+        *group, F.col("fid").alias("ordinal"),
         "feature", "type",
         drift.alias("drift_detected"),
         "statistic", "p_value", reasons.alias("reasons"),
@@ -255,3 +260,17 @@ def detect_drift_against(profile: DataFrame, cur: DataFrame, features: list[Feat
         counts = stage_table(counts, "drift-counts")
     details = drift_details(counts, features, config)
     return DriftReport(details=details, summary=drift_summary(details), features=features)
+
+
+def drift_against_stored(profile: StoredProfile, new: DataFrame, config: DriftConfig = DriftConfig()) -> DataFrame:
+    """Decision per group ``g`` and feature for counts of new data (see ``stored_profile.NEW_COUNTS``).
+
+    The profile stays in its buckets: only the new counts are shuffled.  A
+    feature that a group has no values of still gets its row."""
+    meta = F.array(*[F.struct(F.lit(f.fid).alias("fid"), F.lit(f.name).alias("feature"), F.lit(f.kind).alias("type")) for f in profile.features])
+    every = new.select("g").distinct().select("g", F.inline(meta))  # groups x features rows
+    totals = F.broadcast(profile.totals.select("fid", F.col("n_ref").alias("_n"), F.col("mean_ref").alias("_m")))  # one row per feature
+    d = every.join(stats_against(profile, new), ["g", "fid"], "left").join(totals, "fid", "left")
+    d = d.withColumns({"n_ref": F.coalesce("n_ref", "_n"), "n_cur": F.coalesce("n_cur", F.when(F.col("_n").isNotNull(), F.lit(0))),
+                       "mean_ref": F.coalesce("mean_ref", "_m")})
+    return decide(d, config, len(profile.features), ("g",))

@@ -709,25 +709,50 @@ def stream_windowed_profile(spark, sf):
                     r6("sum_value").alias("sum_value"), r6("sum_sq").alias("sum_sq"))
 
 
+def _events_profile(spark, sf):
+    """Stored profile of the events before the cut, and the current events."""
+    from tidewatch.operators.stored_profile import build_profile
+
+    ev = T(spark, sf, "events")
+    ref, cur = halves(ev, "ts", EVENTS_CUT)
+    return build_profile(ref, common_features(ev, ev, exclude=["ts"])), cur
+
+
+def _decisions(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*keys, "feature", "type", "drift_detected", r6("statistic").alias("statistic"), r6("p_value").alias("p_value"), "reasons")
+
+
+GATE_CUT = "2024-01-24"
+
+
 def stream_drift_gate(spark, sf):
-    """ST2: every micro-batch of arriving events tested against the stored
-    reference profile (events before the cut), idempotent per batch id."""
-    from tidewatch.operators.longform import common_features as cf
-    from tidewatch.operators.longform import single_counts
+    """ST2: current events arrive in two loads, each one micro-batch tested
+    against the stored profile of the events before the cut."""
     from tidewatch.session import shared_dir
-    from tidewatch.streaming.monitor import drift_gate
+    from tidewatch.streaming.monitor import drift_gate, file_stream
 
-    ev = T(spark, sf, "events")
-    ref, _ = halves(ev, "ts", EVENTS_CUT)
-    feats = cf(ev, ev, exclude=["ts"])
-    profile = stage_table(single_counts(ref, feats), "ref-profile")
-    out, ck = shared_dir(spark, "gate"), shared_dir(spark, "gate-ck")
-    q = (_events_stream(spark, sf).writeStream.option("checkpointLocation", ck)
-         .foreachBatch(drift_gate(profile, feats, out)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    d = spark.read.parquet(out)
-    return d.select(F.col("batch_id").cast("long").alias("batch_id"), "feature", "type", "drift_detected", r6("statistic").alias("statistic"),
-                    r6("p_value").alias("p_value"), "reasons")
+    profile, cur = _events_profile(spark, sf)
+    arrivals, out, ck = (shared_dir(spark, n) for n in ("gate-arrivals", "gate", "gate-ck"))
+    for load in halves(cur, "ts", GATE_CUT):
+        load.write.mode("append").parquet(arrivals)
+        (file_stream(spark, arrivals, cur.schema).writeStream.option("checkpointLocation", ck)
+         .foreachBatch(drift_gate(profile, out)).trigger(availableNow=True).start().awaitTermination())
+    return _decisions(spark.read.parquet(out), F.col("batch_id").cast("long").alias("batch_id"))
+
+
+def stream_windowed_drift(spark, sf):
+    """ST3: windows of four days of the current events, each tested against the stored
+    profile when the watermark (one day) closes it."""
+    from tidewatch.session import shared_dir
+    from tidewatch.streaming.monitor import file_stream, windowed_drift
+
+    profile, cur = _events_profile(spark, sf)
+    arrivals, out, ck = (shared_dir(spark, n) for n in ("window-arrivals", "window-drift", "window-drift-ck"))
+    cur.write.parquet(arrivals)
+    windowed_drift(file_stream(spark, arrivals, cur.schema), "ts", profile, out, ck, "4 days").awaitTermination()
+    d = spark.read.schema("feature string, type string, drift_detected boolean, statistic double, p_value double, reasons string, "
+                          "window_end timestamp, window_start timestamp").parquet(out)
+    return _decisions(d, *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")])
 
 
 def _lineitem_model_data(spark, sf):

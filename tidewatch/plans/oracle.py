@@ -409,6 +409,18 @@ SELECT round(sxy / (sxx + 1.0), 4) AS coefficient, round(my - sxy / (sxx + 1.0)
     q["stream_windowed_profile"] = ("SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end, "
                                     "event_type AS category, CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS sum_value, round(sum(value * value), 6) AS sum_sq "
                                     "FROM events GROUP BY ALL")
-    q["stream_drift_gate"] = drift_with("events", EV_REF, "TRUE", EV_NUM, EV_CAT,
-        "SELECT CAST(0 AS BIGINT) AS batch_id, feature, type, drift AS drift_detected, round(stat, 6) AS statistic, round(p, 6) AS p_value, reasons FROM det")
+    body = "drift AS drift_detected, round(stat, 6) AS statistic, round(p, 6) AS p_value, reasons FROM det"
+    loads = [f"{EV_CUR} AND ts < TIMESTAMP '2024-01-24'", "ts >= TIMESTAMP '2024-01-24'"]
+    q["stream_drift_gate"] = " UNION ALL ".join(
+        "SELECT * FROM (" + drift_with("events", EV_REF, load, EV_NUM, EV_CAT, f"SELECT CAST({i} AS BIGINT) AS batch_id, feature, type, {body}") + ")"
+        for i, load in enumerate(loads))
+    # four-day windows count from 1970-01-01: they start every 345,600 s
+    starts = ["TIMESTAMP '2024-01-14'", *[f"TIMESTAMP '2024-01-14' + INTERVAL '{4 * i} days'" for i in range(1, 6)]]
+    q["stream_windowed_drift"] = " UNION ALL ".join(
+        "SELECT * FROM (" + drift_with(
+            "events", EV_REF, f"{EV_CUR} AND ts >= {w} AND ts < {w} + INTERVAL '4 days'", EV_NUM, EV_CAT,
+            f"SELECT {w} AS window_start, {w} + INTERVAL '4 days' AS window_end, feature, type, {body}")
+        + f") WHERE {w} + INTERVAL '4 days' <= (SELECT max(ts) - INTERVAL '1 day' FROM events) "
+        f"AND EXISTS (SELECT 1 FROM events WHERE {EV_CUR} AND ts >= {w} AND ts < {w} + INTERVAL '4 days')"
+        for w in starts)
     return q
