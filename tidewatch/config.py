@@ -20,6 +20,9 @@ class DriftConfig:
     # Write the long-form counts to the shared checkpoint folder once and
     # read them back for every statistic (cuts lineage; one source scan).
     stage: bool = True
+    # Samples of at most so many rows a side get the exact KS distribution (a fold of
+    # n * m steps per feature); 0 is the asymptotic series at every size.
+    ks_exact_up_to: int = 0
     # Optional multiple-testing correction: None, "bonferroni" or "bh".
     correction: str | None = None
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,37 @@ def ks_pvalue(d, n, m) -> Column:
     )
 
 
+def ks_exact(d: float, n: int, m: int) -> float:
+    """P(D >= d) for samples of n and m without ties.
+
+    Lattice paths from (0, 0) to (n, m) that stay inside |i/n - j/m| < d, folded
+    row by row: a row is the running sum of the former one inside the band,
+    scaled by i / (i + m) so that the last entry is the share of all paths."""
+    if m > n:
+        n, m = m, n
+    h = int(round(d * n * m))  # the statistic on the grid 1 / (n m)
+    j = np.arange(m + 1) * n
+    inside = np.where(j < h, 1.0, 0.0)
+    for i in range(1, n + 1):
+        # paths reach a row's cell from below or along the row; the band's cells are contiguous
+        inside = np.cumsum(np.where(np.abs(i * m - j) < h, inside, 0.0)) * (i / (i + m))
+        inside[np.abs(i * m - j) >= h] = 0.0
+    return float(min(1.0, max(0.0, 1.0 - inside[m])))
+
+
+def ks_exact_pvalue(d, n, m, up_to: int) -> Column:
+    """Exact p where the larger sample has at most ``up_to`` rows, else the asymptotic one.
+
+    The fold takes n m steps on one row per feature, in Python; it sees only the rows it is meant for."""
+    @F.pandas_udf("double")
+    def exact(ds: pd.Series, ns: pd.Series, ms: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(a) else ks_exact(a, int(b), int(c)) for a, b, c in zip(ds, ns, ms)], dtype="float64")
+
+    n, m = _c(n), _c(m)
+    small = (F.greatest(n, m) <= up_to) & (n > 0) & (m > 0)
+    return F.when(small, exact(F.when(small, _c(d)), n, m)).otherwise(ks_pvalue(d, n, m))
+
+
 def erfc_pos(z) -> Column:
     """erfc(z) for z >= 0, absolute error ~1e-15 (series of erf, log space)."""
     z = _c(z).cast("double")

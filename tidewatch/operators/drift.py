@@ -86,7 +86,7 @@ def choose_buckets(counts: DataFrame, config: DriftConfig) -> int:
     return auto_buckets(counts, ["fid"], config.rows_per_bucket)
 
 
-def fused_stats(counts: DataFrame) -> DataFrame:
+def fused_stats(counts: DataFrame, exact_up_to: int = 0) -> DataFrame:
     """KS, means and chi-square of every feature in one window pass.
 
     Used when every feature fits one task (checked by :func:`choose_buckets`):
@@ -94,8 +94,8 @@ def fused_stats(counts: DataFrame) -> DataFrame:
     the whole-feature margins, one aggregate.  Returns one row per feature:
     ``fid, n_ref, n_cur, statistic, p_value, mean_ref, mean_cur, mean_shift, dof``.
     """
-    from tidewatch.functions.stats import chi2_sf, ks_pvalue
-    from tidewatch.operators.ks import mean_shift, weighted_mean
+    from tidewatch.functions.stats import chi2_sf
+    from tidewatch.operators.ks import ks_p, mean_shift, weighted_mean
 
     nparts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     run = Window.partitionBy("fid").orderBy("num").rowsBetween(Window.unboundedPreceding, 0)
@@ -132,7 +132,7 @@ def fused_stats(counts: DataFrame) -> DataFrame:
     return a.select(
         "fid", "n_ref", "n_cur",
         F.when(is_num, F.when(both, F.col("_d"))).otherwise(F.when(valid, F.col("_stat")).otherwise(F.lit(0.0))).alias("statistic"),
-        F.when(is_num, ks_pvalue(F.when(both, F.col("_d")), F.col("n_ref"), F.col("n_cur"))).otherwise(
+        F.when(is_num, ks_p(F.when(both, F.col("_d")), F.col("n_ref"), F.col("n_cur"), exact_up_to)).otherwise(
             F.when(valid, chi2_sf(F.col("_stat"), dof)).otherwise(F.lit(1.0))).alias("p_value"),
         F.when(is_num, F.col("mean_ref")).alias("mean_ref"), F.when(is_num, F.col("mean_cur")).alias("mean_cur"),
         F.when(is_num, mean_shift(F.col("mean_ref"), F.col("mean_cur"))).alias("mean_shift"),
@@ -144,9 +144,9 @@ def drift_details(counts: DataFrame, features: list[Feature], config: DriftConfi
     spark = counts.sparkSession
     buckets = choose_buckets(counts, config)
     if buckets <= 1:
-        stats = fused_stats(counts)
+        stats = fused_stats(counts, config.ks_exact_up_to)
     else:
-        ks = ks_from_counts(counts, buckets=buckets)
+        ks = ks_from_counts(counts, buckets=buckets, exact_up_to=config.ks_exact_up_to)
         ch = chi2_from_counts(counts)
         stats = ks.select("fid", "n_ref", "n_cur", "statistic", "p_value", "mean_ref", "mean_cur", "mean_shift",
                           F.lit(None).cast("long").alias("dof")).unionByName(
@@ -270,7 +270,7 @@ def drift_against_stored(profile: StoredProfile, new: DataFrame, config: DriftCo
     meta = F.array(*[F.struct(F.lit(f.fid).alias("fid"), F.lit(f.name).alias("feature"), F.lit(f.kind).alias("type")) for f in profile.features])
     every = new.select("g").distinct().select("g", F.inline(meta))  # groups x features rows
     totals = F.broadcast(profile.totals.select("fid", F.col("n_ref").alias("_n"), F.col("mean_ref").alias("_m")))  # one row per feature
-    d = every.join(stats_against(profile, new), ["g", "fid"], "left").join(totals, "fid", "left")
+    d = every.join(stats_against(profile, new, config.ks_exact_up_to), ["g", "fid"], "left").join(totals, "fid", "left")
     d = d.withColumns({"n_ref": F.coalesce("n_ref", "_n"), "n_cur": F.coalesce("n_cur", F.when(F.col("_n").isNotNull(), F.lit(0))),
                        "mean_ref": F.coalesce("mean_ref", "_m")})
     return decide(d, config, len(profile.features), ("g",))

@@ -45,6 +45,36 @@ def ridge(train: DataFrame, label: str = "label", features: str = "features", al
     return lr.fit(train)
 
 
+def lasso(train: DataFrame, features: list[str], label: str = "label", alpha: float = 1.0, tolerance: float = 1e-12,
+          max_rounds: int = 100_000) -> tuple[dict[str, float], float]:
+    """Coefficients and intercept of min |y - Xb - b0|^2 / (2 n) + alpha |b|_1.
+
+    One aggregate gives means and covariances (features squared numbers); cyclic
+    coordinate descent then works on them alone.  Rows with a null are left out;
+    a feature without variance gets 0."""
+    names = [*features, label]
+    x = train.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(names)]).na.drop()
+    k = len(names)
+    row = x.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(k)],
+                *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+    if row["m0"] is None:
+        return dict.fromkeys(features, 0.0), 0.0
+    gram = [[row[f"c{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]
+    beta = [0.0] * (k - 1)
+    for _ in range(max_rounds):
+        moved = 0.0
+        for i in range(k - 1):
+            if gram[i][i] <= 0:
+                continue
+            rho = gram[i][k - 1] - sum(gram[i][j] * beta[j] for j in range(k - 1) if j != i)
+            new = max(abs(rho) - alpha, 0.0) / gram[i][i] * (1 if rho > 0 else -1) + 0.0
+            moved = max(moved, abs(new - beta[i]) * gram[i][i] ** 0.5)
+            beta[i] = new
+        if moved <= tolerance * max(1.0, gram[k - 1][k - 1] ** 0.5):
+            break
+    return dict(zip(features, beta)), row[f"m{k - 1}"] - sum(b * row[f"m{i}"] for i, b in enumerate(beta))
+
+
 def balanced(df: DataFrame) -> DataFrame:
     """Tree learners run one task per input partition on every pass: deal the rows
     to the session's shuffle partitions by a hash of their values, so that neither

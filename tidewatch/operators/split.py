@@ -135,6 +135,39 @@ def stratified_split(df: DataFrame, target: str, key_cols: list[str], config: Sp
     )
 
 
+def stratified_folds(df: DataFrame, target: str, key_cols: list[str], folds: int = 5, config: SplitConfig = SplitConfig(),
+                     out: str = "fold") -> DataFrame:
+    """Adds ``out``, 0 to ``folds`` - 1: in every target bin, in md5(seed | key) order, fold f gets the
+    rows from floor(n f / folds) to floor(n (f + 1) / folds), so a bin's folds differ by one row at most.
+
+    One table of counts per (bin, hash prefix) gives all borders; only the rows of the prefixes that a
+    border cuts are ranked.  Equal keys share a hash and are told apart by their other columns."""
+    y = F.col(f"`{target}`").cast("double")
+    bins = bin_expr(y, quantile_edges(df, target, config.n_bins))
+    rows = df.select("*", bins.alias("_bin"), order_hash(config.seed, key_cols).alias("_h")).withColumn("_hb", F.substring("_h", 1, 4))
+    counts = rows.groupBy("_bin", "_hb").agg(F.count("*").alias("_n"))
+    up_to = Window.partitionBy("_bin").orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)  # <= 65536 rows per bin
+    size = F.sum("_n").over(Window.partitionBy("_bin"))
+    quota = F.explode(F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda f: (F.col("_size") * f / folds).cast("long")))
+    cut = (counts.select("_bin", "_hb", "_n", F.sum("_n").over(up_to).alias("_cum"), size.alias("_size")).select("*", quota.alias("_q"))
+           .filter((F.col("_cum") - F.col("_n") <= F.col("_q")) & (F.col("_q") < F.col("_cum")))
+           .select("_bin", "_hb", (F.col("_q") - (F.col("_cum") - F.col("_n"))).alias("_need")).collect()) if folds > 1 else []  # folds - 1 rows per bin
+    def here(r, hb: Column) -> Column:
+        return F.col("_bin").eqNullSafe(F.lit(r["_bin"]).cast("int")) & hb
+
+    at = F.lit(False)
+    fold = F.lit(0)
+    for r in cut:  # a border is passed by later prefixes, and inside its own prefix from rank need + 1 on
+        at = at | here(r, F.col("_hb") == r["_hb"])
+        passed = here(r, (F.col("_hb") > r["_hb"]) | ((F.col("_hb") == r["_hb"]) & (F.col("_rank") > r["_need"])))
+        fold = fold + F.when(passed, 1).otherwise(0)
+    atomic = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+    rest = [f.name for f in df.schema.fields if f.name not in key_cols and isinstance(f.dataType, atomic)]
+    within = Window.partitionBy("_bin", "_hb").orderBy("_h", *[F.col(f"`{c}`") for c in [*key_cols, *rest]])
+    ranked = rows.filter(~at).withColumn("_rank", F.lit(0)).unionByName(rows.filter(at).withColumn("_rank", F.row_number().over(within)))
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], fold.alias(out))
+
+
 def random_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """M7: exact ceil(test_size * n) test rows in md5(seed | key) order; adds ``split``."""
     t = take_first(df.withColumn("_h", order_hash(seed, key_cols)), F.lit(0), F.col("_h"), key_cols, test_size, "_is_test")

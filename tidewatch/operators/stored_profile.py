@@ -25,8 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.stats import chi2_sf, ks_pvalue
-from tidewatch.operators.ks import mean_shift
+from tidewatch.functions.stats import chi2_sf
+from tidewatch.operators.ks import ks_p, mean_shift
 from tidewatch.operators.longform import CATEGORICAL, NUMERICAL, Feature, single_counts
 from tidewatch.operators.prefix import ROWS_PER_BUCKET, in_ranges, range_offsets, running_sums
 from tidewatch.session import shared_dir, stage_table
@@ -144,14 +144,14 @@ def _categorical(profile: StoredProfile, new: DataFrame) -> DataFrame:
     return out.select("g", "fid", "n_cur", "k", (F.col("x_seen") + F.when(rest > 0, F.coalesce(unseen, F.lit(0.0))).otherwise(F.lit(0.0))).alias("x"))
 
 
-def stats_against(profile: StoredProfile, new: DataFrame) -> DataFrame:
+def stats_against(profile: StoredProfile, new: DataFrame, exact_up_to: int = 0) -> DataFrame:
     """One row per (g, fid) that the ``new`` counts (see NEW_COUNTS) hold, with the columns that decisions need."""
     totals = F.broadcast(profile.totals)  # one row per feature
     none = lambda c, kind: F.lit(None).cast(kind).alias(c)
     num = _numeric(profile, new).join(totals, "fid", "left")
     both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     num = num.select("g", "fid", "n_ref", "n_cur", F.when(both, F.col("d")).alias("statistic"),
-                     ks_pvalue(F.when(both, F.col("d")), F.col("n_ref"), F.col("n_cur")).alias("p_value"), "mean_ref", "mean_cur",
+                     ks_p(F.when(both, F.col("d")), F.col("n_ref"), F.col("n_cur"), exact_up_to).alias("p_value"), "mean_ref", "mean_cur",
                      mean_shift(F.col("mean_ref"), F.col("mean_cur")).alias("mean_shift"), none("dof", "long"))
     cat = _categorical(profile, new).join(totals.select("fid", "n_ref"), "fid", "left").withColumn("n_ref", F.coalesce("n_ref", F.lit(0)))
     valid = both & (F.col("k") > 1)

@@ -35,6 +35,9 @@ EVENTS_CUT = "2024-01-16"
 LINEITEM_CUT = "1998-07-01"
 ORDERS_CUT = "1998-07-01"
 LI_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LI_LASSO = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+LI_TREE = ["l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey"]
+LI_BOOST = ["l_discount", "l_tax", "l_linenumber"]
 LI_ALL_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"] + LI_NUMERIC
 
 
@@ -114,6 +117,16 @@ def drift_ks_lineitem(spark, sf):
     return _ks(*_counts(spark, sf, "lineitem", LI_NUMERIC))
 
 
+def drift_ks_exact(spark, sf):
+    """A15 for small samples: the value's shift per event type and hour of the day, with the exact distribution."""
+    key = F.concat_ws("|", "event_type", F.hour("ts").cast("string"))
+    cur = _is_current("ts", EVENTS_CUT)
+    ev = T(spark, sf, "events").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = ev.groupBy(key.alias("fid"), F.col("value").alias("num")).agg(F.count_if(~cur).alias("r"), F.count_if(cur).alias("c"))
+    ks = ks_from_counts(stage_table(counts, "exact-counts"), exact_up_to=1000)
+    return ks.select(F.col("fid").alias("slice"), "n_ref", "n_cur", r6("statistic").alias("statistic"), r6("p_value").alias("p_value"))
+
+
 def drift_chi2_events(spark, sf):
     return _chi2(*_counts(spark, sf, "events", ["event_type"]))
 
@@ -450,6 +463,13 @@ def stratified_split_orders(spark, sf):
     return s.select("o_orderkey", "split")
 
 
+def stratified_folds_orders(spark, sf):
+    """Five folds with exact shares of every price bin."""
+    from tidewatch.operators.split import stratified_folds
+
+    return stratified_folds(T(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", ["o_orderkey"]).select("o_orderkey", "fold")
+
+
 def random_split_orders(spark, sf):
     return random_split(T(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 0.2, 42)
 
@@ -556,6 +576,34 @@ def ridge_fit(spark, sf):
         F.round("coefficient", 4).alias("coefficient"), F.round("intercept", 3).alias("intercept"))
 
 
+def lasso_fit(spark, sf):
+    """Lasso of the price on one feature at a time; equals the soft-thresholded closed form."""
+    from tidewatch.operators.models import lasso
+
+    li = T(spark, sf, "lineitem")
+    rows = [(f, coef[f], b0) for f in LI_LASSO for coef, b0 in [lasso(li, [f], "l_extendedprice", 0.5)]]
+    return spark.createDataFrame(rows, "feature string, coefficient double, intercept double").select(
+        "feature", F.round("coefficient", 4).alias("coefficient"), F.round("intercept", 3).alias("intercept"))
+
+
+def tree_split_lineitem(spark, sf):
+    """M8: the best threshold of each feature for the quantity, by exact prefix sums."""
+    from tidewatch.operators.trees import best_splits
+
+    b = best_splits(T(spark, sf, "lineitem"), LI_TREE, F.col("l_quantity"))
+    return b.select("feature", "n_left", "n_right", *[r6(c).alias(c) for c in ("threshold", "mean_left", "mean_right", "gain")])
+
+
+def boosting_fit(spark, sf):
+    """Three rounds of boosted stumps for the quantity on columns with few values."""
+    from tidewatch.operators.trees import boost
+
+    model = boost(T(spark, sf, "lineitem"), LI_BOOST, "l_quantity", 3, 0.5)
+    rows = [(i + 1, s.feature, s.threshold, s.left, s.right) for i, s in enumerate(model.stumps)]
+    return spark.createDataFrame(rows, "round int, feature string, threshold double, left_value double, right_value double").select(
+        "round", "feature", *[r6(c).alias(c) for c in ("threshold", "left_value", "right_value")])
+
+
 def interaction_features(spark, sf):
     """Polynomial / interaction columns, summarised per return flag."""
     li = T(spark, sf, "lineitem")
@@ -676,6 +724,27 @@ def corrupt_file_skip(spark, sf):
     return _event_rows(read_batches(spark, path, _schema_of(CSV_COLUMNS)))
 
 
+RECENT_ROWS = 3000
+
+
+def recent_files_window(spark, sf):
+    """S3, O1: events in one CSV file per four days, the later days the newer files; the newest rows of the newest files."""
+    from tidewatch.session import shared_dir
+    from tidewatch.sources.files import recent_files
+
+    path = shared_dir(spark, "recent-files")
+    rows = T(spark, sf, "events").select("event_id", "user_id", "event_type", "value", F.floor((F.dayofmonth("ts") - 1) / 4).cast("int").alias("slice"))
+    rows.repartition("slice").sortWithinPartitions("slice", "event_id").write.partitionBy("slice").option("header", True).csv(path)
+    files = spark._jvm.org.apache.hadoop.fs
+    root = files.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(files.Path(f"{path}/slice=*/*.csv")):  # modification times by slice
+        number = int(status.getPath().getParent().getName().split("=")[1])
+        fs.setTimes(status.getPath(), 1_700_000_000_000 + number * 60_000, -1)
+    return recent_files(spark, path, _schema_of(CSV_COLUMNS), RECENT_ROWS).select(
+        F.col("_pos").alias("position"), "event_id", "user_id", "event_type", r6("value").alias("value"))
+
+
 # ---- streaming ----------------------------------------------------------------
 
 def _events_stream(spark, sf):

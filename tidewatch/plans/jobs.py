@@ -24,7 +24,7 @@ from tidewatch.operators.split import random_split, stratified_split
 from tidewatch.schema import GRADE_BAND_EDGES, TARGET
 from tidewatch.session import stage_table
 from tidewatch.sinks.tables import append_drift_report, write_report_json
-from tidewatch.sources.files import read_batches, recent_rows, union_by_name
+from tidewatch.sources.files import read_batches, recent_files, union_by_name
 
 
 def drift_job(ref: DataFrame, cur: DataFrame, report_path: str | None = None, log_path: str | None = None,
@@ -72,9 +72,9 @@ def retraining(
     challenger is saved under the path its registry row records."""
     if reference is None:
         return RetrainOutcome(EXIT_NO_REFERENCE)
-    unl = recent_rows(read_batches(spark, unlabeled_dir, schema.__class__([f for f in schema.fields if f.name != TARGET])), window_rows).drop("_pos")
+    unl = recent_files(spark, unlabeled_dir, schema.__class__([f for f in schema.fields if f.name != TARGET]), window_rows).drop("_pos")
     unl = stage_table(unl, "window-unlabeled")
-    lab = stage_table(recent_rows(read_batches(spark, labeled_dir, schema), window_rows).drop("_pos"), "window-labeled")
+    lab = stage_table(recent_files(spark, labeled_dir, schema, window_rows).drop("_pos"), "window-labeled")
     window = union_by_name(unl, lab)
     if window.isEmpty():
         return RetrainOutcome(EXIT_NO_NEW_DATA)

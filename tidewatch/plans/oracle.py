@@ -189,6 +189,49 @@ UNION ALL SELECT o_orderkey, 'o_totalprice', round((o_totalprice - m) / CASE WHE
 """
 
 
+def ks_exact_sql() -> str:
+    """Exact p by counting lattice paths with a recursive fold over one row of the grid at a time."""
+    side = "count(*) FILTER (WHERE {})"
+    return f"""
+WITH RECURSIVE ev AS (SELECT concat_ws('|', event_type, CAST(hour(ts) AS VARCHAR)) AS slice, value, {EV_CUR} AS cur FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+cnt AS (SELECT slice, value, {side.format('NOT cur')} AS r, {side.format('cur')} AS c FROM ev GROUP BY 1, 2),
+tot AS (SELECT slice, CAST(sum(r) AS BIGINT) AS n, CAST(sum(c) AS BIGINT) AS m FROM cnt GROUP BY 1),
+cum AS (SELECT slice, sum(r) OVER w AS cr, sum(c) OVER w AS cc FROM cnt WINDOW w AS (PARTITION BY slice ORDER BY value)),
+ks AS (SELECT slice, n, m, max(abs(cr / nullif(n, 0) - cc / nullif(m, 0))) AS d FROM cum JOIN tot USING (slice) GROUP BY ALL),
+small AS (SELECT *, CAST(round(d * n * m) AS BIGINT) AS h FROM ks WHERE n > 0 AND m > 0 AND greatest(n, m) <= 1000),
+fold AS (
+  SELECT slice, n, m, h, CAST(0 AS BIGINT) AS i, list_transform(range(0, m + 1), lambda j: CASE WHEN j * n < h THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS u FROM small
+  UNION ALL
+  SELECT slice, n, m, h, i + 1, list_transform(range(0, m + 1), lambda j: CASE WHEN abs((i + 1) * m - j * n) >= h THEN 0.0::DOUBLE ELSE
+      ((i + 1) / (i + 1 + m)) * list_sum(list_transform(range(0, j + 1), lambda k: CASE WHEN abs((i + 1) * m - k * n) < h THEN u[k + 1] ELSE 0.0::DOUBLE END)) END)
+  FROM fold WHERE i < n),
+exact AS (SELECT slice, greatest(0.0, least(1.0, 1.0 - u[m + 1])) AS p FROM fold WHERE i = n)
+SELECT ks.slice, n AS n_ref, m AS n_cur, round(CASE WHEN n > 0 AND m > 0 THEN d END, 6) AS statistic,
+       round(CASE WHEN greatest(n, m) <= 1000 AND n > 0 AND m > 0 THEN p ELSE {ks_pvalue_sql('d', 'n', 'm')} END, 6) AS p_value
+FROM ks LEFT JOIN exact USING (slice)"""
+
+
+def split_sql(feature: str, label: str, src: str) -> str:
+    """All thresholds of a feature with the fall of the label's variance."""
+    return f"""
+SELECT '{feature}' AS feature, (v + nv) / 2 AS threshold, CAST(nl AS BIGINT) AS n_left, CAST(n - nl AS BIGINT) AS n_right, sl / nl AS mean_left,
+       (s - sl) / (n - nl) AS mean_right, (nl * (sl / nl - s / n) ^ 2 + (n - nl) * ((s - sl) / (n - nl) - s / n) ^ 2) / n AS gain
+FROM (SELECT v, lead(v) OVER w AS nv, sum(k) OVER w AS nl, sum(y) OVER w AS sl, sum(k) OVER () AS n, sum(y) OVER () AS s
+      FROM (SELECT CAST({feature} AS DOUBLE) AS v, count(*) AS k, sum({label}) AS y FROM {src} GROUP BY 1) WINDOW w AS (ORDER BY v)) WHERE nv IS NOT NULL"""
+
+
+def boosting_sql(features: list[str], label: str, src: str, rounds: int, rate: float) -> str:
+    ctes = [f"r0 AS (SELECT {', '.join(features)}, {label} - (SELECT avg({label}) FROM {src}) AS y FROM {src})"]
+    for i in range(1, rounds + 1):
+        every = " UNION ALL ".join(f"SELECT * FROM ({split_sql(f, 'y', f'r{i - 1}')})" for f in features)
+        value = "CASE s.feature " + " ".join(f"WHEN '{f}' THEN {f}" for f in features) + " END"
+        ctes.append(f"s{i} AS (SELECT * FROM ({every}) ORDER BY gain DESC, feature, threshold LIMIT 1)")
+        ctes.append(f"r{i} AS (SELECT {', '.join(features)}, y - {rate} * CASE WHEN {value} <= s.threshold THEN s.mean_left ELSE s.mean_right END AS y FROM r{i - 1}, s{i} s)")
+    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(
+        f"SELECT {i} AS round, feature, round(threshold, 6) AS threshold, round({rate} * mean_left, 6) AS left_value, round({rate} * mean_right, 6) AS right_value FROM s{i}"
+        for i in range(1, rounds + 1))
+
+
 def psi_sql() -> str:
     base = drift_ctes("events", EV_REF, EV_CUR, ["value"], ["event_type"]).strip()
     return f"""WITH {base},
@@ -409,6 +452,24 @@ SELECT round(sxy / (sxx + 1.0), 4) AS coefficient, round(my - sxy / (sxx + 1.0)
     q["stream_windowed_profile"] = ("SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end, "
                                     "event_type AS category, CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS sum_value, round(sum(value * value), 6) AS sum_sq "
                                     "FROM events GROUP BY ALL")
+    q["recent_files_window"] = """
+SELECT row_number() OVER w - 1 AS position, event_id, user_id, event_type, round(value, 6) AS value
+FROM (SELECT *, (dayofmonth(ts) - 1) // 4 AS slice FROM events) WINDOW w AS (ORDER BY slice DESC, event_id) QUALIFY row_number() OVER w <= 3000"""
+    q["drift_ks_exact"] = ks_exact_sql()
+    h = "md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR)))"
+    q["stratified_folds_orders"] = f"""
+WITH b AS (SELECT *, {h} AS h FROM {_bins_sql_fixed("(SELECT o_orderkey, o_totalprice FROM orders)", "o_totalprice", "bin")}),
+r AS (SELECT o_orderkey, row_number() OVER (PARTITION BY bin ORDER BY h, o_orderkey) AS rk, count(*) OVER (PARTITION BY bin) AS n FROM b)
+SELECT o_orderkey, CAST(len(list_filter([1, 2, 3, 4], lambda f: rk > n * f // 5)) AS INTEGER) AS fold FROM r"""
+    q["lasso_fit"] = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(b, 4) AS coefficient, round(my - b * mx, 3) AS intercept FROM (SELECT sign(c) * greatest(abs(c) - 0.5, 0) / v + 0.0 AS b, mx, my "
+        f"FROM (SELECT covar_pop(l_extendedprice, {f}) AS c, var_pop({f}) AS v, avg({f}) AS mx, avg(l_extendedprice) AS my FROM lineitem))"
+        for f in ["l_quantity", "l_discount", "l_tax", "l_linenumber"])
+    q["tree_split_lineitem"] = " UNION ALL ".join(
+        f"(SELECT feature, n_left, n_right, round(threshold, 6) AS threshold, round(mean_left, 6) AS mean_left, round(mean_right, 6) AS mean_right, round(gain, 6) AS gain "
+        f"FROM ({split_sql(f, 'l_quantity', 'lineitem')}) ORDER BY gain DESC, threshold LIMIT 1)"
+        for f in ["l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey"])
+    q["boosting_fit"] = boosting_sql(["l_discount", "l_tax", "l_linenumber"], "l_quantity", "lineitem", 3, 0.5)
     body = "drift AS drift_detected, round(stat, 6) AS statistic, round(p, 6) AS p_value, reasons FROM det"
     loads = [f"{EV_CUR} AND ts < TIMESTAMP '2024-01-24'", "ts >= TIMESTAMP '2024-01-24'"]
     q["stream_drift_gate"] = " UNION ALL ".join(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import islice
+
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,6 +91,87 @@ def recent_rows(batches: DataFrame, limit_rows: int) -> DataFrame:
     return ranked.filter(F.col("_pos") < limit_rows).select(*[F.col(f"`{c}`") for c in keep], "_pos")
 
 
+@dataclass(frozen=True)
+class OpenedFile:
+    """A file that was read: its rows per split, or no rows where it is malformed or unreadable."""
+
+    path: str
+    rows: dict[int, int]
+
+
+def newest_first(spark: SparkSession, directory: str, glob: str = "*.csv") -> Iterator[str]:
+    """O1: files of a directory by falling modification time and path, from the listing alone.
+
+    Sorted on the cluster and fetched a partition at a time, as far as the caller asks."""
+    try:
+        listed = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(directory)
+                  .select(F.col("_metadata.file_path").alias("path"), "modificationTime"))  # no content is read
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return iter(())
+    return (r["path"] for r in listed.orderBy(F.desc("modificationTime"), F.desc("path")).toLocalIterator())
+
+
+def _scan(spark: SparkSession, paths: list[str], schema: T.StructType, sep: str) -> DataFrame:
+    raw = (spark.read.schema(_with_corrupt(schema)).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+           .option("columnPruning", False).option("columnNameOfCorruptRecord", "_corrupt_record")
+           .option("recursiveFileLookup", True).csv(paths))
+    return raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_blk"),
+                      F.monotonically_increasing_id().alias("_mono"))
+
+
+def _opened(spark: SparkSession, paths: list[str], schema: T.StructType, sep: str) -> list[OpenedFile]:
+    """Rows per split of some files, in one job; one file each where a file cannot be read."""
+    raw = _scan(spark, paths, schema, sep)
+    # a hash over all columns is asked for: every value is parsed, so a malformed one shows
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+    try:
+        found = raw.groupBy("_file", "_blk").agg(F.count("*").alias("n"), F.max(F.when(F.col("_corrupt_record").isNotNull(), whole)).alias("bad")).collect()
+    except PySparkException as error:
+        if not (error.getCondition() or "").startswith("FAILED_READ_FILE"):
+            raise
+        if len(paths) == 1:
+            return [OpenedFile(paths[0], {})]
+        return [one for path in paths for one in _opened(spark, [path], schema, sep)]
+    bad = {r["_file"] for r in found if r["bad"] is not None}
+    return [OpenedFile(path, {r["_blk"]: r["n"] for r in found if r["_file"] == path and path not in bad}) for path in paths]
+
+
+def open_newest(spark: SparkSession, directory: str, schema: T.StructType, limit_rows: int, sep: str = ",") -> list[OpenedFile]:
+    """Files opened, newest first, until they hold ``limit_rows`` good rows.
+
+    Files are opened in groups of 1, 2, 4, ...: few jobs, and at most about
+    twice the files that are needed; older files are never touched."""
+    newest, opened, group = newest_first(spark, directory), [], 1
+    while sum(sum(f.rows.values()) for f in opened) < limit_rows:
+        paths = list(islice(newest, group))
+        if not paths:
+            break
+        opened += _opened(spark, paths, schema, sep)
+        group *= 2
+    return opened
+
+
+def recent_files(spark: SparkSession, directory: str, schema: T.StructType, limit_rows: int, sep: str = ",") -> DataFrame:
+    """S3 with an early stop: the first ``limit_rows`` rows of the newest files, whole files in
+    file order, with their position ``_pos``; malformed and unreadable files are skipped whole."""
+    offsets, at = [], 0
+    for f in open_newest(spark, directory, schema, limit_rows, sep):
+        for block in sorted(f.rows):
+            if at < limit_rows:
+                offsets.append((f.path, block, at))
+            at += f.rows[block]
+    if not offsets:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_pos", T.LongType())]))
+    offs = spark.createDataFrame(offsets, "_file string, _blk long, _off long")
+    rows = _scan(spark, list(dict.fromkeys(path for path, _, _ in offsets)), schema, sep)
+    chosen = rows.join(F.broadcast(offs), ["_file", "_blk"])  # one row per split opened
+    within = Window.partitionBy("_file", "_blk").orderBy("_mono")
+    ranked = chosen.select("*", (F.col("_off") + F.row_number().over(within) - 1).alias("_pos"))
+    return ranked.filter(F.col("_pos") < limit_rows).select(*[F.col(f"`{c}`") for c in schema.fieldNames()], "_pos")
+
+
 def latest_rows(df: DataFrame, limit_rows: int, order_cols: list[str]) -> DataFrame:
     """S3 on a table / O7: newest ``limit_rows`` by a total order (TakeOrdered, top-k per task)."""
     return df.orderBy(*[F.desc(c) for c in order_cols]).limit(limit_rows)
