@@ -24,7 +24,7 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 
 BATCH_ROWS = 2_500
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
@@ -53,6 +53,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], sche
                 cols = fn(whole.slice(at, BATCH_ROWS))
                 if cols is not None:
                     yield pa.RecordBatch.from_arrays([_column(cols[f.name], f.type) for f in target], schema=target)
+        pa.default_memory_pool().release_unused()  # the worker lives on after the task
 
     return df.mapInArrow(run, schema)
 

@@ -300,7 +300,7 @@ def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
                     continue  # sizes too far apart for a link
                 short, long = _folded(words, min(v, w)), _folded(others, min(v, w))
                 j = upper[to]
-                step = max(1, (1 << 22) // max(1, long.size))
+                step = max(1, (1 << 20) // max(1, long.size))
                 for lo in range(0, len(at), step):
                     i = lower[at[lo:lo + step]]
                     ok = _may_link(short[lo:lo + step, None], long[None], n[i][:, None], n[j][None], bands)
