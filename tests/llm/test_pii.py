@@ -5,7 +5,7 @@ import random
 import re
 
 from tests.llm.helpers import TEXTS, documents, table_dir
-from tidewatch.llm.pii import KINDS, base_spans, find, masked, op2_pii, train
+from tidewatch.llm.pii import KINDS, base_spans, find, masked, nodes, op2_pii, train
 
 
 def plain(text):
@@ -69,3 +69,12 @@ def test_masking_keeps_columns_and_empty_tables(spark):
     texts = {r.doc_id: r.text for r in out.collect()}
     assert texts[3] is None and "bob.smith" not in texts[11] and "4111" not in texts[11]
     assert find(docs.limit(0), field).count() == 0
+
+
+def test_nodes_are_linear_in_unbroken_runs():
+    import time
+
+    began = time.process_time()
+    text = "x" * 1_000_000 + " 12345 " + "y" * 500_000 + "7"
+    assert [text[a:b] for a, b, _ in nodes(text, [])] == ["12345"]
+    assert time.process_time() - began < 1

@@ -47,7 +47,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SIGNS = re.compile(r"[0-9@]")
-TOKEN = re.compile(r"\S*[0-9@]\S*")
+TOKEN = re.compile(r"\S+")
 DIGITS = re.compile(r"[0-9]")
 EDGE = ".,;:!?()[]{}<>\"'"
 
@@ -108,7 +108,7 @@ def nodes(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
     found = [(m.start(), m.end()) for p in (PHONE, CARD) for m in p.finditer(text) if len(DIGITS.findall(m[0])) >= 7]
     for m in TOKEN.finditer(text):
         raw = m[0]
-        if "@" in raw or len(DIGITS.findall(raw)) >= 5:
+        if SIGNS.search(raw) and ("@" in raw or len(DIGITS.findall(raw)) >= 5):
             left = len(raw) - len(raw.lstrip(EDGE))
             found.append((m.start() + left, m.start() + max(left + 1, len(raw.rstrip(EDGE)))))
     for s, e in found:  # longer readings first: numbers in groups before single tokens
