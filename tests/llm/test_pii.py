@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tests.llm.helpers import TEXTS, documents, table_dir
-from tidewatch.llm.pii import KINDS, base_spans, find, masked, nodes, op2_pii, train
+from tidewatch.llm.pii import KINDS, base_spans, find, keyed_values, masked, nodes, op2_pii, train
 
 
 def plain(text):
@@ -78,3 +80,35 @@ def test_nodes_are_linear_in_unbroken_runs():
     text = "x" * 1_000_000 + " 12345 " + "y" * 500_000 + "7"
     assert [text[a:b] for a, b, _ in nodes(text, [])] == ["12345"]
     assert time.process_time() - began < 1
+
+
+def test_secrets_are_found_by_name_and_where_they_repeat(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    field = train(docs)
+    secret = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
+    text = f'set token = "{secret}" once. ' + "filler words here " * 20 + f"then send {secret}, or the sum 1f0c27b54ad998e2b0c1d7a6f35e8842ab90cd17"
+    found = [text[s:e] for s, k, e in field.spans(text, base_spans(text)) if KINDS[k] == "secret"]
+    assert found == [secret, secret]
+    for clean in ("the key: something.else.entirely.long", "token = 12345", "monkey = a1b2c3d4e5f6a7b8c9d0", "key = 4111 1111"):
+        assert keyed_values(clean) == []
+    assert [k for _, k, _ in keyed_values('API_KEY="Ab3_0123456789abcdef".')] == [KINDS.index("secret")]
+    assert len(keyed_values("token=" + "a1" * 500_000)) == 1
+
+
+def test_the_planted_kinds_are_caught(spark):
+    """Every document of the table with a keyed value or a base span has a span, others with no sign have none."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = find(docs, train(docs)).join(docs.select("doc_id", "text"), "doc_id").collect()
+    named = [r for r in out if re.search(r"(?i)token = \"[0-9a-f]{40}\"", r.text or "")]
+    assert len(named) > 10 and all("secret:" in r.spans for r in named)
+    assert all(r.n_spans == len([x for x in r.spans.split(",") if x]) for r in out)
+    assert all(r.n_spans == 0 for r in out if not re.search("[0-9@]", r.text or ""))
+
+
+def test_repeated_rows_and_more_columns(spark):
+    docs = documents(spark)
+    wide = docs.union(docs).withColumn("spans", F.lit("x")).withColumn("n_email", F.lit(9)).withColumn("value", F.lit(1))
+    field = train(wide)
+    once = sorted(map(tuple, find(docs, field).collect()), key=str)
+    assert sorted(map(tuple, find(wide, field).collect()), key=str) == sorted(once + once, key=str)
+    assert masked(wide, field).columns == wide.columns

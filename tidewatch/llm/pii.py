@@ -1,26 +1,33 @@
 """Personal data by a skip-chain conditional random field.
 
 Base patterns find addresses of mail and hosts, card and phone numbers.  The
-field adds mentions they miss: its nodes are the base spans and every other
-token with an at sign or five digits; neighbouring nodes are linked in a chain,
-and distant nodes that repeat or resemble one another (same digits, same last
-seven digits, same name before the at sign) share a skip potential.  Loopy
-sum-product messages then pull repeated mentions to one label.  Base spans are
-clamped to their kind; tokens without at sign or five digits are clamped to
-"other" and so need no node.
-
-Unary, chain and skip weights are fitted by pseudo-likelihood on the base
-labels of a bounded sample of documents, with features that leave out what the
-patterns themselves test (plus sign, checksum, part sizes).
+field adds mentions they miss, and secrets: its nodes are the base spans, keyed
+values (a long value of letters and digits assigned to a name such as ``token``)
+and every other token with an at sign or five digits; neighbouring nodes are
+linked in a chain, and distant nodes that repeat or resemble one another (same
+text, same digits, same last seven digits, same name before the at sign) share
+a skip potential.  Loopy sum-product messages then pull repeated mentions to one
+label, so a secret named once is found wherever it is repeated.  Base spans and
+keyed values are clamped to their kind; tokens without at sign or five digits
+are clamped to "other" and so need no node.
+
+Unary, chain and skip weights are fitted by pseudo-likelihood on those labels in
+a bounded sample of documents, with features that leave out what the patterns
+themselves test (plus sign, checksum, part sizes).  Hosts, phone numbers and keyed
+values are also shown to the fit alone and without their separators or name, as
+"other": digits alone make none of them.  A keyed value is shown once more as a
+linked repetition without its name.
 
 Defined results: a null text is empty; documents without nodes have no spans;
-equal texts have equal spans.
+equal texts have equal spans; repeated rows each get their row; other columns of
+the input are not read (``masked`` keeps them); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +36,13 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import map_batches, read_table, whole_text
 
-KINDS = ("email", "ip", "card", "phone")
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = BASE_KINDS + ("secret",)
+SECRET = len(BASE_KINDS)
 OTHER = len(KINDS)  # label of everything else
 LABELS = OTHER + 1
-SAMPLE_DOCS = 4_000  # documents the weights are fitted on
+SAMPLE_DOCS = 4_000  # documents the weights are fitted on, about
+SAMPLE_NODES = 400  # nodes in a row taken from one of them, at most
 ROUNDS = 8  # of messages
 NEAR = 80  # characters between neighbours of the chain
 SEED = 11
@@ -47,6 +57,8 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SIGNS = re.compile(r"[0-9@]")
+KEYED = re.compile(r"(?<![A-Za-z])(?:key|token|secret|password|passwd|pwd|credential)s?[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
+                   r"(?P<value>[A-Za-z0-9_/+.~-]{16,}+)(?!@)", re.IGNORECASE)
 TOKEN = re.compile(r"\S+")
 DIGITS = re.compile(r"[0-9]")
 EDGE = ".,;:!?()[]{}<>\"'"
@@ -97,15 +109,27 @@ def spell(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
+def keyed_values(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of values with letters and digits that a name calls a secret, in order."""
+    out = []
+    for m in KEYED.finditer(text):
+        value = m["value"].rstrip(EDGE)
+        if len(value) >= 16 and DIGITS.search(value) and any(c.isalpha() for c in value):
+            out.append((m.start("value"), SECRET, m.start("value") + len(value)))
+    return out
+
+
 def nodes(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, label) of the field's nodes; label OTHER: not a base span."""
+    """(start, end, label) of the field's nodes; label OTHER: neither a base span nor a keyed value."""
     out = [(s, e, k) for s, k, e in base]
     if not SIGNS.search(text):
         return out
+    out += [(s, e, k) for s, k, e in keyed_values(text)]
     taken = np.zeros(len(text) + 1, dtype=bool)
     for s, e, _ in out:
         taken[s:e] = True
-    found = [(m.start(), m.end()) for p in (PHONE, CARD) for m in p.finditer(text) if len(DIGITS.findall(m[0])) >= 7]
+    found = [(m.start(), m.end()) for p in (PHONE, CARD) for m in p.finditer(text) if len(DIGITS.findall(m[0])) >= 7
+             and not text[max(0, m.start() - 1):m.start()].isalpha() and not text[m.end():m.end() + 1].isalpha()]
     for m in TOKEN.finditer(text):
         raw = m[0]
         if SIGNS.search(raw) and ("@" in raw or len(DIGITS.findall(raw)) >= 5):
@@ -118,17 +142,19 @@ def nodes(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
     return sorted(out)
 
 
-def features(raw: str, before: str) -> list[float]:
+def features(raw: str, before: str, named: bool = False) -> list[float]:
     """Of one node: counts and shape, without the tests of the patterns."""
     n = len(DIGITS.findall(raw))
     dots, seps = raw.count("."), raw.count("-") + raw.count(" ") + raw.count("(") + raw.count("/")
     letters = sum(c.isalpha() for c in raw)
     return [1.0, float("@" in raw), float(n >= 7), float(n >= 10), float(n >= 14), float(n > 15), float(dots == 3),
             float(dots > 0), float(seps >= 2), float(seps >= 1), float(letters > 0), float(letters > n),
-            float(before.endswith((":", "="))), float(len(raw) > 25)]
+            float(before.endswith((":", "="))), float(len(raw) > 25), float(named)]
 
 
 N_FEATURES = len(features("", ""))
+SIGNATURE = [6, 7, 8, 9, 14]  # features of dots, separators and names
+BARE = (1, 3, SECRET)  # kinds that are nothing without theirs
 
 
 def keys(raw: str) -> list[str]:
@@ -145,7 +171,7 @@ def keys(raw: str) -> list[str]:
 def graph(text: str, own: list[tuple[int, int, int]]) -> tuple[np.ndarray, list[tuple[int, int]], list[tuple[int, int]]]:
     """Features, chain edges and skip edges.  A node is linked to the last
     earlier node of each of its keys, so a group of m mentions has m - 1 links."""
-    x = np.array([features(text[s:e], text[max(0, s - 2):s].rstrip()) for s, e, _ in own]).reshape(-1, N_FEATURES)
+    x = np.array([features(text[s:e], text[max(0, s - 2):s].rstrip(), k == SECRET) for s, e, k in own]).reshape(-1, N_FEATURES)
     chain = [(i, i + 1) for i in range(len(own) - 1) if own[i + 1][0] - own[i][1] <= NEAR]
     last: dict[str, int] = {}
     skip = set()
@@ -190,15 +216,16 @@ class Field:
         return _softmax(belief)
 
     def spans(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Base spans and those the field adds."""
+        """Base spans, keyed values and the spans the field adds."""
         own = nodes(text, base)
         label = np.array([k for _, _, k in own], dtype=np.int64)
-        if not (label == OTHER).any():
-            return base
+        known = sorted((s, k, e) for s, e, k in own if k != OTHER)
+        if len(known) == len(own):
+            return known
         x, chain, skip = graph(text, own)
         p = self.marginals(x, chain, skip, label)
         best = p.argmax(axis=1)
-        return sorted(base + [(s, int(b), e) for (s, e, k), b in zip(own, best) if k == OTHER and b != OTHER])
+        return sorted(known + [(s, int(b), e) for (s, e, k), b in zip(own, best) if k == OTHER and b != OTHER])
 
 
 def _softmax(a: np.ndarray) -> np.ndarray:
@@ -233,19 +260,33 @@ def fit(x: np.ndarray, label: np.ndarray, chain: np.ndarray, skip: np.ndarray, s
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = SEED) -> Field:
-    """Weights from about ``sample_docs`` documents that have nodes, chosen by a hash of the text."""
-    rows = docs.select(whole_text().alias("text"))
+    """Weights from about ``sample_docs`` documents, chosen by a hash of doc_id and text (so copies
+    come in proportion) and each once; a long one gives ``SAMPLE_NODES`` neighbouring nodes, from a
+    place that its text decides, so the rows that come back are bounded."""
+    rows = docs.select("doc_id", whole_text().alias("text"))
     n = rows.count()
     if n > sample_docs:
-        unit = F.xxhash64("text", F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1))
+        unit = F.xxhash64("doc_id", "text", F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1))
         rows = rows.filter(unit < int((1 << 53) * (sample_docs / n)))
+    rows = rows.distinct()
 
     def run(batch: pa.RecordBatch) -> dict | None:
         out = {"x": [], "label": [], "chain": [], "skip": []}
         for text in batch.column("text").to_pylist():
             own = nodes(text, base_spans(text))
+            if len(own) > SAMPLE_NODES:
+                first = zlib.crc32(text.encode()) % (len(own) - SAMPLE_NODES + 1)
+                own = own[first:first + SAMPLE_NODES]
             if own:
                 x, chain, skip = graph(text, own)
+                bare = x[[k in BARE for _, _, k in own]]
+                bare[:, SIGNATURE] = 0.0  # linked with nothing
+                secret = [i for i, (_, _, k) in enumerate(own) if k == SECRET]
+                again = x[secret]
+                again[:, SIGNATURE] = 0.0  # a repetition without the name, linked with the keyed value
+                skip += [(i, len(own) + len(bare) + j) for j, i in enumerate(secret)]
+                x = np.concatenate([x, bare, again])
+                own = own + [(0, 0, OTHER)] * len(bare) + [(0, 0, SECRET)] * len(again)
                 for name, value in (("x", x), ("label", [k for _, _, k in own]), ("chain", chain), ("skip", skip)):
                     out[name].append(np.asarray(value).ravel())
         return out if out["x"] else None
@@ -265,21 +306,23 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = SEED) ->
 
 
 def find(docs: DataFrame, field: Field) -> DataFrame:
-    """Counts and digest of the base spans, and all spans, of every row."""
+    """Counts and digest of the base spans, all spans and their number, of every row."""
     def run(batch: pa.RecordBatch) -> dict:
-        counts = [[] for _ in KINDS]
-        digest, spans = [], []
+        counts = [[] for _ in BASE_KINDS]
+        digest, spans, n_spans = [], [], []
         for text in batch.column("text").to_pylist():
             base = base_spans(text)
             for k, column in enumerate(counts):
                 column.append(sum(s[1] == k for s in base))
             digest.append(hashlib.sha256(spell(base).encode()).hexdigest())
-            spans.append(spell(field.spans(text, base)))
-        return {"doc_id": batch.column("doc_id"), **{f"n_{k}": c for k, c in zip(KINDS, counts)},
-                "base_sha256": digest, "spans": spans}
+            found = field.spans(text, base)
+            spans.append(spell(found))
+            n_spans.append(len(found))
+        return {"doc_id": batch.column("doc_id"), **{f"n_{k}": c for k, c in zip(BASE_KINDS, counts)},
+                "base_sha256": digest, "spans": spans, "n_spans": n_spans}
 
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), run,
-                       "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+                       "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
 def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
