@@ -54,3 +54,31 @@ def test_rare_languages_of_a_large_table_are_learned(spark):
     docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(rare, F.concat(F.lit("l"), "id")).otherwise("en").alias("lang"),
                                       F.when(rare, F.lit("zq xv kj")).otherwise("the cat").alias("text"))
     assert train(docs, F.lit(True))[0] == ["en", *(f"l{i}" for i in range(6))]
+
+
+def test_blocks_bound_memory_and_change_nothing(monkeypatch):
+    import random
+    import tracemalloc
+
+    from tidewatch.llm import langid
+
+    rng = random.Random(5)
+    texts = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(400)) for _ in range(2_500)] + ["", "123"]
+    space = langid.hyperspace(langid.DIMENSIONS, langid.SEED)
+    tracemalloc.start()
+    whole = space.vectors(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    monkeypatch.setattr(langid, "CELLS", 100_000)
+    assert np.array_equal(space.vectors(texts[:40] + texts[-2:]), np.concatenate([whole[:40], whole[-2:]]))
+
+
+def test_repeated_rows_and_more_columns(spark):
+    docs = spark.createDataFrame([(0, "the cat sat on the mat", "en"), (2, "der hund und die katze", "de"), (3, None, "en")],
+                                 "doc_id long, text string, lang string").withColumn("score", F.lit(7)).withColumn("bundle", F.lit("x"))
+    langs, prototypes = train(docs.union(docs), F.lit(True))
+    assert langs == ["de", "en"]
+    once = sorted(map(tuple, predict(docs, langs, prototypes).collect()))
+    assert sorted(map(tuple, predict(docs.union(docs), langs, prototypes).collect())) == sorted(once + once)
+    assert [r[2] for r in once] == ["en", "de", "und"]

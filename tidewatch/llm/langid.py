@@ -12,7 +12,8 @@ gaps count once.  Letters a to z have a vector each, all other letters share
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
 and so is every text when nothing was learned; ties go to the name that sorts
-first; a score is the cosine, at least 0.
+first; a score is the cosine, at least 0.  Repeated rows count and get a row
+each; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from tidewatch.llm.packing import text_groups
 DIMENSIONS = 512
 SYMBOLS = 64  # gap, a to z, 37 classes of other letters
 SEED = 20_231
+CELLS = 4 << 20  # counts of (text, trigram) held at once
 
 
 class Hyperspace:
@@ -61,12 +63,18 @@ class Hyperspace:
         used = np.flatnonzero(np.bincount(gram, minlength=SYMBOLS**3))
         place = np.zeros(SYMBOLS**3, dtype=np.int64)
         place[used] = np.arange(len(used))
-        counts = np.bincount(owner * max(1, len(used)) + place[gram], minlength=len(texts) * max(1, len(used)))
-        counts = counts.reshape(len(texts), -1).astype(np.float32)
+        out = np.zeros((len(texts), self.last.shape[1]), dtype=np.float32)
         if not len(used):
-            return np.zeros((len(texts), self.last.shape[1]), dtype=np.float32)
+            return out
         bound = self.first[used // SYMBOLS**2] * self.middle[used // SYMBOLS % SYMBOLS] * self.last[used % SYMBOLS]
-        return counts @ bound.astype(np.float32)
+        bound = bound.astype(np.float32)
+        step = max(1, CELLS // len(used))
+        for lo in range(0, len(texts), step):  # owners rise, so a block of texts is one slice
+            hi = min(lo + step, len(texts))
+            a, b = np.searchsorted(owner, [lo, hi])
+            counts = np.bincount((owner[a:b] - lo) * len(used) + place[gram[a:b]], minlength=(hi - lo) * len(used))
+            out[lo:hi] = counts.reshape(hi - lo, -1).astype(np.float32) @ bound
+        return out
 
     def has_letter(self, text: str) -> bool:
         return any(c.isalpha() for c in text)
