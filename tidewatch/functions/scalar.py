@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Error-band labels and their upper bounds (absolute error).
 ERROR_BANDS = [(1.0, "Excellent"), (2.0, "Good"), (3.0, "Fair")]
 ERROR_BAND_ELSE = "Poor"
+SHORT_ERROR_BANDS = [(1.0, "Excellent"), (2.0, "Good")]
+SHORT_ERROR_BAND_ELSE = "Fair"
 
 
 def yes_to_int(c: Column) -> Column:
@@ -26,12 +28,12 @@ def half_even_int(c: Column) -> Column:
     return F.bround(c, 0).cast("int")
 
 
-def error_band(abs_err: Column) -> Column:
-    """<=1 Excellent, <=2 Good, <=3 Fair, else Poor."""
+def error_band(abs_err: Column, short: bool = False) -> Column:
+    """<=1 Excellent, <=2 Good, <=3 Fair, else Poor; ``short``: everything above 2 is Fair."""
     e = None
-    for bound, label in ERROR_BANDS:
+    for bound, label in SHORT_ERROR_BANDS if short else ERROR_BANDS:
         e = (F.when(abs_err <= bound, F.lit(label)) if e is None else e.when(abs_err <= bound, F.lit(label)))
-    return e.otherwise(F.lit(ERROR_BAND_ELSE))
+    return e.otherwise(F.lit(SHORT_ERROR_BAND_ELSE if short else ERROR_BAND_ELSE))
 
 
 def version_label(v: Column) -> Column:

@@ -101,3 +101,11 @@ def quality_gates(metrics: DataFrame) -> DataFrame:
             lab = F.when(x > good, GATE_LABELS[0]).when(x > ok, GATE_LABELS[1]).otherwise(GATE_LABELS[2])
         out.append(lab.alias(f"{name}_gate"))
     return metrics.select("*", *out)
+
+
+def remove_zero_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows without a zero in any of ``columns``; NULL and NaN are no zero."""
+    keep = F.lit(True)
+    for c in columns:
+        keep = keep & (F.col(f"`{c}`").isNull() | (F.col(f"`{c}`") != 0))
+    return df.filter(keep)

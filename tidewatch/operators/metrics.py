@@ -15,11 +15,13 @@ def regression_metrics(
     with_median: bool = True,
 ) -> DataFrame:
     """MAE, RMSE, R², explained variance, max error, median absolute error,
-    within-k accuracy (percent) and MAPE (zero labels excluded)."""
+    within-k accuracy (percent) and MAPE (zero labels excluded).  ``n`` counts all rows; those whose
+    label or prediction is NULL or NaN take no part in the measures."""
     group = list(group or [])
     y = F.col(label).cast("double")
     e = y - F.col(prediction).cast("double")
-    base = df.select(*group, y.alias("_y"), e.alias("_e"))
+    e = F.when(~F.isnan(e), e)
+    base = df.select(*group, F.when(e.isNotNull(), y).alias("_y"), e.alias("_e"))
     aggs = [
         F.count("*").alias("n"),
         F.avg(F.abs("_e")).alias("mae"),
@@ -42,9 +44,13 @@ def regression_metrics(
     return out.select("*", med.select("median_ae").scalar().alias("median_ae"))
 
 
-def compare_models(predictions: DataFrame, model_col: str = "model", label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Metrics per model and a flag for the best by R² (ties: lowest MAE, then name)."""
-    m = regression_metrics(predictions, label, prediction, group=[model_col])
+def compare_models(predictions: DataFrame, model_col: str = "model", label: str = "label", prediction: str = "prediction",
+                   train_seconds: dict[str, float] | None = None) -> DataFrame:
+    """Metrics per model, given training times, and a flag for the best by R² (ties: lowest MAE, then name)."""
+    m = regression_metrics(predictions, label, prediction, group=[model_col], with_median=False)
+    if train_seconds:
+        seconds = F.create_map(*[F.lit(x) for pair in sorted(train_seconds.items()) for x in pair])
+        m = m.withColumn("train_seconds", F.try_element_at(seconds, F.col(model_col)).cast("double"))
     # one row per model: a single-partition window over the model list is bounded
     best = F.max_by(model_col, F.struct(F.col("r2"), -F.col("mae"), F.col(model_col))).over(Window.partitionBy(F.lit(1)))
     return m.select(*m.columns, (F.col(model_col) == best).alias("is_best"))

@@ -247,10 +247,11 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Equal-width bins over [min, max]; the max falls in the last bin."""
-    lo = df.agg(F.min(_q(column).cast("double"))).scalar()
-    hi = df.agg(F.max(_q(column).cast("double"))).scalar()
-    x = df.select(_q(column).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    """Equal-width bins over [min, max]; the max falls in the last bin; NULL and NaN are left out."""
+    value = _present(df, column).cast("double")
+    lo = df.agg(F.min(value)).scalar()
+    hi = df.agg(F.max(value)).scalar()
+    x = df.select(value.alias("_x")).filter(F.col("_x").isNotNull())
     b = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_x") - lo) / ((hi - lo) / bins)).cast("int"), F.lit(bins - 1))
     )
@@ -264,8 +265,8 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 
 def range_outliers(df: DataFrame, column: str, lo, hi) -> DataFrame:
-    """P10: rows outside the closed range [lo, hi]."""
-    x = _q(column)
+    """P10: rows outside the closed range [lo, hi]; NULL and NaN are no outliers."""
+    x = _present(df, column)
     return df.agg(F.count_if((x > hi) | (x < lo)).alias("n_outliers"), F.count("*").alias("n_rows"))
 
 

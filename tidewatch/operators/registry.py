@@ -7,7 +7,9 @@ derived (the highest version), never stored per row.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +32,45 @@ def next_version(versions: DataFrame) -> DataFrame:
     return versions.agg((F.coalesce(F.max("version"), F.lit(0)) + 1).cast("int").alias("next_version"))
 
 
-def register(spark: SparkSession, path: str, mae: float, r2: float, filepath: str | None = None, model=None) -> int:
-    """Append the next version (single writer) and return its number.
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def saved_versions(spark: SparkSession, path: str) -> list[int]:
+    """Version numbers in the names of the models saved beside the table, ascending."""
+    fs, place = _folder(spark, f"{path.rstrip('/')}-models")
+    if not fs.exists(place):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(place)]
+    return sorted(int(m[1]) for m in (re.fullmatch(r"model_v(\d+)", n) for n in names) if m)
+
+
+def _claim(spark: SparkSession, path: str, first: int) -> int:
+    """The least unclaimed number from ``first`` on; creating its file claims it."""
+    fs, place = _folder(spark, f"{path.rstrip('/')}-claims")
+    fs.mkdirs(place)
+    n = first
+    while True:
+        try:
+            if fs.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(place, f"v{n}")):
+                return n
+        except Py4JJavaError as error:  # another writer came between the look and the creation
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+        n += 1
 
-    A given ``model`` is saved first, beside the table unless ``filepath``
-    names a place, so a recorded path always holds a model."""
-    nv = next_version(_read(spark, path)).first()["next_version"]
+
+def register(spark: SparkSession, path: str, mae: float, r2: float, filepath: str | None = None, model=None) -> int:
+    """Append the next version and return its number.
+
+    The number is one above the table's versions and the models saved beside
+    it, and claimed by a file that only one writer can create: concurrent
+    writers get different numbers, and that of a writer that died is left out.
+    A given ``model`` is saved before its row is appended, beside the table
+    unless ``filepath`` names a place, so a recorded path always holds a model."""
+    recorded = next_version(_read(spark, path)).first()["next_version"]
+    nv = _claim(spark, path, max([recorded, *(v + 1 for v in saved_versions(spark, path))]))
     filepath = filepath or (f"{path.rstrip('/')}-models/model_v{nv}" if model is not None else f"model_v{nv}")
     if model is not None:
         model.write().overwrite().save(filepath)
@@ -87,6 +122,16 @@ def flatten_history(meta: DataFrame) -> DataFrame:
     )
 
 
+def history_versions(meta: DataFrame) -> DataFrame:
+    """K8: the version rows of a metadata document, one per history entry."""
+    h = meta.select(F.explode("history").alias("h"))
+    return h.select(
+        F.col("h.version").cast("int").alias("version"), F.to_timestamp("h.timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
+        F.col("h.metrics.mae").cast("double").alias("mae"), F.col("h.metrics.r2").cast("double").alias("r2"),
+        F.col("h.file").cast("string").alias("filepath"),
+    )
+
+
 def latest_entry(meta: DataFrame) -> DataFrame:
     """Last history entry and the retrain count."""
     return meta.select(

@@ -6,6 +6,7 @@ comparison, the registry append.  Data never passes through the driver.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from tidewatch.operators.drift import DriftReport, detect_drift
 from tidewatch.operators.features import FeatureEncoder
 from tidewatch.operators.metrics import compare_models, regression_metrics
 from tidewatch.operators.models import FOREST_RETRAIN, feature_importance, fit_pipeline, forest, ridge, side_by_side
-from tidewatch.operators.registry import load_current, register
+from tidewatch.operators.registry import history_versions, load_current, register
 from tidewatch.operators.split import random_split, stratified_split
 from tidewatch.schema import GRADE_BAND_EDGES, TARGET
 from tidewatch.session import stage_table
@@ -113,10 +114,11 @@ def retraining(
 
 
 def backfill(spark: SparkSession, history: DataFrame, labeled_dir: str, unlabeled_dir: str, schema,
-             raw_log: str, versions: DataFrame | None = None, versions_log: str | None = None) -> DataFrame:
+             raw_log: str, versions: DataFrame | None = None, versions_log: str | None = None,
+             metadata: DataFrame | None = None) -> DataFrame:
     """K8: one batch job loading history and both incoming directories into the
-    raw-data log (stamped per dataset type) and, if given, the version history
-    into the versions log.  Returns the per-type row counts written."""
+    raw-data log (stamped per dataset type) and, if given, version rows or the
+    history of a metadata document into the versions log.  Returns the per-type row counts written."""
     from tidewatch.sinks.tables import append_raw
 
     lab = read_batches(spark, labeled_dir, schema).drop("_file", "_mtime", "_blk", "_mono")
@@ -124,6 +126,8 @@ def backfill(spark: SparkSession, history: DataFrame, labeled_dir: str, unlabele
     unl = read_batches(spark, unlabeled_dir, unl_schema).drop("_file", "_mtime", "_blk", "_mono")
     for df, kind in ((history, "training_historical"), (lab, "incoming_labeled"), (unl, "incoming_unlabeled")):
         append_raw(df, raw_log, kind)
+    if versions is None and metadata is not None:
+        versions = history_versions(metadata)
     if versions is not None and versions_log:
         versions.write.mode("append").parquet(versions_log)
     return spark.read.parquet(raw_log).groupBy("dataset_type").agg(F.count("*").alias("n_rows"))
@@ -160,11 +164,14 @@ def baseline_training(train: DataFrame, val: DataFrame, label: str = "label", fe
     """Forest + ridge on the same encoded rows; comparison, gates, importances."""
     from tidewatch.operators.models import balanced
 
+    began = time.perf_counter()
     rf = forest(label=label, features=features).fit(balanced(train))
+    between = time.perf_counter()
     rg = ridge(train, label=label, features=features)
+    seconds = {"random_forest": between - began, "ridge": time.perf_counter() - between}
     preds = rf.transform(val).select(F.lit("random_forest").alias("model"), F.col(label).alias("label"), "prediction").unionByName(
         rg.transform(val).select(F.lit("ridge").alias("model"), F.col(label).alias("label"), "prediction"))
-    cmp = compare_models(preds)
+    cmp = compare_models(preds, train_seconds=seconds)
     gates = quality_gates(cmp.filter("model = 'random_forest'").select("mae", "r2", "within_1"))
     imp = feature_importance(rf, names or [f"f{i}" for i in range(rf.numFeatures)], 15, train.sparkSession)
     return {"rf": rf, "ridge": rg, "comparison": cmp, "gates": gates, "importance": imp}

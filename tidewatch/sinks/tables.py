@@ -85,6 +85,15 @@ def metrics_document(metrics: DataFrame, version: int | None, model_type: str, n
     )
 
 
+def feature_names_document(spark: SparkSession, names: list[str]) -> DataFrame:
+    """K9: the encoded feature names, in order, with a metadata envelope."""
+    return spark.range(1).select(
+        F.struct(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("saved_at"),
+                 F.lit(len(names)).alias("num_features")).alias("metadata"),
+        F.array(*[F.lit(n) for n in names]).cast("array<string>").alias("features"),
+    )
+
+
 def table_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per table, as one union of single-row aggregates."""
     out = None
