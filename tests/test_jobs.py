@@ -3,9 +3,11 @@
 import json
 import os
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.operators.clean import clean_binary
 from tidewatch.operators.features import FeatureEncoder
@@ -45,6 +47,11 @@ def test_retraining_exits_and_promotion(spark, students, tmp_path):
     assert jobs.retraining(spark, None, lab, unl, schema, reg).status == jobs.EXIT_NO_REFERENCE
     # 2: no new data
     assert jobs.retraining(spark, ref, lab, unl, schema, reg).status == jobs.EXIT_NO_NEW_DATA
+    # 3: the files share no column with the reference
+    other = str(tmp_path / "other-unlabeled")
+    _batches(other, [pd.DataFrame({"elsewhere": [1, 2, 3]})])
+    strange = T.StructType([T.StructField("elsewhere", T.IntegerType())])
+    assert jobs.retraining(spark, ref, lab, other, strange, reg).status == jobs.EXIT_NO_COMMON_COLUMNS
     # 4: same distribution -> no drift
     same = student_pandas(395, 7)
     _batches(unl, [same.drop(columns=["G3"])])

@@ -856,6 +856,50 @@ def feature_importance_rf(spark, sf):
     return feature_importance(model.stages[-1], model.stages[0].feature_names, 15, spark)
 
 
+LOOP_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+LOOP_FEATURE, LOOP_TARGET = "l_extendedprice", "l_quantity"
+
+
+def retrain_loop(spark, sf):
+    """Rounds of the retraining loop over one registry; the challenger is a line
+    through one scaled feature, so each error has a closed form.
+
+    1 no files; 2 files with the reference's rows; 3 dearer rows without labels; 4 the same
+    with labels; 5 later rows, dearer still and with another label level; 6 those again."""
+    from pyspark.ml.regression import LinearRegression
+
+    from tidewatch.operators.features import FeatureEncoder
+    from tidewatch.plans.jobs import retraining
+    from tidewatch.session import shared_dir
+
+    li, day = T(spark, sf, "lineitem"), F.col("l_shipdate")
+
+    def part(rows, price: float, more: float) -> DataFrame:
+        return li.filter(rows).select(*LOOP_KEYS, (F.col(LOOP_FEATURE) * price).alias(LOOP_FEATURE), (F.col(LOOP_TARGET) + more).alias(LOOP_TARGET))
+
+    def files(rows: DataFrame) -> str:
+        path = shared_dir(spark, "loop-files")
+        rows.write.option("header", True).csv(path)
+        return path
+
+    ref = part(day < "1997-01-01", 1.0, 0.0)
+    first = part((day >= "1997-01-01") & (day < "1998-01-01"), 1.5, 0.0)
+    later = part(day >= "1998-01-01", 2.0, 8.0)
+    none, versions = shared_dir(spark, "loop-none"), shared_dir(spark, "loop-versions")
+    labeled = files(later)
+    rounds = [(none, none), (none, files(ref.drop(LOOP_TARGET))), (none, files(first.drop(LOOP_TARGET))), (files(first), none),
+              (labeled, none), (labeled, none)]
+    rows = []
+    for i, (lab, unl) in enumerate(rounds):
+        out = retraining(
+            spark, ref, lab, unl, ref.schema, versions, window_rows=1 << 62, key_cols=LOOP_KEYS, target=LOOP_TARGET,
+            encoder=FeatureEncoder(ordinal={}, nominal=[], numerical=[LOOP_FEATURE], exclude=[*LOOP_KEYS, LOOP_TARGET, "label", "split"]),
+            estimator=LinearRegression(labelCol="label", regParam=0.0, solver="normal"))
+        rows.append((i + 1, out.status, out.champion_mae, out.challenger_mae, out.version))
+    found = spark.createDataFrame(rows, "round int, status string, champion_mae double, challenger_mae double, version int")
+    return found.select("round", "status", *[F.round(c, 4).alias(c) for c in ("champion_mae", "challenger_mae")], "version")
+
+
 def stream_scoring(spark, sf):
     """ST4: arriving lineitem files scored by a ridge pipeline into the prediction log."""
     from pyspark.ml import Pipeline

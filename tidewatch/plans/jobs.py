@@ -63,40 +63,42 @@ def retraining(
     spark: SparkSession, reference: DataFrame | None, labeled_dir: str, unlabeled_dir: str, schema,
     registry_path: str, champion=None, window_rows: int = 1000, key_cols=None,
     config: DriftConfig = DriftConfig(), min_improvement: float = 0.01, report_path: str | None = None,
-    log_path: str | None = None, baseline_path: str | None = None,
+    log_path: str | None = None, baseline_path: str | None = None, target: str = TARGET, encoder=None, estimator=None,
 ) -> RetrainOutcome:
     """Drift-gated retraining with champion/challenger promotion.
 
     Both windows are written once, so the report and the training rows are the
     same files' rows whatever arrives meanwhile.  The champion is the given
     model, else the registry's current one, else the baseline's; a promoted
-    challenger is saved under the path its registry row records."""
+    challenger is saved under the path its registry row records.  ``encoder`` and
+    ``estimator`` (on columns ``features`` and ``label``) are fitted for the challenger;
+    without them the student table's encoding and the forest are."""
     if reference is None:
         return RetrainOutcome(EXIT_NO_REFERENCE)
-    unl = recent_files(spark, unlabeled_dir, schema.__class__([f for f in schema.fields if f.name != TARGET]), window_rows).drop("_pos")
+    unl = recent_files(spark, unlabeled_dir, schema.__class__([f for f in schema.fields if f.name != target]), window_rows).drop("_pos")
     unl = stage_table(unl, "window-unlabeled")
     lab = stage_table(recent_files(spark, labeled_dir, schema, window_rows).drop("_pos"), "window-labeled")
     window = union_by_name(unl, lab)
     if window.isEmpty():
         return RetrainOutcome(EXIT_NO_NEW_DATA)
-    ref_x, _ = split_target(reference)
-    cur_x, _ = split_target(window)
+    ref_x, _ = split_target(reference, target)
+    cur_x, _ = split_target(window, target)
     common = [c for c in ref_x.columns if c in cur_x.columns]
     if not common:
         return RetrainOutcome(EXIT_NO_COMMON_COLUMNS)
     rep = drift_job(ref_x.select(*common), cur_x.select(*common), report_path=report_path, log_path=log_path, config=config)
     if not rep.summary.first()["drift_detected_overall"]:
         return RetrainOutcome(EXIT_NO_DRIFT, rep)
-    if TARGET not in lab.columns or lab.filter(F.col(TARGET).isNotNull()).isEmpty():
+    if target not in lab.columns or lab.filter(F.col(target).isNotNull()).isEmpty():
         return RetrainOutcome(EXIT_NO_LABELS, rep)
-    data = clean_binary(union_by_name(reference, lab.filter(F.col(TARGET).isNotNull())))
+    data = clean_binary(union_by_name(reference, lab.filter(F.col(target).isNotNull())))
     keys = key_cols or data.columns
     parts = random_split(data, keys, test_size=0.2, seed=42)
     train, hold = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     # the label and split bookkeeping must never become features
-    enc = FeatureEncoder(exclude=[TARGET, "label", "split"] + list(key_cols or []))
-    chal = fit_pipeline(train.withColumn("label", F.col(TARGET).cast("double")), enc, forest(**FOREST_RETRAIN))
-    hold = hold.withColumn("label", F.col(TARGET).cast("double"))
+    enc = encoder or FeatureEncoder(exclude=[target, "label", "split"] + list(key_cols or []))
+    chal = fit_pipeline(train.withColumn("label", F.col(target).cast("double")), enc, estimator or forest(**FOREST_RETRAIN))
+    hold = hold.withColumn("label", F.col(target).cast("double"))
     if champion is None:
         champion = load_current(spark, registry_path, baseline_path)
     models = {"chal": chal} if champion is None else {"chal": chal, "champ": champion}

@@ -173,6 +173,40 @@ def random_split_sql(table: str, key_cols: list[str], seed: int = 42, frac: str
               THEN 'test' ELSE 'train' END AS split FROM (SELECT *, {h} AS h FROM {table}) x)"""
 
 
+def retrain_loop_sql() -> str:
+    """Each round's line by closed form, its errors on the round's held-out rows, and the decisions."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+    def part(where: str, price: str, more: str) -> str:
+        return f"(SELECT {', '.join(keys)}, l_extendedprice * {price} AS x, l_quantity + {more} AS y FROM lineitem WHERE {where})"
+
+    def line(split: str) -> str:
+        return f"(SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM {split} WHERE split = 'train')"
+
+    def drifts(rows: str) -> str:  # these shifts pass the limit on the mean; equal tables have no drift at all
+        return f"abs((SELECT avg(x) FROM {rows}) - (SELECT avg(x) FROM ref)) > 0.1 * abs((SELECT avg(x) FROM ref))"
+
+    return f"""
+WITH ref AS {part("l_shipdate < TIMESTAMP '1997-01-01'", '1.0', '0.0')},
+first AS {part("l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-01-01'", '1.5', '0.0')},
+later AS {part("l_shipdate >= TIMESTAMP '1998-01-01'", '2.0', '8.0')},
+s1 AS {random_split_sql('(SELECT * FROM ref UNION ALL SELECT * FROM first)', keys)},
+s2 AS {random_split_sql('(SELECT * FROM ref UNION ALL SELECT * FROM later)', keys)},
+m1 AS {line('s1')}, m2 AS {line('s2')},
+e AS (SELECT (SELECT avg(abs(y - m1.a - m1.b * x)) FROM s1, m1 WHERE split = 'test') AS own,
+             (SELECT avg(abs(y - m1.a - m1.b * x)) FROM s2, m1 WHERE split = 'test') AS old,
+             (SELECT avg(abs(y - m2.a - m2.b * x)) FROM s2, m2 WHERE split = 'test') AS new),
+d AS (SELECT *, new < old - 0.01 AS better FROM e),
+r AS (SELECT 1 AS round, 'no_new_data' AS status, NULL AS champ, NULL AS chal, NULL AS version
+UNION ALL SELECT 2, CASE WHEN {drifts('ref')} THEN 'no_labels' ELSE 'no_drift' END, NULL, NULL, NULL
+UNION ALL SELECT 3, CASE WHEN {drifts('first')} THEN 'no_labels' ELSE 'no_drift' END, NULL, NULL, NULL
+UNION ALL SELECT 4, CASE WHEN {drifts('first')} THEN 'promoted' ELSE 'no_drift' END, NULL, own, 1 FROM d
+UNION ALL SELECT 5, CASE WHEN better THEN 'promoted' ELSE 'kept_champion' END, old, new, CASE WHEN better THEN 2 END FROM d
+UNION ALL SELECT 6, 'kept_champion', CASE WHEN better THEN new ELSE old END, new, NULL FROM d)
+SELECT CAST(round AS INTEGER) AS round, status, round(CAST(champ AS DOUBLE), 4) AS champion_mae, round(CAST(chal AS DOUBLE), 4) AS challenger_mae,
+       CAST(version AS INTEGER) AS version FROM r"""
+
+
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
 _PRI_CASE = "CAST(CASE o_orderpriority " + " ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(PRIORITIES)) + " ELSE -1 END AS DOUBLE)"
 
@@ -384,6 +418,7 @@ SELECT bands.band, bands.label, CAST(coalesce(n, 0) AS BIGINT) AS n FROM bands L
     q["encode_all"] = encode_all_sql()
     q["quantile_bins"] = f"SELECT o_orderkey, CAST(bin AS INTEGER) AS bin FROM {_bins_sql_fixed('(SELECT o_orderkey, o_totalprice FROM orders)', 'o_totalprice', 'bin')}"
     q["stratified_split_orders"] = stratified_sql()
+    q["retrain_loop"] = retrain_loop_sql()
     q["random_split_orders"] = f"SELECT o_orderkey, split FROM {random_split_sql('(SELECT o_orderkey FROM orders)', ['o_orderkey'])}"
 
     q["regression_metrics_q"] = f"SELECT n, {', '.join(f'round({c}, 6) AS {c}' for c in METRIC_COLS)} FROM ({metrics_select(SCORED)})"
