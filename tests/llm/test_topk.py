@@ -28,6 +28,7 @@ def got(spark, tmp_path, rows):
 
 def test_matches_brute_force(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(topk, "CHUNK", 60)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(6, 16))
     rows = [(i, (centres[i % 6] + 0.2 * rng.normal(size=16)).tolist()) for i in range(1500)]
@@ -47,3 +48,22 @@ def test_lifted_vectors_have_one_length():
     index = topk.Index(np.zeros((1, 3)), 4.0, np.zeros((1, 0)))
     p = index.lifted(rng.uniform(-1, 1, size=(50, 2)))
     assert np.allclose((p**2).sum(axis=1), 4.0)
+
+
+def test_one_id_with_two_vectors_is_answered_for_each(spark, tmp_path):
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 2.0]), (100, [1.0, 0.0])]
+    assert got(spark, tmp_path, rows) == brute(rows) == sorted(
+        [(100, 1, 1, 3 << 20), (100, 2, 2, 1 << 20), (100, 1, 2, 2 << 20), (100, 2, 1, 1 << 20)])
+
+
+def test_ties_go_to_the_smaller_id_and_extra_columns_do_not_matter(spark, tmp_path):
+    rows = [(i, [1.0]) for i in range(40)] + [(100, [1.0]), (200, [-1.0])]
+    assert got(spark, tmp_path, rows) == brute(rows)
+    df = spark.createDataFrame([(i, [1.0], 1, 2, 3) for i in (0, 7, 5)], "vec_id long, embedding array<float>, id int, v int, q int")
+    found = op8_topk(spark, table_dir(tmp_path / "clashing", embeddings=df)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(tuple(r) for r in found) == [(0, 1, 5, 1 << 20), (0, 2, 7, 1 << 20)]
+
+
+def test_scores_that_do_not_fit_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="long"):
+        got(spark, tmp_path, [(0, [1e30]), (1, [1.0])])

@@ -12,13 +12,16 @@ integers, so the result is exact; the pivots (from a bounded sample) only
 decide how much is skipped.
 
 Pivots and annulus edges are numbers fixed by parameters (64 pivots, 8 annuli
-each); queries meet vectors in shuffles by (annulus, chunk), so a place with
-very many equal vectors is many chunks.
+each); queries meet vectors in shuffles by (annulus, chunk, block of queries), so a
+place with very many equal vectors, or one that very many queries visit, is many
+groups of bounded size.  A group returns only scores that reach a query's bound.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part, nor do rows without an id; vectors of unequal length are compared as if filled up with
 zeros; rows of one vec_id are no candidates of one another; a query that occurs
-repeatedly with the same vector is answered once.
+repeatedly with the same vector is answered once, and one vec_id with several
+vectors once for each, with ranks of its own; where a score might not fit a long
+(a squared length of 2**63 or more) the search raises ValueError.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ PIVOTS = 64
 ANNULI = 8
 SAMPLE = 8_192  # vectors that pivots and annulus edges are chosen from
 CHUNK = 2_048  # vectors of an annulus that one task row holds
+QUERY_BLOCK = 4_096  # queries that meet a chunk in one group
 FIRST = 6  # annuli of the second round
 SEED = 5
 EXACT = 2.0**52
@@ -76,15 +80,18 @@ class Index:
         return near * ANNULI + ring, own
 
 
+def _filled(values: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+    """Rows of the given sizes, filled up with zeros."""
+    out = np.zeros((len(sizes), width))
+    first = np.cumsum(sizes) - sizes
+    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(values)) - np.repeat(first, sizes)] = values
+    return out
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     """Rows of a list column, filled up with zeros."""
     offsets = column.offsets.to_numpy()
-    values = column.values.to_numpy()
-    out = np.zeros((len(column), width))
-    for i in range(len(column)):
-        row = values[offsets[i]:offsets[i + 1]]
-        out[i, :len(row)] = row
-    return out
+    return _filled(column.values.to_numpy()[offsets[0]:offsets[-1]], np.diff(offsets), width)
 
 
 def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -101,6 +108,8 @@ def build(points: DataFrame) -> tuple[Index, int] | None:
         F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))).first()
     if not n:
         return None
+    if top is not None and top >= 2.0**63:  # no inner product is larger than the largest squared length
+        raise ValueError("inner products of these vectors do not fit a long")
     unit = F.xxhash64("id", "v", F.lit(SEED)).bitwiseAND(F.lit((1 << 53) - 1))
     sample = points.filter(unit <= int((1 << 53) * min(1.0, SAMPLE / n))).select("v").limit(4 * SAMPLE).toArrow()
     v = _matrix(sample["v"].combine_chunks(), width) if sample.num_rows else np.zeros((1, width))
@@ -146,7 +155,10 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     chunk_of = F.pmod(F.xxhash64("id", "v", F.lit(3)), F.get(F.array(*[F.lit(int(rings.get(r, (0, 0, 1))[2])) for r in
                                                                  range(int(names.max()) + 1)]), F.col("ring"))).cast("int")
     chunks = placed.select("ring", chunk_of.alias("chunk"), "id", "v")
-    queries = placed.filter(is_query).select("id", "v", "ring").distinct()
+    asking = placed.filter(is_query)
+    blocks = -(-max(1, asking.count()) // QUERY_BLOCK)
+    queries = (asking.select("id", "v", "ring").distinct().withColumn("q", F.xxhash64("id", "v"))
+               .withColumn("block", F.pmod("q", F.lit(blocks)).cast("int")))
 
     def visits(batch_queries: DataFrame, first: int, last: int | None) -> DataFrame:
         """Rows (ring, chunk, id, v) of the annuli a query visits, nearest first; those
@@ -175,50 +187,55 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
             q, r = np.repeat(q, times), np.repeat(r, times)
             chunk = np.arange(len(q)) - np.repeat(np.cumsum(times) - times, times)
             pick = pa.array(q)
-            return {"ring": names[r], "chunk": chunk, "id": batch.column("id").take(pick), "v": batch.column("v").take(pick)}
+            return {"ring": names[r], "chunk": chunk, **{c: batch.column(c).take(pick) for c in ("block", "id", "q", "v", "bound")}}
 
-        return map_batches(batch_queries, run, "ring int, chunk int, id long, v array<long>")
+        return map_batches(batch_queries, run, "ring int, chunk int, block int, id long, q long, v array<long>, bound long")
 
     def search(asked: DataFrame) -> DataFrame:
-        """Each query's k best of every chunk it visits."""
+        """Each query's k best of every chunk it visits, as far as they reach its bound."""
+        def matrix(v: pd.Series) -> np.ndarray:
+            return _filled(np.concatenate([np.zeros(0), *v]), np.array([len(x) for x in v], dtype=np.int64), width)
+
         def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             out = []
             if len(left) and len(right):
-                w = np.zeros((len(right), width))
-                for i, x in enumerate(right["v"]):
-                    w[i, :len(x)] = x
-                ids = right["id"].to_numpy()
+                w, ids = matrix(right["w"]), right["vec_id"].to_numpy()
                 for at in range(0, len(left), 256):
                     part = left.iloc[at:at + 256]
-                    q = np.zeros((len(part), width))
-                    for i, x in enumerate(part["v"]):
-                        q[i, :len(x)] = x
-                    score = _scores(q, w)
-                    for i, own in enumerate(part["id"].to_numpy()):
-                        other = np.flatnonzero(ids != own)
+                    score = _scores(matrix(part["v"]), w)
+                    known = part["bound"].notna().to_numpy()
+                    least = part["bound"].fillna(0).to_numpy().astype(np.int64)
+                    take = (score >= least[:, None]) | ~known[:, None]  # int64 on both sides: exact
+                    take &= part["id"].to_numpy()[:, None] != ids[None]
+                    for i in np.flatnonzero(take.any(axis=1)).tolist():
+                        other = np.flatnonzero(take[i])
                         if len(other) > k:  # all that tie with the k-th stay for the exact cut
-                            least = np.partition(score[i, other], len(other) - k)[len(other) - k]
-                            other = other[score[i, other] >= least]
+                            kth = np.partition(score[i, other], len(other) - k)[len(other) - k]
+                            other = other[score[i, other] >= kth]
                         best = other[np.lexsort([ids[other], -score[i, other]])][:k]
-                        out.append(pd.DataFrame({"query_id": own, "vec_id": ids[best], "score": score[i, best]}))
-            return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+                        out.append(pd.DataFrame({"query_id": part["id"].iat[i], "q": part["q"].iat[i], "vec_id": ids[best], "score": score[i, best]}))
+            return pd.concat(out) if out else pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []}).astype("int64")
 
-        return (asked.groupBy("ring", "chunk").cogroup(chunks.groupBy("ring", "chunk"))
-                .applyInPandas(run, "query_id long, vec_id long, score long"))
+        # a chunk is repeated for the blocks of queries that visit it, no others
+        visited = asked.select("ring", "chunk", "block").distinct().toDF("at_ring", "at_chunk", "by")
+        met = chunks.toDF("at_ring", "at_chunk", "vec_id", "w").join(visited, ["at_ring", "at_chunk"])
+        return (asked.groupBy("ring", "chunk", "block").cogroup(met.groupBy("at_ring", "at_chunk", "by"))
+                .applyInPandas(run, "query_id long, q long, vec_id long, score long"))
 
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
 
     def best(found: DataFrame) -> DataFrame:
         """The k best of each query; each task sends on k rows of a query at most."""
         return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
 
     def bounded(found: DataFrame) -> DataFrame:
-        kth = best(found).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
-        return queries.join(kth, "id", "left")
+        kth = best(found).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), "q", F.col("score").alias("bound"))
+        return queries.join(kth, ["id", "q"], "left")
 
     home_chunks = F.sequence(F.lit(0), F.get(F.array(*[F.lit(int(rings.get(r, (0, 0, 1))[2]) - 1) for r in
                                                    range(int(names.max()) + 1)]), F.col("ring")))
-    found = stage_table(search(queries.select("ring", F.explode(home_chunks).alias("chunk"), "id", "v")), "topk-0")
+    found = stage_table(search(queries.select("ring", F.explode(home_chunks).alias("chunk"), "block", "id", "q", "v",
+                                              F.lit(None).cast("long").alias("bound"))), "topk-0")
     near = stage_table(search(visits(bounded(found), 0, FIRST)), "topk-1")
     found = found.unionByName(near)
     rest = stage_table(search(visits(bounded(found), FIRST, None)), "topk-2")
