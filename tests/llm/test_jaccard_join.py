@@ -139,3 +139,12 @@ def test_components_and_bitmap_helpers(spark):
     assert [r[0] % (1 << 64) for r in df.select(F.xxhash64("x")).collect()] == xxhash64_long(np.array(ids)).tolist()
     assert id_bitmap(df, "x")(np.array(ids)).all()
     assert id_bitmap(df, "x")(np.arange(1000, 3000)).sum() < 20
+
+
+def test_sketches_of_linked_sizes_are_compared_at_every_threshold():
+    for numerator in (10, 30, 45, 50, 60, 80, 85, 100):
+        bands = J.Bands(numerator, 100)
+        small = np.arange(1, 50_000)
+        ratio = J.sketch_words(small * 100 // numerator) / J.sketch_words(small)
+        assert ratio.max() <= bands.reach < 4 * 100 / numerator
+    assert J.Bands(85, 100).reach == J.Bands(80, 100).reach == 2

@@ -55,6 +55,8 @@ class Bands:
     def __init__(self, numerator: int = NUMERATOR, denominator: int = DENOMINATOR):
         self.num, self.den = numerator, denominator
         self.low = [1]
+        # linked sets differ in size by at most den / num, so their sketches' lengths by at most this factor
+        self.reach = 1 << (-(-denominator // numerator) - 1).bit_length()
 
     def of(self, size: int) -> int:
         while self.low[-1] <= size:
@@ -134,11 +136,16 @@ def _classes(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketch_words(sizes: np.ndarray) -> np.ndarray:
+    """Length of the sketch of a set, in words of 64 bits."""
+    return np.maximum(SKETCH_WORDS, 1 << np.ceil(np.log2(np.maximum(1, sizes) / 96)).astype(np.int64).clip(0))
+
+
 def sketches(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     """Odd sketch of each set; its length grows with the set (a power of two of words)."""
     place = mix(values ^ np.uint64(0x0DD0DD0DD0DD0DD))
     first = np.cumsum(sizes) - sizes
-    words = np.maximum(SKETCH_WORDS, 1 << np.ceil(np.log2(np.maximum(1, sizes) / 96)).astype(np.int64).clip(0))
+    words = sketch_words(sizes)
     out: list[bytes] = [b""] * len(sizes)
     for w in np.unique(words).tolist():
         own = np.flatnonzero(words == w)
@@ -296,7 +303,7 @@ def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
         out = []
         for w, (at, words) in rows.items():
             for v, (to, others) in columns.items():
-                if max(v, w) > 2 * min(v, w):
+                if max(v, w) > bands.reach * min(v, w):
                     continue  # sizes too far apart for a link
                 short, long = _folded(words, min(v, w)), _folded(others, min(v, w))
                 j = upper[to]
