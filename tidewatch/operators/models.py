@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+import pyarrow as pa
+from pyspark import SparkContext, TaskContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.session import stage_table
+
 # Forest configurations of the reference (trees, depth, leaf size, seed).
 FOREST_BASELINE = dict(numTrees=100, maxDepth=10, minInstancesPerNode=2, seed=42)
 # "unlimited depth" in the reference; 30 is Spark's maximum tree depth.
 FOREST_RETRAIN = dict(numTrees=100, maxDepth=30, minInstancesPerNode=1, seed=42)
 RIDGE_ALPHA = 1.0
 
+ROWS_AS_THEY_ARE = 1_000_000  # training rows up to which a forest is one fit over the rows
+TREES_AT_ONCE, CELLS_AT_ONCE = 8, 8_000_000  # trees of a binned forest that are fitted side by side; cells they cache together
+CELLS_OF_A_TASK = 250_000  # each task of a fit sends the sums of every node, so few tasks send less
+
 
 def forest(label: str = "label", features: str = "features", **params) -> RandomForestRegressor:
     """M8/M9: every tree sees all features (no per-split subsampling).
@@ -84,8 +97,107 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.repartition(n, F.xxhash64(*[F.col(f"`{c}`") for c in plain])) if plain else df.repartition(n)
 
 
+def bin_edges(rows: DataFrame, names: list[str], bins: int) -> list[list[float]]:
+    """Per column the thresholds of at most ``bins`` bins (a value belongs to the first that is not below it):
+    halfway between all its values if they are that few, quantiles otherwise.  Null and NaN have no part."""
+    rows = rows.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    numbers = [F.when(~F.isnan(c), F.col(c)) for c in rows.columns]
+    about = rows.agg(*[F.approx_count_distinct(x).alias(c) for x, c in zip(numbers, rows.columns)]).first()
+    few = [c for c in rows.columns if about[c] <= 2 * bins]  # their sets of values are that small
+    values = rows.agg(F.lit(0).alias("_"), *[F.collect_set(numbers[rows.columns.index(c)]).alias(c) for c in few]).first().asDict()
+    found = {c: sorted(v) for c, v in values.items() if c in few and len(v) <= bins}
+    edges = {c: [(a + b) / 2 for a, b in zip(v, v[1:])] for c, v in found.items()}
+    many = [c for c in rows.columns if c not in edges]
+    if many:
+        cuts = rows.approxQuantile(many, [i / bins for i in range(1, bins)], 0.001)
+        edges |= {c: sorted(set(q)) for c, q in zip(many, cuts)}
+    return [edges[c] for c in rows.columns]
+
+
+def binning(names: list[str], edges: list[list[float]]) -> SQLTransformer:
+    """Adds ``_bin0``, ``_bin1``...: the bin of each column; null and NaN are in the last, as Spark's trees have them."""
+    def number(i: int, c: str, cuts: list[float]) -> str:
+        whens = " ".join(f"WHEN `{c}` <= {t!r}D THEN {b}D" for b, t in enumerate(cuts))
+        return (f"CASE {whens} ELSE {len(cuts)}D END" if cuts else "0D") + f" AS _bin{i}"
+
+    return SQLTransformer(statement=f"SELECT *, {', '.join(number(i, c, t) for i, (c, t) in enumerate(zip(names, edges)))} FROM __THIS__")
+
+
+def bootstrapped(cells: DataFrame, trees: int, seed: int) -> DataFrame:
+    """Cells with ``w0``, ``w1``...: how often a tree's bootstrap sample has the ``n`` rows of the cell.
+
+    A row is drawn Poisson(1) times, as in Spark's forests, so a cell Poisson(n) times.  Cells are dealt by
+    hash and sorted: the draws depend on the rows and the session's shuffle partitions only."""
+    keys = [c for c in cells.columns if c != "n"]
+    dealt = cells.repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            weights = [pa.array(rng.poisson(n), pa.int64()) for _ in range(trees)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *weights], names=[*batch.schema.names, *(f"w{t}" for t in range(trees))])
+
+    return dealt.mapInArrow(draw, T.StructType([*dealt.schema.fields, *(T.StructField(f"w{t}", T.LongType()) for t in range(trees))]))
+
+
+def fit_binned(train: DataFrame, encoder, estimator: RandomForestRegressor) -> PipelineModel:
+    """The forest of ``estimator`` from counts: rows that agree in label and in every feature's bin are one
+    cell, and a tree is fitted to the cells, weighed by its bootstrap sample.
+
+    Spark's trees see bins only, so a cell says all that its rows say.  What is staged is a weight per
+    cell and tree; cells are no more than the rows, and no more than labels and bins allow.  The bins
+    are those of all rows and a stage of the model, so scoring has the thresholds of training."""
+    encoded = encoder.fit(train)
+    names, label, trees = encoded.feature_names, estimator.getLabelCol(), estimator.getNumTrees()
+    rows = encoded.transform(train)
+    binner = binning(names, bin_edges(rows, names, estimator.getMaxBins()))
+    bins = VectorAssembler(inputCols=[f"_bin{i}" for i in range(len(names))], outputCol=estimator.getFeaturesCol() + "_binned")
+    counted = binner.transform(rows).groupBy(F.col(f"`{label}`").alias("label"), *bins.getInputCols()).agg(F.count("*").alias("n"))
+    cells = stage_table(bootstrapped(counted, trees, estimator.getSeed()), "forest-cells")
+    total = cells.agg(F.count("*").alias("cells"), *[F.sum(f"w{t}").alias(f"w{t}") for t in range(trees)]).first()
+    assembled = bins.transform(cells)
+
+    def grown(t: int):
+        # a node's least number of rows is one of weights here, halfway to the next smaller
+        least = min(0.499, max(0.0, estimator.getMinInstancesPerNode() - 0.5) / total[f"w{t}"])
+        tree = DecisionTreeRegressor(
+            labelCol="label", featuresCol=bins.getOutputCol(), weightCol="w", seed=estimator.getSeed() + t, maxDepth=estimator.getMaxDepth(),
+            maxBins=estimator.getMaxBins(), minInfoGain=estimator.getMinInfoGain(), minWeightFractionPerNode=least,
+            maxMemoryInMB=estimator.getMaxMemoryInMB())
+        drawn = assembled.filter(f"w{t} > 0").select("label", bins.getOutputCol(), F.col(f"w{t}").cast("double").alias("w"))
+        return tree.fit(drawn.coalesce(1 + total["cells"] // CELLS_OF_A_TASK))
+
+    side_by_side_trees = max(1, min(TREES_AT_ONCE, CELLS_AT_ONCE // max(1, total["cells"])))
+    with ThreadPool(side_by_side_trees) as pool:
+        found = pool.map(inheritable_thread_target(train.sparkSession)(grown), range(trees), chunksize=1)
+    return PipelineModel([encoded, binner, bins, _forest_of(found, estimator, bins.getOutputCol(), len(names))])
+
+
+def _forest_of(trees: list, estimator: RandomForestRegressor, features: str, n_features: int) -> RandomForestRegressionModel:
+    """One Spark forest of fitted trees."""
+    sc = SparkContext.getOrCreate()
+    kind = sc._jvm.org.apache.spark.ml.regression
+    array = sc._gateway.new_array(kind.DecisionTreeRegressionModel, len(trees))
+    for i, tree in enumerate(trees):
+        array[i] = tree._java_obj
+    model = RandomForestRegressionModel(kind.RandomForestRegressionModel(estimator.uid, array, n_features))
+    estimator._copyValues(model)  # as a fit does: the model divides by its numTrees
+    model.setFeaturesCol(features)._transfer_params_to_java()
+    return model
+
+
+def _may_bin(estimator) -> bool:
+    """Forests that bins and bootstrap weights describe in full."""
+    return (isinstance(estimator, RandomForestRegressor) and estimator.getBootstrap() and estimator.getSubsamplingRate() == 1.0
+            and estimator.getFeatureSubsetStrategy() == "all" and estimator.getMinWeightFractionPerNode() == 0.0
+            and not estimator.isDefined("weightCol") and not estimator.getLeafCol())
+
+
 def fit_pipeline(train: DataFrame, encoder, estimator) -> PipelineModel:
-    """Encoder fitted on the training rows only (M5), then the model."""
+    """Encoder fitted on the training rows only (M5), then the model; forests over many rows from counts of equal binned rows."""
+    if _may_bin(estimator) and train.count() > ROWS_AS_THEY_ARE:
+        return fit_binned(train, encoder, estimator)
     return Pipeline(stages=[encoder, estimator]).fit(balanced(train))
 
 
