@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import (connected_components, id_bitmap, map_batches, read_table, shared_keys,
+from tidewatch.llm.common import (connected_components, id_bitmap, map_arrow, map_batches, read_table, shared_keys,
                                   whole_text)
 from tidewatch.llm.packing import text_groups
 from tidewatch.llm.shingles import mix, shingle_sets
@@ -212,7 +212,7 @@ def _signed(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(cls[who].view(np.int64))],
                                                  names=["sig", "cls"])
 
-    return docs.filter(F.col("doc_id").isNotNull()).mapInArrow(run, "sig long, cls long")
+    return map_arrow(docs.filter(F.col("doc_id").isNotNull()), run, "sig long, cls long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import map_batches, read_table, whole_text
+from tidewatch.llm.common import map_arrow, map_batches, read_table, whole_text
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("secret",)
@@ -346,7 +346,7 @@ def masked(docs: DataFrame, field: Field) -> DataFrame:
             arrays = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = map_arrow(docs, run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
 
 

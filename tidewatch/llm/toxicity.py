@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidewatch.llm.common import fold, map_batches, read_table, whole_text
+from tidewatch.llm.common import fold, kept, map_arrow, map_batches, read_table, whole_text
 
 WORD = re.compile(r"\w+")
 BUCKETS = 1 << 17
@@ -133,11 +133,11 @@ class Scorer:
 
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
-        self.known: dict[str, tuple[float, int]] = {}
+        self.known: dict[str, complex] = {}  # sum of a word's weights and number of its rows, as one small object
 
-    def _word(self, word: str) -> tuple[float, int]:
+    def _word(self, word: str) -> complex:
         rows = subwords(word)
-        found = float(self.weights[rows].sum()), len(rows)
+        found = complex(float(self.weights[rows].sum()), len(rows))
         if len(self.known) >= CACHE_WORDS:
             self.known = {}
         if len(word) <= 64:
@@ -146,14 +146,11 @@ class Scorer:
 
     def score(self, text: str) -> float:
         get = self.known.get
-        total, n = 0.0, 0
+        total = 0j
         for w, times in Counter(WORD.findall(text.lower())).items():
-            x, k = get(w) or self._word(w)
-            if times > 1:
-                times = math.sqrt(times)
-            total += x * times
-            n += k * times
-        logit = self.bias + (total / n if n else 0.0)
+            found = get(w) or self._word(w)
+            total += found if times == 1 else found * math.sqrt(times)
+        logit = self.bias + (total.real / total.imag if total.imag else 0.0)
         return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
 
 
@@ -185,28 +182,18 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample_docs: int =
     return fit(bags, got["toxic"].to_numpy()[order], seed=seed)
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def _scorer(spark: SparkSession, model: tuple[np.ndarray, float]):
-    """Gives, in a task, the worker's scorer of this model (a table of BUCKETS numbers)."""
+    """Key of this model's scorer (a table of BUCKETS numbers), and what gives the worker's one in a task."""
     shared = spark.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
     key = uuid.uuid4().hex
-
-    def scorer() -> Scorer:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(*shared.value)
-        return _SCORERS[key]
-
-    return scorer
+    return key, lambda: kept(key, lambda: Scorer(*shared.value))
 
 
 def with_score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
     """Columns of ``docs`` and ``score`` (0 to 1) as the last one."""
     if model is None:
         return docs.withColumn("score", F.lit(0.0))
-    scorer = _scorer(docs.sparkSession, model)
+    key, scorer = _scorer(docs.sparkSession, model)
 
     def run(batches):
         own = scorer()
@@ -214,21 +201,21 @@ def with_score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataF
             scores = pa.array([own.score(t or "") for t in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
+    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField("score", DoubleType())]), keeps=key)
 
 
 def without_toxic(docs: DataFrame, model: tuple[np.ndarray, float] | None, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that score below ``cut``."""
     if model is None:
         return docs
-    scorer = _scorer(docs.sparkSession, model)
+    key, scorer = _scorer(docs.sparkSession, model)
 
     def run(batches):
         own = scorer()
         for batch in batches:
             yield batch.filter(pa.array([own.score(t or "") < cut for t in batch.column("text").to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema, keeps=key)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
