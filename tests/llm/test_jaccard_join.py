@@ -148,3 +148,49 @@ def test_sketches_of_linked_sizes_are_compared_at_every_threshold():
         ratio = J.sketch_words(small * 100 // numerator) / J.sketch_words(small)
         assert ratio.max() <= bands.reach < 4 * 100 / numerator
     assert J.Bands(85, 100).reach == J.Bands(80, 100).reach == 2
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_blocks_hold_every_pair_and_few_copies(spark, monkeypatch, same):
+    monkeypatch.setattr(J, "BLOCK", 4)
+    rng = np.random.default_rng(3)
+    m, bands = 400, J.Bands(85, 100)
+    base = rng.integers(0, 1 << 63, size=(2, 32), dtype=np.uint64)
+    words = np.array([base[i % 2][:32 if i % 5 else 16] for i in range(m)], dtype=object)
+    rows = [(i, 100 if i % 5 else 50, bytearray(np.asarray(w, dtype=np.uint64).tobytes())) for i, w in enumerate(words)]
+    about = spark.createDataFrame(rows, "doc long, n long, sketch binary")
+    large = spark.range(m).select(F.lit(7).cast("long").alias("sig"), F.col("id").alias("doc"), (F.lit(0) if same else F.col("id")).cast("long").alias("comp"))
+    got = [tuple(r) for r in J._in_blocks(large, about, bands).collect()]
+    expected = set()
+    for a in range(1, m):  # the least document met the others as the centre of the first star
+        x, nx = np.frombuffer(bytes(rows[a][2]), np.uint64), rows[a][1]
+        for b in range(a + 1, m):
+            y, ny = np.frombuffer(bytes(rows[b][2]), np.uint64), rows[b][1]
+            if not same and max(len(x), len(y)) <= bands.reach * min(len(x), len(y)):
+                k = min(len(x), len(y))
+                if J._may_link(J._folded(x[None], k), J._folded(y[None], k), np.array([nx]), np.array([ny]), bands)[0]:
+                    expected.add((a, b))
+    assert set(got) == expected and (same or expected)
+
+
+def test_copies_grow_by_the_root_of_a_group(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 4)
+    copies = {}
+
+    class Seen(Exception):
+        pass
+
+    def count(self, *_):
+        copies["n"] = self._df.count()
+        raise Seen
+
+    from pyspark.sql.group import GroupedData
+    monkeypatch.setattr(GroupedData, "applyInPandas", count)
+    about = spark.range(1600).select(F.col("id").alias("doc"), F.lit(9).cast("long").alias("n"), F.lit(b"12345678").alias("sketch"))
+    made = []
+    for m in (400, 1600):
+        large = spark.range(m).select(F.lit(7).cast("long").alias("sig"), F.col("id").alias("doc"), F.col("id").alias("comp"))
+        with pytest.raises(Seen):
+            J._in_blocks(large, about, J.Bands(85, 100))
+        made.append(copies["n"])
+    assert made == [399 * 10, 1599 * 20]

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import (connected_components, id_bitmap, map_arrow, map_batches, read_table, shared_keys,
+from tidewatch.llm.common import (connected_components, give_back, id_bitmap, map_arrow, map_batches, read_table, shared_keys,
                                   whole_text)
 from tidewatch.llm.packing import text_groups
 from tidewatch.llm.shingles import mix, shingle_sets
@@ -45,7 +45,10 @@ WIDTH = 4
 NUMERATOR, DENOMINATOR = 85, 100  # linked from this Jaccard similarity on
 STAR_ROUNDS = 2
 SMALL = 16  # members of a signature whose pairs are formed by a join
-BLOCK = 2_048  # sketches of a block in the comparison of larger groups
+BLOCK = 1_024  # m documents of larger groups meet in blocks of about sqrt(m * BLOCK): each is copied sqrt(m / BLOCK) times
+LARGEST = 1 << 17  # sketches of a block at most
+PIECE = 2_048  # sketches of a block that are compared at once
+PAIRS = 1 << 17  # pairs that a task holds before it returns them, about
 SKETCH_WORDS = 16  # of 64 bits, at least; about two bits for three elements
 
 
@@ -287,7 +290,7 @@ def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
     cluster = connected_components(star.select(F.col("doc").alias("a"), F.col("hub").alias("b")), stage_table)
     size = cluster.groupBy("component").agg(F.count("*").alias("m"))
     placed = (cluster.join(size, "component")
-              .withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
+              .withColumn("nb", F.ceil(F.greatest(F.sqrt(F.col("m") / BLOCK), F.col("m") / LARGEST)).cast("int"))
               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
               .join(large.select(F.col("doc").alias("node"), "comp").distinct(), "node")
               .join(about.withColumnRenamed("doc", "node"), "node")
@@ -295,26 +298,38 @@ def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
               .select("component", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
                       "block", "node", "comp", "n", "sketch"))
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = pd.concat(list(parts), ignore_index=True)
         nodes, side, comp, n = (part[c].to_numpy() for c in ("node", "block", "comp", "n"))
         lower, upper = (np.flatnonzero(side == part[c].iloc[0]) for c in ("bi", "bj"))
+        alone = part["bi"].iloc[0] == part["bj"].iloc[0]  # a block against itself: each pair once
         raw = part["sketch"].tolist()
+        del part
         rows, columns = (_by_length([raw[i] for i in own.tolist()]) for own in (lower, upper))
-        out = []
+        del raw
+        out, held = [], 0
         for w, (at, words) in rows.items():
             for v, (to, others) in columns.items():
-                if max(v, w) > bands.reach * min(v, w):
-                    continue  # sizes too far apart for a link
+                if max(v, w) > bands.reach * min(v, w) or (alone and v < w):
+                    continue  # sizes too far apart for a link, or lengths that have met
                 short, long = _folded(words, min(v, w)), _folded(others, min(v, w))
-                j = upper[to]
-                step = max(1, (1 << 20) // max(1, long.size))
-                for lo in range(0, len(at), step):
-                    i = lower[at[lo:lo + step]]
-                    ok = _may_link(short[lo:lo + step, None], long[None], n[i][:, None], n[j][None], bands)
-                    ok &= comp[i][:, None] != comp[j][None]
-                    p, q = np.nonzero(ok)
-                    out.append(pd.DataFrame({"a": np.minimum(nodes[i[p]], nodes[j[q]]), "b": np.maximum(nodes[i[p]], nodes[j[q]])}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+                for first in range(0, len(to), PIECE):
+                    j, piece = upper[to[first:first + PIECE]], long[first:first + PIECE]
+                    step = max(1, (1 << 20) // max(1, piece.size))
+                    for lo in range(0, min(len(at), first + len(j)) if alone and v == w else len(at), step):
+                        i = lower[at[lo:lo + step]]
+                        ok = _may_link(short[lo:lo + step, None], piece[None], n[i][:, None], n[j][None], bands)
+                        ok &= comp[i][:, None] != comp[j][None]
+                        p, q = np.nonzero(ok)
+                        if not len(p):
+                            continue
+                        out.append(pd.DataFrame({"a": np.minimum(nodes[i[p]], nodes[j[q]]), "b": np.maximum(nodes[i[p]], nodes[j[q]])}))
+                        held += len(p)
+                        if held >= PAIRS:
+                            yield pd.concat(out)
+                            out, held = [], 0
+        yield pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        give_back()
 
     return placed.groupBy("component", "bi", "bj").applyInPandas(run, "a long, b long")
 
