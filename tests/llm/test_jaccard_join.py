@@ -194,3 +194,64 @@ def test_copies_grow_by_the_root_of_a_group(spark, monkeypatch):
             J._in_blocks(large, about, J.Bands(85, 100))
         made.append(copies["n"])
     assert made == [399 * 10, 1599 * 20]
+
+
+def test_rarest_elements_of_linked_sets_meet():
+    """Whatever the levels say, and at any threshold: linked sets have a taken element in common."""
+    rng = np.random.default_rng(8)
+    for numerator in (30, 80, 85, 100):
+        bands = J.Bands(numerator, 100)
+        for n in [*range(1, 40), 100, 333, 1200]:
+            a = np.unique(rng.integers(0, 1 << 62, size=n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[rng.permutation(len(a))[:max(1, -(-numerator * len(a) // 100))]], a[:0]]))
+            assert J._linked(a, b, bands)
+            values, sizes = np.concatenate([a, b]), np.array([len(a), len(b)])
+            level = (values % np.uint64(7)).astype(np.uint8) * (rng.random() < 0.7)
+            who, element = J.rarest(values, sizes, level, bands)
+            first, second = set(element[who == 0].tolist()), set(element[who == 1].tolist())
+            assert first & second and first <= set(a.tolist()) and second <= set(b.tolist())
+            assert np.bincount(who).tolist() == [len(s) - -(-numerator * len(s) // 100) + 1 for s in (a, b)]
+    left_out = J.rarest(np.array([1, 2, 3, 4], np.uint64), np.array([0, 4]), np.array([3, 0, 1, 0], np.uint8), J.Bands(75, 100))
+    assert [x.tolist() for x in left_out] == [[1, 1], [2, 4]]
+
+
+def test_common_lines_do_not_bring_documents_together(spark, monkeypatch):
+    """Documents of which a third is a line that very many have: only near copies are compared in blocks."""
+    monkeypatch.setattr(J, "SMALL", 2)
+    rng = random.Random(5)
+    lines = [" ".join(f"c{k}x{i}" for i in range(30)) for k in range(2)]
+    texts = []
+    for _ in range(500):
+        own = [f"u{rng.randrange(10**7)}" for _ in range(60)]
+        line = rng.choice(lines)
+        for _ in range(rng.choice([1, 1, 1, 2, 5])):
+            w = list(own)
+            for _ in range(rng.choice([0, 1, 2, 3])):
+                w[rng.randrange(len(w))] = f"v{rng.randrange(10**7)}"
+            texts.append(" ".join(w) + "\n" + line)
+    texts += lines + [lines[0] + " " + lines[1]]
+    ids = random.Random(2).sample(range(10_000), len(texts))
+    blocks, met = J._in_blocks, []
+    monkeypatch.setattr(J, "_in_blocks", lambda large, about, bands: (met.append(large.groupBy("sig").count().collect()), blocks(large, about, bands))[1])
+    assert rows_of(J.join_groups(documents(spark, texts, ids))) == brute(ids, texts)
+    assert max([0, *(r["count"] for r in met[0])]) <= 10
+
+
+def test_chained_groups_meet_apart(spark, monkeypatch):
+    """Groups that share a document each with the next one: no pairs of all of them."""
+    bands, made = J.Bands(85, 100), {}
+    rows = [(g, g * 9 + i, g * 9 + i) for g in range(60) for i in range(10)]
+    large = spark.createDataFrame(rows, "sig long, doc long, comp long")
+    about = spark.range(600).select(F.col("id").alias("doc"), F.lit(9).cast("long").alias("n"), F.expr("repeat('12345678', 16)").cast("binary").alias("sketch"))
+
+    from pyspark.sql.group import GroupedData
+    run = GroupedData.applyInPandas
+
+    def count(self, *args):
+        made["pairs"] = sum(r["count"] ** 2 for r in self._df.groupBy([c for c in ("whole", "component", "bi", "bj") if c in self._df.columns]).count().collect())
+        return run(self, *args)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", count)
+    got = {tuple(r) for r in J._in_blocks(large, about, bands).collect()}
+    assert made["pairs"] <= 60 * 10**2
+    assert got >= {(x, y) for g in range(60) for x in range(g * 9 + 1, g * 9 + 10) for y in range(x + 1, g * 9 + 10)}

@@ -9,8 +9,18 @@ A set also signs for the next band where it can link across the edge.
 Copies are one class first (equal sets), so only different sets meet.  Classes
 that share a signature are linked as stars around the smallest document; a
 second round takes other centres.  What is still in different components after
-that is settled exactly: small signature groups pair by pair, clusters of large
-ones block against block inside tasks.
+that is settled exactly: small signature groups pair by pair, documents of large
+ones where they also share one of their rarest elements.  A subset of pieces
+that holds but common elements (a line that many documents have) is shared by a
+part of the whole table, so its pairs grow with the square of the input.  But
+linked sets agree on at least one of the first n - ceil(t n) + 1 elements in any
+order that is the same for all, and in an order by how common an element is
+those are rare.  Groups of such an element are settled the same way: small ones
+pair by pair, clusters of large ones block against block inside tasks.
+
+How common an element is comes from a sample of the documents that are to be
+settled, in a table of fixed size; it bears on the work only: whatever the
+order, no link is lost.
 
 Candidates first pass an odd sketch (1024 bits or more by size, each the parity
 of the elements that hash there): two sketches differ in at most as many bits as the sets in
@@ -27,16 +37,16 @@ component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import (connected_components, give_back, id_bitmap, map_arrow, map_batches, read_table, shared_keys,
-                                  whole_text)
+                                  whole_text, xxhash64_long)
 from tidewatch.llm.packing import text_groups
 from tidewatch.llm.shingles import mix, shingle_sets
 from tidewatch.session import stage_table
@@ -48,6 +58,9 @@ SMALL = 16  # members of a signature whose pairs are formed by a join
 BLOCK = 1_024  # m documents of larger groups meet in blocks of about sqrt(m * BLOCK): each is copied sqrt(m / BLOCK) times
 LARGEST = 1 << 17  # sketches of a block at most
 PIECE = 2_048  # sketches of a block that are compared at once
+SAMPLED = 16  # one class of so many tells how common elements are
+CELLS = 1 << 23  # of the table of that, a byte each
+LEVELS = 8  # of its values: an element of 2, 8, 32, ... sampled sets
 PAIRS = 1 << 17  # pairs that a task holds before it returns them, about
 SKETCH_WORDS = 16  # of 64 bits, at least; about two bits for three elements
 
@@ -128,6 +141,20 @@ def signatures(values: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.
     return np.concatenate(who), np.concatenate(sig)
 
 
+def rarest(values: np.ndarray, sizes: np.ndarray, level: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, element) of the first elements of each set by (level, element).
+
+    Of a set of n, a linked one has t n elements at least, so leaves out fewer
+    than are taken here; of those both have, the first one in the order is
+    among the taken ones of both."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(owner * (LEVELS + 1) + level, kind="stable")  # the elements of a set come in order
+    place = np.arange(len(values)) - (np.cumsum(sizes) - sizes)[owner]
+    most = sizes - -(-bands.num * sizes // bands.den) + 1
+    taken = place < most[owner]
+    return owner[taken], values[order[taken]]
+
+
 def _classes(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """One 64-bit number per set (0 for the empty one); equal sets have equal numbers."""
     at = np.cumsum(sizes) - sizes
@@ -239,6 +266,61 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return found.join(wanted, ["doc_id", "cls"], "left_semi").select("doc_id", "features")
 
 
+def _common(docs: DataFrame, wanted: DataFrame, width: int) -> Callable:
+    """For use in tasks: the level of each element (0 to LEVELS), by the number of
+    sampled sets of ``wanted`` (doc_id, cls) that have it.
+
+    The table has a fixed size; where too many elements are common for it, the
+    least common of them count as rare."""
+    inside = id_bitmap(wanted.filter(F.pmod(F.xxhash64("cls"), F.lit(SAMPLED)) == 0), "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pick = np.flatnonzero(inside(batch.column("doc_id").to_numpy()))
+            texts = batch.column("text").take(pa.array(pick)).to_pylist()
+            for lo, hi in text_groups(texts):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(texts[lo:hi], width)[0].view(np.int64))], names=["h"])
+
+    cell = F.pmod(F.xxhash64("h"), F.lit(CELLS)) + 1
+    found = stage_table(map_arrow(docs.filter(F.col("doc_id").isNotNull()), run, "h long").groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
+                        .select(cell.alias("c"), F.least(F.floor((F.log2("k") + 1) / 2), F.lit(LEVELS)).cast("int").alias("level")), "jaccard-common")
+    held, least = 0, LEVELS
+    for level, k in sorted(found.groupBy("level").count().collect(), reverse=True):
+        held += k
+        if held <= CELLS // 4:
+            least = level
+    rows = (found.filter(F.col("level") >= least).groupBy("level", F.bitmap_bucket_number("c").alias("n"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("c")).alias("bits")).collect())
+    table = np.zeros(CELLS, dtype=np.uint8)
+    for r in sorted(rows, key=lambda r: r["level"]):
+        bits = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
+        table[(r["n"] - 1) * len(bits) + np.flatnonzero(bits)] = r["level"]
+    shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+
+    def level_of(values: np.ndarray) -> np.ndarray:
+        return np.frombuffer(shared.value, dtype=np.uint8)[(xxhash64_long(values.view(np.int64)) & np.uint64(CELLS - 1)).astype(np.int64)]
+
+    return level_of
+
+
+def _by_rarest(docs: DataFrame, wanted: DataFrame, width: int, bands: Bands) -> DataFrame:
+    """(sig, doc): the rarest elements of the sets of ``wanted`` (doc_id, cls), where several have them."""
+    inside, level_of = id_bitmap(wanted, "doc_id"), _common(docs, wanted, width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pick = np.flatnonzero(inside(batch.column("doc_id").to_numpy()))
+            texts = batch.column("text").take(pa.array(pick)).to_pylist()
+            for lo, hi in text_groups(texts):
+                values, sizes = shingle_sets(texts[lo:hi], width)
+                who, element = rarest(values, sizes, level_of(values), bands)
+                cls = _classes(values, sizes).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(element.view(np.int64)), pa.array(cls[who])], names=["sig", "cls"])
+
+    rows = shared_keys(map_arrow(docs.filter(F.col("doc_id").isNotNull()), run, "sig long, cls long"), "sig", "cls")
+    return rows.join(wanted.select("cls", F.col("doc_id").alias("doc")), "cls").select("sig", "doc")
+
+
 def _linked(a: np.ndarray, b: np.ndarray, bands: Bands) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return bands.den * both >= bands.num * (len(a) + len(b) - both)
@@ -285,17 +367,30 @@ def _passing(pairs: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
 
 def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
     """Pairs (a, b) of different components, within clusters of the given
-    (sig, doc, comp) rows, that the sketches do not rule out."""
-    star = large.join(large.groupBy("sig").agg(F.min("doc").alias("hub")), "sig")
+    (sig, doc, comp) rows, that the sketches do not rule out.
+
+    Groups of a cluster that repeat one another meet as one; those that are but
+    chained, so that all of the cluster has more pairs than its groups have,
+    meet each on its own.  The least document of either is left out: the
+    caller compares it as the centre of a star."""
+    large = large.select("sig", "doc", "comp")
+    hubs = large.groupBy("sig").agg(F.min("doc").alias("hub"), F.count("*").alias("m"))
+    star = large.join(hubs, "sig")
     cluster = connected_components(star.select(F.col("doc").alias("a"), F.col("hub").alias("b")), stage_table)
     size = cluster.groupBy("component").agg(F.count("*").alias("m"))
-    placed = (cluster.join(size, "component")
+    hubs = (hubs.join(cluster.withColumnRenamed("node", "hub"), "hub", "left")
+            .select("sig", "hub", "m", F.coalesce("component", "hub").alias("component")))
+    apart = hubs.groupBy("component").agg(F.sum(F.col("m") * F.col("m")).alias("apart"))
+    size = size.join(apart, "component").withColumn("whole", F.col("m") * F.col("m") <= F.col("apart"))
+    alone = (large.join(hubs.join(size.filter("NOT whole").select("component"), "component").select("sig", "hub", "m"), "sig")
+             .filter("doc != hub").select(F.lit(False).alias("whole"), F.col("sig").alias("component"), F.col("doc").alias("node"), "m"))
+    placed = (cluster.join(size.filter("whole"), "component").select("whole", "component", "node", "m").unionByName(alone)
               .withColumn("nb", F.ceil(F.greatest(F.sqrt(F.col("m") / BLOCK), F.col("m") / LARGEST)).cast("int"))
               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
               .join(large.select(F.col("doc").alias("node"), "comp").distinct(), "node")
               .join(about.withColumnRenamed("doc", "node"), "node")
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-              .select("component", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
+              .select("whole", "component", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
                       "block", "node", "comp", "n", "sketch"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -331,7 +426,10 @@ def _in_blocks(large: DataFrame, about: DataFrame, bands: Bands) -> DataFrame:
         yield pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
         give_back()
 
-    return placed.groupBy("component", "bi", "bj").applyInPandas(run, "a long, b long")
+    # by a number of its own: Spark would join small partitions by their bytes, and the work of a block is its pairs
+    tasks = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["whole", "component", "bi", "bj"]
+    return placed.repartition(tasks, *key).groupBy(*key).applyInPandas(run, "a long, b long")
 
 
 def join_groups(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR,
@@ -356,29 +454,43 @@ def join_groups(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR,
         checked = stage_table(_verified(passed, sets, bands), f"{name}-checked")
         return checked.filter("linked").select("a", "b"), pairs
 
-    links = tried = None
-    for turn in range(STAR_ROUNDS + 1):
-        if links is None:
-            now = members.withColumn("comp", F.col("doc"))
+    def open_groups(groups: DataFrame, labels: DataFrame | None, name: str) -> DataFrame:
+        """(sig, doc, comp, m) of the groups (sig, doc) of m that lie in several components by now."""
+        if labels is None:
+            now = groups.withColumn("comp", F.col("doc"))
         else:
-            labels = connected_components(links, stage_table)
-            now = (members.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left")
+            now = (groups.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left")
                    .select("sig", "doc", F.coalesce("component", "doc").alias("comp")))
         spread = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-        unsettled = stage_table(now.join(spread.filter("lo != hi").select("sig", "m"), "sig"), f"jaccard-open-{turn}")
+        return stage_table(now.join(spread.filter("lo != hi").select("sig", "m"), "sig"), name)
+
+    def star_pairs(groups: DataFrame, rank: Column) -> DataFrame:
+        """The pairs of a group's document of the least rank with those of other components."""
+        ranked = groups.withColumn("r", rank)
+        centre = (ranked.join(ranked.groupBy("sig").agg(F.min("r").alias("r")), ["sig", "r"])
+                  .select("sig", F.col("doc").alias("hub"), F.col("comp").alias("hub_comp")))
+        return (groups.join(centre, "sig").filter(F.col("comp") != F.col("hub_comp"))
+                .select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")))
+
+    def pair_by_pair(few: DataFrame) -> DataFrame:
+        return (few.alias("l").join(few.alias("r"), "sig").filter("l.doc < r.doc AND l.comp != r.comp")
+                .select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b")))
+
+    links = tried = None
+    for turn in range(STAR_ROUNDS + 1):
+        labels = None if links is None else connected_components(links, stage_table)
+        unsettled = open_groups(members, labels, f"jaccard-open-{turn}")
         if turn < STAR_ROUNDS:
             # the star's centre: the smallest document first, then another one
-            rank = F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))
-            ranked = unsettled.withColumn("r", rank)
-            centre = (ranked.join(ranked.groupBy("sig").agg(F.min("r").alias("r")), ["sig", "r"])
-                      .select("sig", F.col("doc").alias("hub"), F.col("comp").alias("hub_comp")))
-            pairs = (unsettled.join(centre, "sig").filter(F.col("comp") != F.col("hub_comp"))
-                     .select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct())
+            pairs = star_pairs(unsettled, F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))).distinct()
         else:
-            few = unsettled.filter(F.col("m") <= SMALL)
-            pairs = (few.alias("l").join(few.alias("r"), "sig").filter("l.doc < r.doc AND l.comp != r.comp")
-                     .select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b"))
-                     .unionByName(_in_blocks(unsettled.filter(F.col("m") > SMALL), about.select("doc", "n", "sketch"), bands)).distinct())
+            wanted = (unsettled.filter(F.col("m") > SMALL).select("doc").distinct().join(about.select("doc", "cls"), "doc")
+                      .select(F.col("doc").alias("doc_id"), "cls"))
+            rare = stage_table(_by_rarest(docs, stage_table(wanted, "jaccard-wanted"), width, bands), "jaccard-rarest")
+            rare = open_groups(_distinct_groups(rare), labels, "jaccard-open-rarest")
+            many = rare.filter(F.col("m") > SMALL)
+            pairs = (pair_by_pair(unsettled.filter(F.col("m") <= SMALL)).unionByName(pair_by_pair(rare.filter(F.col("m") <= SMALL)))
+                     .unionByName(star_pairs(many, F.col("doc"))).unionByName(_in_blocks(many, about.select("doc", "n", "sketch"), bands)).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         found, pairs = verified(stage_table(pairs, f"jaccard-pairs-{turn}"), f"jaccard-{turn}")
